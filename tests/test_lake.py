@@ -1,0 +1,177 @@
+import time
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from helpers import plan
+from tidewell.lake.files import newest_child
+from tidewell.lake.maintenance import compact_all, compact_rounds
+from tidewell.lake.sizing import buckets_for
+from tidewell.lake.table import LakeTable
+from tidewell.session import scratch_dir
+from tidewell.spec import TableSpec
+
+SPEC = TableSpec(name="db.t", key=("id", "shard"), buckets=4, schema=T.StructType([
+    T.StructField("id", T.LongType()), T.StructField("shard", T.StringType()), T.StructField("v", T.StringType())]))
+CHANGES = "id bigint, shard string, v string, seq bigint, _sub int, _kind string"
+
+
+@pytest.fixture
+def table(spark):
+    return LakeTable(spark, scratch_dir(spark, "lake"), SPEC)
+
+
+def batch(spark, *rows):
+    return spark.createDataFrame(list(rows), CHANGES)
+
+
+def state(table):
+    return {(r.id, r.shard): r.v for r in table.read().collect()}
+
+
+def test_read_before_and_after_compaction_agree(spark, table):
+    assert state(table) == {} and table.compact() is None
+    table.append(batch(spark, (1, "a", "x", 1, 0, "+I"), (1, "b", "y", 1, 0, "+I"), (2, "a", "z", 1, 0, "+I")), 0)
+    assert state(table) == {(1, "a"): "x", (1, "b"): "y", (2, "a"): "z"}
+    assert table.compact() == 0 and table.pending() == []
+    table.append(batch(spark, (1, "a", "x", 2, 0, "-U"), (1, "a", "x2", 2, 1, "+U"), (2, "a", "z", 3, 0, "-D")), 1)
+    before = state(table)
+    assert before == {(1, "a"): "x2", (1, "b"): "y"}
+    assert table.compact() == 1 and state(table) == before
+    assert table.log([1]).filter("_kind = '-U'").count() == 0
+
+
+def test_late_record_cannot_bring_a_deleted_row_back(spark, table):
+    table.append(batch(spark, (1, "a", "x", 1, 0, "+I"), (1, "a", "x", 5, 0, "-D")), 0)
+    table.compact()
+    table.append(batch(spark, (1, "a", "old", 3, 1, "+U")), 1)
+    assert state(table) == {}
+    table.compact()
+    assert state(table) == {} and table.base(1).count() == 1
+    table.append(batch(spark, (1, "a", "new", 9, 0, "+I")), 2)
+    assert state(table) == {(1, "a"): "new"}
+
+
+def test_purge_drops_old_deletions_only(spark, table):
+    table.append(batch(spark, (1, "a", "x", 5, 0, "-D"), (2, "a", "y", 8, 0, "-D"), (3, "a", "z", 1, 0, "+I")), 0)
+    table.compact(purge_below=8)
+    assert {r.id for r in table.base(0).collect()} == {2, 3}
+
+
+def test_repeated_batch_is_stored_once(spark, table):
+    rows = batch(spark, (1, "a", "x", 1, 0, "+I"))
+    table.append(rows, 3)
+    table.append(rows, 3)
+    assert table.log([3]).count() == 1 and table.pending() == [3]
+
+
+def test_base_is_never_shuffled(spark, table):
+    rows = spark.range(5000).select("id", F.lit("a").alias("shard"), F.lit("v").alias("v"), F.lit(1).alias("seq"),
+                                    F.lit(0).alias("_sub"), F.lit("+I").alias("_kind"))
+    table.append(rows, 0)
+    table.compact()
+    table.append(rows.limit(10).withColumn("seq", F.lit(2)), 1)
+    merged = table.read()
+    text = plan(merged)
+    assert "Bucketed: true" in text and "disabled by query planner" not in text
+    # Both exchanges belong to the log: its aggregation, and the base's layout.
+    assert text.count("Exchange") == 2 and text.index("Bucketed: true") < text.index("Exchange")
+    assert merged.count() == 5000
+    pruned = plan(table.read(["id"]).select("id"))
+    schemas = [line.split("ReadSchema: ")[1] for line in pruned.splitlines() if "ReadSchema" in line]
+    assert len(schemas) == 2 and not any("v:string" in s for s in schemas)
+    assert "v:string" not in plan(merged.select("id")).split("ReadSchema: ")[1].splitlines()[0]
+    table.compact()
+    # Each bucket's task wrote its own bucket: one file per bucket.
+    files = table.base(1).inputFiles()
+    assert len(files) == SPEC.buckets
+    assert table.base(1).filter("seq = 2").count() == 10
+
+
+def test_uncommitted_folders_are_not_read(spark, table):
+    table.append(batch(spark, (1, "a", "x", 1, 0, "+I")), 0)
+    broken = batch(spark, (9, "a", "bad", 1, 0, "+I"))
+    (broken.write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
+     .parquet(table.log_path(1)))
+    assert state(table) == {(1, "a"): "x"}
+
+
+def test_evolve(spark, table):
+    table.append(batch(spark, (1, "a", "7", 1, 0, "+I"), (2, "a", "8", 1, 0, "+I"), (3, "a", "9", 2, 0, "-D")), 0)
+    wider = TableSpec(name="db.t", key=SPEC.key, buckets=4, schema=T.StructType(
+        list(SPEC.schema) + [T.StructField("email", T.StringType())]))
+    table = table.evolve(wider)
+    table.append(spark.createDataFrame([(4, "a", "1", "m@x", 3, 0, "+I")],
+                                       "id bigint, shard string, v string, email string, seq bigint, _sub int, _kind string"), 1)
+    assert {(r.id, r.v, r.email) for r in table.read().collect()} == {(1, "7", None), (2, "8", None), (4, "1", "m@x")}
+    typed = TableSpec(name="db.t", key=SPEC.key, buckets=4, schema=T.StructType([
+        T.StructField("id", T.LongType()), T.StructField("shard", T.StringType()), T.StructField("v", T.IntegerType())]))
+    table = table.evolve(typed)
+    assert {(r.id, r.v) for r in table.read().collect()} == {(1, 7), (2, 8), (4, 1)}
+    assert table.read().columns[:3] == ["id", "shard", "v"]
+    table.append(spark.createDataFrame([(3, "a", 5, 1, 0, "+I"), (1, "a", 6, 9, 1, "+U")],
+                                       "id bigint, shard string, v int, seq bigint, _sub int, _kind string"), 5)
+    assert {(r.id, r.v) for r in table.read().collect()} == {(1, 6), (2, 8), (4, 1)}
+
+
+def test_evolve_refuses_to_lose_values(spark, table):
+    table.append(batch(spark, (1, "a", "seven", 1, 0, "+I")), 0)
+    typed = TableSpec(name="db.t", key=SPEC.key, buckets=4, schema=T.StructType([
+        T.StructField("id", T.LongType()), T.StructField("shard", T.StringType()), T.StructField("v", T.IntegerType())]))
+    with pytest.raises(Exception, match="retyped column v"):
+        table.evolve(typed)
+    assert state(table) == {(1, "a"): "seven"}
+
+
+def test_publish(spark, table):
+    table.append(batch(spark, (1, "a", "x", 1, 0, "+I"), (2, "a", "y", 1, 0, "-D")), 0)
+    table.compact()
+    table.append(batch(spark, (3, "a", "z", 2, 0, "+I")), 1)
+    table.publish("published")
+    ids = lambda name: sorted(r.id for r in spark.sql(f"SELECT id FROM {name}").collect())
+    assert ids("published_ro") == [1] and ids("published_rt") == [1, 3]
+    table.compact()
+    table.publish("published")
+    assert ids("published_ro") == [1, 3]
+    spark.sql("DROP VIEW published_ro")
+    spark.sql("DROP TABLE published_base")
+    assert state(table) == {(1, "a"): "x", (3, "a"): "z"}
+
+
+def test_clean_and_due(spark, table):
+    for number in range(6):
+        table.append(batch(spark, (1, "a", f"v{number}", number, 0, "+I")), number)
+        if number == 1:
+            assert not table.due()
+        if number in (1, 3, 4):
+            table.compact()
+    assert table.due(max_commits=1) and not table.due(max_commits=2)
+    removed = table.clean(keep=3)
+    assert [p.rsplit("/", 1)[1] for p in removed] == ["batch_id=0", "batch_id=1", "batch_id=2", "v=1"]
+    assert state(table) == {(1, "a"): "v5"}
+
+
+def test_one_failing_table_does_not_stop_the_rest(spark, table):
+    table.append(batch(spark, (1, "a", "x", 1, 0, "+I")), 0)
+
+    class Broken(LakeTable):
+        def compact(self, purge_below=None):
+            raise RuntimeError("no")
+
+    broken = Broken(spark, table.root + "-broken", SPEC)
+    errors = compact_all([broken, table])
+    assert list(errors) == [broken.root] and table.version() == 0
+    rounds = iter([True, True, False])
+    seen = []
+    compact_rounds([table], every_seconds=0, go_on=lambda: next(rounds), report=seen.append)
+    assert seen == [{}, {}]
+
+
+def test_newest_child_and_sizing(spark, table):
+    assert newest_child(spark, table.root + "/nothing") is None
+    table.append(batch(spark, (1, "a", "x", 1, 0, "+I")), 0)
+    time.sleep(1.1)
+    table.append(batch(spark, (1, "a", "x", 1, 0, "+I")), 1)
+    assert newest_child(spark, table.root + "/log").endswith("batch_id=1")
+    assert buckets_for(table.log()) == 8 and buckets_for(table.log(), bucket_bytes=10) > 8

@@ -136,33 +136,63 @@ def to_binary(base64_text: Column) -> Column:
 TWO_64 = "18446744073709551616"
 
 
-def _unscaled_integer(raw: Column) -> Column:
-    """Big-endian two's-complement bytes to ``decimal(38,0)``; null beyond that.
+def _hex_with_sign(raw: Column) -> tuple[Column, Column]:
+    """Hex digits of two's-complement bytes, and the digit that widens them."""
+    digits = F.hex(raw)
+    negative = F.substring(digits, 1, 1).isin(*"89ABCDEF")
+    return digits, F.when(negative, F.lit("F")).otherwise(F.lit("0"))
+
+
+def _narrow_integer(raw: Column) -> Column:
+    """Integer of at most eight big-endian bytes."""
+    digits, fill = _hex_with_sign(raw)
+    return F.conv(F.lpad(digits, F.lit(16), fill), 16, -10).cast("decimal(20,0)")
 
-    The bytes are widened to 128 bits and read as two unsigned halves; the
-    high half carries the sign.
+
+def _wide_integer(raw: Column) -> Column:
+    """Integer of at most sixteen bytes as ``decimal(38,0)``; null beyond 38 digits.
+
+    The bytes are widened to 128 bits and read as two halves; the high half
+    carries the sign. A negative value takes its high half one closer to zero
+    and a negative low half, so that no step is larger than the value itself.
     """
-    digits = F.hex(raw)
-    negative = F.conv(F.substring(digits, 1, 1), 16, 10).cast("int") >= 8
-    padded = F.when(negative, F.lpad(digits, 32, "F")).otherwise(F.lpad(digits, 32, "0"))
-    two_64 = F.lit(TWO_64).cast("decimal(20,0)")
-    high = F.conv(F.substring(padded, 1, 16), 16, 10).cast("decimal(20,0)")
+    digits, fill = _hex_with_sign(raw)
+    padded = F.lpad(digits, F.lit(32), fill)
+    high = F.conv(F.substring(padded, 1, 16), 16, -10).cast("decimal(38,0)")
     low = F.conv(F.substring(padded, 17, 16), 16, 10).cast("decimal(38,0)")
-    signed = (high - F.when(negative, two_64).otherwise(F.lit(0).cast("decimal(20,0)")))
-    product = F.try_multiply(signed.cast("decimal(38,0)"), two_64)
-    total = F.try_add(product.try_cast("decimal(38,0)"), low).try_cast("decimal(38,0)")
-    return F.when((F.length(raw) > 0) & (F.length(raw) <= 16), total)
+    two_64 = F.lit(TWO_64).cast("decimal(20,0)")
+    up = F.when(fill == "F", F.lit(1)).otherwise(F.lit(0)).cast("decimal(1,0)")
+    product = F.try_multiply((high + up).cast("decimal(38,0)"), two_64)
+    return F.try_add(product.try_cast("decimal(38,0)"),
+                     (low - up * two_64).cast("decimal(38,0)")).try_cast("decimal(38,0)")
+
+
+def _unscaled_text(raw: Column) -> Column:
+    size = F.octet_length(raw)
+    return F.when((size > 0) & (size <= 8), _narrow_integer(raw).cast("string")).when(
+        (size > 8) & (size <= 16), _wide_integer(raw).cast("string"))
 
 
 def _with_scale(unscaled: Column, scale: Column) -> Column:
-    """Decimal text of an integer with ``scale`` digits after the point."""
-    text = unscaled.cast("string")
-    sign = F.when(text.startswith("-"), F.lit("-")).otherwise(F.lit(""))
-    body = F.regexp_replace(text, "^-", "")
+    """Decimal text of an integer's text with ``scale`` digits after the point."""
+    sign = F.when(unscaled.startswith("-"), F.lit("-")).otherwise(F.lit(""))
+    body = F.regexp_replace(unscaled, "^-", "")
     body = F.lpad(body, F.greatest(F.length(body), scale + 1), F.lit("0"))
     point = F.concat(sign, F.substr(body, F.lit(1), F.length(body) - scale), F.lit("."),
                      F.right(body, scale))
-    return F.when(scale > 0, point).otherwise(F.concat(text, F.repeat(F.lit("0"), -scale)))
+    return F.when(scale > 0, point).otherwise(F.concat(unscaled, F.repeat(F.lit("0"), -scale)))
+
+
+def _bytes_to_decimal(raw: Column, scale: int, target: str) -> Column:
+    """Unscaled bytes with a scale known beforehand. Up to eight bytes need no
+    text: one multiplication by a power of ten, exact for scales up to 16."""
+    if not 0 <= scale <= 16:
+        return _with_scale(_unscaled_text(raw), F.lit(scale)).try_cast(target)
+    step = F.lit(f"{10 ** -scale:.{scale}f}").cast(f"decimal({scale + 1},{scale})")
+    size = F.octet_length(raw)
+    return F.when((size > 0) & (size <= 8), (_narrow_integer(raw) * step).try_cast(target)).when(
+        (size > 8) & (size <= 16),
+        _with_scale(_wide_integer(raw).cast("string"), F.lit(scale)).try_cast(target))
 
 
 def to_decimal(value: Column, precision: int, scale: int, encoding: str = "text",
@@ -179,10 +209,10 @@ def to_decimal(value: Column, precision: int, scale: int, encoding: str = "text"
     if encoding == "double":
         return _cast(value, target, strict)
     if encoding == "bytes":
-        return _with_scale(_unscaled_integer(F.unbase64(value)), F.lit(scale)).try_cast(target)
+        return _bytes_to_decimal(F.unbase64(value), scale, target)
     if encoding == "struct":
-        unscaled = _unscaled_integer(F.unbase64(value.getField("value")))
-        return _with_scale(unscaled, value.getField("scale").cast("int")).try_cast(target)
+        text = _unscaled_text(F.unbase64(value.getField("value")))
+        return _with_scale(text, value.getField("scale").cast("int")).try_cast(target)
     raise ValueError(f"unknown decimal encoding {encoding!r}")
 
 

@@ -146,17 +146,24 @@ class LakeTable:
             return self.spark.createDataFrame([], self.schema)
         return self.spark.read.schema(self.schema).parquet(*[self.log_path(b) for b in ids])
 
-    def _versions(self, version: int | None, pending: list[int]) -> DataFrame:
+    def _versions(self, version: int | None, pending: list[int],
+                  columns: list[str] | None = None) -> DataFrame:
         key, order = list(self.spec.key), list(self.spec.order)
+        names = [f.name for f in self.schema]
+        if columns is not None:
+            wanted = {*key, *order, KIND, *columns}
+            names = [n for n in names if n in wanted]
         if version is None:
-            return newest_versions(self.log(pending), key, order)
+            return newest_versions(self.log(pending).select(*names), key, order)
+        base = self.base(version).select(*names)
         if not pending:
-            return self.base(version)
-        return merge_versions(self.base(version), self.log(pending), key, order)
+            return base
+        return merge_versions(base, self.log(pending).select(*names), key, order, self.spec.buckets)
 
-    def read(self) -> DataFrame:
-        """Current rows: newest base merged with the log behind it."""
-        return live_rows(self._versions(self.version(), self.pending()))
+    def read(self, columns: list[str] | None = None) -> DataFrame:
+        """Current rows: newest base merged with the log behind it. Name the
+        ``columns`` to read only those, with the key and the ordering."""
+        return live_rows(self._versions(self.version(), self.pending(), columns))
 
     def publish(self, name: str) -> None:
         """Make the table readable by SQL.

@@ -43,7 +43,7 @@ def expand_flat_records(frame: DataFrame, spec: TableSpec, text: str = "value",
                         zone: str = "UTC", strict: bool = True,
                         converters: Mapping[str, Converter] | None = None) -> DataFrame:
     """Flat JSON records of one table to typed changelog rows, columns by name."""
-    records = parse_flat_records(frame, text)
+    records = parse_flat_records(frame, text, spec)
     typed = records.withColumns({
         "before": row_by_name(F.col("before"), spec, zone, converters),
         "after": row_by_name(F.col("after"), spec, zone, converters),

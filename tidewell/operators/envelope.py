@@ -103,16 +103,20 @@ def flat_record(produced_ms: Column | None = None) -> Column:
     ))
 
 
-def parse_flat_records(frame: DataFrame, text: str = "value") -> DataFrame:
-    """Flat JSON text to its envelope columns; rows stay maps of text until the
-    table, and with it the schema, is known."""
+def parse_flat_records(frame: DataFrame, text: str = "value",
+                       spec: TableSpec | None = None) -> DataFrame:
+    """Flat JSON text to its envelope columns, values as text. With a spec, the
+    images have its columns; without one they are maps, until the table, and
+    with it the schema, is known."""
     pairs = T.MapType(T.StringType(), T.StringType())
+    image = pairs if spec is None else T.StructType(
+        [T.StructField(f.name, T.StringType()) for f in spec.schema])
     schema = T.StructType([
         T.StructField("db", T.StringType()),
         T.StructField("table", T.StringType()),
         T.StructField("key", pairs),
-        T.StructField("before", pairs),
-        T.StructField("after", pairs),
+        T.StructField("before", image),
+        T.StructField("after", image),
         T.StructField("op", T.StringType()),
         T.StructField("cdc_ts", T.StringType()),
         T.StructField("prd_ts", T.StringType()),
@@ -122,15 +126,13 @@ def parse_flat_records(frame: DataFrame, text: str = "value") -> DataFrame:
         *carried, "_e.*")
 
 
-def row_by_name(pairs: Column, spec: TableSpec, zone: str = "UTC",
+def row_by_name(values: Column, spec: TableSpec, zone: str = "UTC",
                 converters: Mapping[str, Converter] | None = None) -> Column:
-    """Typed row of a map of text values; missing columns are null."""
-    fields = [
-        json_value(pairs[f.name],
-                   f.dataType, zone, converters, f.name).alias(f.name)
-        for f in spec.schema
-    ]
-    return F.when(pairs.isNotNull(), F.struct(*fields))
+    """Typed row of a map or struct of text values; columns missing from a map
+    are null. Pass a plain column: it is read once per field."""
+    fields = [json_value(values[f.name], f.dataType, zone, converters, f.name).alias(f.name)
+              for f in spec.schema]
+    return F.when(values.isNotNull(), F.struct(*fields))
 
 
 def row_by_position(values: Column, spec: TableSpec, zone: str = "UTC") -> Column:

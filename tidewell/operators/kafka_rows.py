@@ -32,15 +32,18 @@ def key_partition(key: Column, partitions: Column | int, portable: bool = False)
 
 def kafka_rows(frame: DataFrame, key_fields: Sequence[str], partitions: int,
                tag_db: str = "db", tag_table: str = "table", lowercase: bool = False,
-               produced_ms: Column | None = None, portable: bool = True) -> DataFrame:
+               produced_ms: Column | None = None, portable: bool = True,
+               carried: Sequence[str] = ()) -> DataFrame:
     """Envelope records with ``db`` and ``table`` as Kafka rows, UTF-8 bytes in
-    ``key`` and ``value``. Write them with ``writeStream.format("kafka")``."""
+    ``key`` and ``value``. Write them with ``writeStream.format("kafka")``.
+    ``carried`` columns are kept beside them."""
     key = record_key(F.col("key"), key_fields)
     return frame.select(
         topic_name(F.col(tag_db), F.col(tag_table), lowercase).alias("topic"),
         key.cast("binary").alias("key"),
         flat_record(produced_ms).cast("binary").alias("value"),
         key_partition(key, partitions, portable).alias("partition"),
+        *carried,
     )
 
 

@@ -40,23 +40,27 @@ def current_state(changes: DataFrame, keys: Sequence[str],
 
 
 def merge_versions(base: DataFrame, log: DataFrame, keys: Sequence[str],
-                   order: Sequence[str] = DEFAULT_ORDER) -> DataFrame:
+                   order: Sequence[str] = DEFAULT_ORDER, buckets: int | None = None) -> DataFrame:
     """Newest version per key of a base (one row per key) and a log, deletes kept.
 
-    Only the log is aggregated. The base joins on the key, so a base bucketed by
-    the key is read in place: no exchange above its scan. An equal version keeps
-    the base row, so a redelivered log changes nothing.
+    Only the log is aggregated. The base joins on the key; one that is bucketed
+    by the key into ``buckets`` is read in place, with no exchange above its
+    scan, because the reduced log is brought to its layout. An equal version
+    keeps the base row, so a redelivered log changes nothing.
     """
     rest = [c for c in base.columns if c not in keys]
     fresh = newest_versions(log, keys, order).select(
         *keys, F.struct(*[F.col(c) for c in rest]).alias("_new"))
-    stored = base.select(*keys, F.struct(*rest).alias("_old"))
-    new_order = F.struct(*[F.col(f"_new.{c}") for c in order])
-    old_order = F.struct(*[F.col(f"_old.{c}") for c in order])
-    pick = F.when(F.col("_old").isNull() | (new_order > old_order), F.col("_new")).otherwise(
-        F.col("_old"))
-    return (stored.join(fresh, list(keys), "full_outer")
-            .select(*keys, pick.alias("_v")).select(*keys, "_v.*"))
+    if buckets is not None:
+        fresh = fresh.repartition(buckets, *keys)
+    stored = base.select(*keys, *[F.col(c).alias(f"_old_{c}") for c in rest])
+    newer = F.struct(*[F.col(f"_new.{c}") for c in order]) > F.struct(
+        *[F.col(f"_old_{c}") for c in order])
+    take = F.col(f"_old_{KIND}").isNull() | newer
+    # Column by column, so that a scan of the base reads what the caller uses.
+    return (stored.join(fresh, list(keys), "full_outer").withColumn("_take", take)
+            .select(*keys, *[F.when(F.col("_take"), F.col(f"_new.{c}"))
+                             .otherwise(F.col(f"_old_{c}")).alias(c) for c in rest]))
 
 
 def merge_on_read(base: DataFrame, log: DataFrame, keys: Sequence[str],

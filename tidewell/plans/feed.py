@@ -23,7 +23,7 @@ ROW = T.StructType([
 KEY = T.StructType([T.StructField("id", T.LongType())])
 
 ORDERS = TableSpec(name="order.orders", schema=T.StructType(
-    [T.StructField("topic", T.StringType())] + ROW.fields), key=("topic", "id"))
+    [T.StructField("topic", T.StringType())] + ROW.fields), key=("id", "topic"))
 
 START_MS = 1700000000000
 

@@ -101,13 +101,15 @@ SELECT concat('order_0', shard) AS db, 'orders' AS "table", id, op, b_st, a_st,
        b_st IS NOT NULL AS has_before FROM ok""")
 def flat_record_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     feed = with_topic_parts(keep_changes(feed_of(spark, sf_dir)))
-    texts = feed.select(flat_record(F.col("ts_ms") + 500).alias("v"))
-    part = lambda path, to="string": F.get_json_object("v", path).cast(to)
+    image = "struct<st: string, amt: double>"
+    schema = (f"db string, `table` string, key struct<id: bigint>, before {image}, after {image},"
+              " op string, cdc_ts string, prd_ts string")
+    texts = feed.select(flat_record(F.col("ts_ms") + 500).alias("v")).select(
+        "v", F.from_json("v", schema).alias("e"))
     return texts.select(
-        part("$.db").alias("db"), part("$.table").alias("table"), part("$.key.id", "bigint").alias("id"),
-        part("$.op").alias("op"), part("$.before.st").alias("b_st"), part("$.after.st").alias("a_st"),
-        part("$.before.amt", "double").alias("b_amt"), part("$.after.amt", "double").alias("a_amt"),
-        part("$.cdc_ts").alias("cdc_ts"), part("$.prd_ts").alias("prd_ts"),
+        "e.db", "e.table", "e.key.id", "e.op", F.col("e.before.st").alias("b_st"),
+        F.col("e.after.st").alias("a_st"), F.col("e.before.amt").alias("b_amt"),
+        F.col("e.after.amt").alias("a_amt"), "e.cdc_ts", "e.prd_ts",
         F.contains("v", F.lit('"before"')).alias("has_before"))
 
 
@@ -136,8 +138,8 @@ def project_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
         *[x for n in names for x in (F.lit(n), F.col(pair[n]).cast("string"))])
     pairs = F.when(F.col("o_orderkey") % 3 == 0, as_map(["cust", "amt", "id"])).otherwise(
         as_map(["amt", "st", "id", "cust"]))
-    rows = table(spark, sf_dir, "orders").select(row_by_name(pairs, SHAPE).alias("row"))
-    return rows.select("row.*")
+    rows = table(spark, sf_dir, "orders").select(pairs.alias("pairs"))
+    return rows.select(row_by_name(F.col("pairs"), SHAPE).alias("row")).select("row.*")
 
 
 @query("target_names", """
@@ -245,11 +247,10 @@ SELECT concat('t_order_0', shard, '_orders') AS topic, CAST(id AS VARCHAR) AS ke
 def kafka_rows_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     feed = with_topic_parts(keep_changes(feed_of(spark, sf_dir)))
     rows = kafka_rows(feed, ["id"], 4, produced_ms=F.col("ts_ms"))
-    value = F.col("value").cast("string")
-    return rows.select(
-        "topic", F.col("key").cast("string").alias("key"), "partition",
-        F.get_json_object(value, "$.op").alias("op"),
-        F.coalesce(F.get_json_object(value, "$.after.st"), F.get_json_object(value, "$.before.st")).alias("st"))
+    rows = rows.withColumn("_v", F.from_json(
+        F.col("value").cast("string"), "before struct<st: string>, after struct<st: string>, op string"))
+    return rows.select("topic", F.col("key").cast("string").alias("key"), "partition", "_v.op",
+                       F.coalesce("_v.after.st", "_v.before.st").alias("st"))
 
 
 @query("kafka_key", """

@@ -79,16 +79,10 @@ def start_after_gtid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def kafka_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The feed as a Kafka source would hand it over."""
-    feed = with_topic_parts(keep_changes(feed_of(spark, sf_dir)))
-    shaped = feed.select(
-        F.concat(F.lit("t_"), "db", F.lit("_"), "table").alias("topic"), "key", "before", "after",
-        "op", "ts_ms", "db", "table", "seq")
-    rows = kafka_rows(shaped, ["id"], 4, produced_ms=F.col("ts_ms") + 500)
-    number = F.get_json_object(F.col("value").cast("string"), "$.key.id").cast("bigint")
-    sent = F.get_json_object(F.col("value").cast("string"), "$.cdc_ts").cast("bigint")
-    return rows.select(
-        "key", "value", "topic", "partition",
-        (number * 10 + (sent % 1000)).alias("offset"), F.timestamp_millis(sent).alias("timestamp"))
+    feed = with_topic_parts(keep_changes(feed_of(spark, sf_dir))).withColumns({
+        "offset": F.col("key.id") * 10 + F.col("seq"), "timestamp": F.timestamp_millis("ts_ms")})
+    return kafka_rows(feed, ["id"], 4, produced_ms=F.col("ts_ms") + 500,
+                      carried=["offset", "timestamp"])
 
 
 PART = "CAST(CAST(concat('0x', substr(md5(CAST(id AS VARCHAR)), 1, 8)) AS BIGINT) % 4 AS INTEGER)"
@@ -106,13 +100,10 @@ def kafka_shape_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     frame = kafka_frame(spark, sf_dir)
     committed = frame.filter("partition < 3").groupBy("topic", "partition").agg(
         F.expr("max(offset) div 2").alias("next_offset"))
-    value = F.col("value")
-    return value_text(from_offsets(frame, committed)).select(
-        "topic", "partition", "offset",
-        F.get_json_object(value, "$.after.id").cast("bigint").alias("a"),
-        F.get_json_object(value, "$.before.id").cast("bigint").alias("b"),
-        F.get_json_object(value, "$.op").alias("op"),
-    ).select("topic", "partition", "offset", F.coalesce("a", "b").alias("id"), "op")
+    rows = value_text(from_offsets(frame, committed)).withColumn("_v", F.from_json(
+        "value", "before struct<id: bigint>, after struct<id: bigint>, op string"))
+    return rows.select("topic", "partition", "offset",
+                       F.coalesce("_v.after.id", "_v.before.id").alias("id"), "_v.op")
 
 
 @query("start_at_timestamp", CH + """

@@ -13,13 +13,14 @@ from tidewell.lake.sizing import buckets_for
 from tidewell.lake.table import LakeTable
 from tidewell.operators.merge import merge_on_read as merged
 from tidewell.operators.merge import newest_versions
-from tidewell.plans.feed import CH, ORDERS, changelog
+from tidewell.operators.envelope import keep_changes
+from tidewell.plans.feed import CH, ORDERS, change_feed, changelog
 from tidewell.plans.registry import query, table, table_stream
 from tidewell.plans.rows import TAGGED, TAGS
-from tidewell.session import scratch_dir, use_rocksdb
+from tidewell.session import scratch_dir
 from tidewell.spec import KIND, SUB, TableSpec
 from tidewell.streaming.jobs import Target, start_fan_out, start_upsert
-from tidewell.streaming.repeated import repeated_keys_stream
+from tidewell.streaming.repeated import repeated_keys_stateful, start_repeated_keys
 
 STATE = CH + "SELECT topic, id, st, amt FROM state"
 COLUMNS = ["topic", "id", "st", "amt"]
@@ -42,7 +43,7 @@ def lake_upsert_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     target = lake_table(spark, sf_dir, "upsert")
     changes = changelog(table_stream(spark, sf_dir, "orders"))
     start_upsert(changes, target, f"{target.root}/checkpoint", interval=None).awaitTermination()
-    return target.read().select(*COLUMNS)
+    return target.read(COLUMNS).select(*COLUMNS)
 
 
 @query("compact_equals_read", STATE)
@@ -53,7 +54,7 @@ def compact_equals_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     target.compact()
     target.append(changes.filter("seq > 2"), 1)
     target.compact()
-    return target.read().select(*COLUMNS)
+    return target.read(COLUMNS).select(*COLUMNS)
 
 
 @query("lake_snapshot", CH + "SELECT st, count(*) AS n, min(id) AS least, max(id) AS most FROM state GROUP BY st")
@@ -64,7 +65,7 @@ def lake_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     target.compact()
     target.append(changes.filter("seq > 2"), 1)
     name = f"lake_{uuid.uuid4().hex}"
-    target.read().select(*COLUMNS).createOrReplaceTempView(name)
+    target.read(COLUMNS).select(*COLUMNS).createOrReplaceTempView(name)
     return spark.sql(f"SELECT st, count(*) AS n, min(id) AS least, max(id) AS most FROM {name} GROUP BY st")
 
 
@@ -76,7 +77,7 @@ def redelivery_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
     target.append(changes, 0)  # the same batch again: overwritten
     target.compact()
     target.append(changes.filter("seq <= 3"), 1)  # older records again: they lose
-    return target.read().select(*COLUMNS)
+    return target.read(COLUMNS).select(*COLUMNS)
 
 
 @query("resume_stream", STATE)
@@ -89,7 +90,7 @@ def resume_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
         changes.filter(part).write.mode("append").parquet(feed)
         stream = spark.readStream.schema(changes.schema).option("maxFilesPerTrigger", 64).parquet(feed)
         start_upsert(stream, target, f"{target.root}/checkpoint", interval=None).awaitTermination()
-    return target.read().select(*COLUMNS)
+    return target.read(COLUMNS).select(*COLUMNS)
 
 
 ROUTED = TableSpec(name="order.routed", key=("id",), order=("id", SUB), schema=T.StructType([
@@ -110,12 +111,25 @@ def fan_out(spark: SparkSession, sf_dir: str) -> DataFrame:
     return one.unionByName(two)
 
 
-@query("repeated_keys", CH + "SELECT concat(topic, '|', id) AS key FROM ok GROUP BY ALL HAVING count(*) > 1")
+REPEATED = CH + "SELECT concat(topic, '|', id) AS key FROM ok GROUP BY ALL HAVING count(*) > 1"
+
+
+def key_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    feed = keep_changes(change_feed(table_stream(spark, sf_dir, "orders")))
+    return feed.select(F.concat_ws("|", "topic", "id").alias("k"))
+
+
+@query("repeated_keys", REPEATED)
 def repeated_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_dir(spark, "repeated")
-    use_rocksdb(spark)
-    feed = changelog(table_stream(spark, sf_dir, "orders")).filter(F.col(KIND) != "-U")
-    keys = repeated_keys_stream(feed.select(F.concat_ws("|", "topic", "id").alias("k")), "k")
+    start_repeated_keys(key_stream(spark, sf_dir), "k", root, interval=None)
+    return spark.read.schema("key string").parquet(f"{root}/keys")
+
+
+@query("keyed_state", REPEATED)
+def keyed_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = scratch_dir(spark, "stateful")
+    keys = repeated_keys_stateful(key_stream(spark, sf_dir), "k")
     (keys.writeStream.format("parquet").option("path", f"{root}/keys")
      .option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True)
      .start().awaitTermination())

@@ -85,7 +85,8 @@ def coerce_json(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("price"), (F.col("event_id") * 3).cast("string"),
         F.lit("at"), F.col("millis").cast("string"),
         F.lit("day"), F.col("millis").cast("string")))
-    rows = events(spark, sf_dir).select("event_id", row_by_name(pairs, JSON_SPEC, ZONE).alias("row"))
+    rows = events(spark, sf_dir).select("event_id", pairs.alias("pairs")).select(
+        "event_id", row_by_name(F.col("pairs"), JSON_SPEC, ZONE).alias("row"))
     return rows.select("event_id", "row.k", "row.flag", F.col("row.price").cast("string").alias("price"),
                        F.col("row.at").cast("string").alias("at"),
                        F.col("row.day").cast("string").alias("day"), "row.gone")

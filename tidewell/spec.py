@@ -17,7 +17,11 @@ KIND, SUB = "_kind", "_sub"
 
 @dataclass(frozen=True)
 class TableSpec:
-    """One captured table. ``order`` says which of two versions is newer."""
+    """One captured table. ``order`` says which of two versions is newer.
+
+    Name the most selective key column first: merges sort on the key in that
+    order, and early differences make comparisons cheap.
+    """
 
     name: str
     schema: T.StructType

@@ -2,12 +2,67 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterable, Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
+
+from tidewell.session import use_rocksdb
+
+# The few Python functions below travel to the executors by value, so the
+# package need not be installed there.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
+def _key_column(frame: DataFrame, key: str) -> DataFrame:
+    return frame.select(F.col(key).cast("string").alias("key")).filter(F.col("key").isNotNull())
+
+
+def repeated_keys(frame: DataFrame, key: str) -> DataFrame:
+    """Batch: each key with two or more rows, once, as ``key``."""
+    return (_key_column(frame, key).groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+            .filter("n > 1").select("key"))
+
+
+def start_repeated_keys(stream: DataFrame, key: str, root: str,
+                        interval: str | None = "60 seconds") -> tuple[StreamingQuery, ...]:
+    """Streaming: the same keys, each appended once to ``root/keys``.
+
+    Two queries of built-in operators, no Python on the rows. The first keeps a
+    count per key and hands on the keys that reached two; a hot key costs one
+    row per task and trigger. The second drops the keys handed on before. With
+    ``interval=None`` both take what is there and stop.
+    """
+    use_rocksdb(stream.sparkSession)
+    counts = (_key_column(stream, key).groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+              .filter("n > 1").select("key"))
+    touched = f"{root}/touched"
+
+    def keep(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{touched}/batch_id={batch_id}")
+
+    def trigger(writer):
+        return writer.trigger(availableNow=True) if interval is None else writer.trigger(
+            processingTime=interval)
+
+    # The folder must exist before the second query lists it.
+    empty = stream.sparkSession.createDataFrame([], "key string")
+    empty.write.mode("append").parquet(f"{touched}/batch_id=-1")
+    first = trigger(counts.writeStream.outputMode("update").foreachBatch(keep)
+                    .option("checkpointLocation", f"{root}/checkpoint-count")).start()
+    if interval is None:
+        first.awaitTermination()
+    again = (stream.sparkSession.readStream.schema("key string, batch_id bigint").parquet(touched)
+             .select("key").dropDuplicates(["key"]))
+    second = trigger(again.writeStream.format("parquet").option("path", f"{root}/keys")
+                     .option("checkpointLocation", f"{root}/checkpoint-keys")).start()
+    if interval is None:
+        second.awaitTermination()
+    return first, second
 
 
 def _shorten(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -24,16 +79,15 @@ class SecondSighting(StatefulProcessor):
         self.ttl_millis = ttl_millis
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        # False: seen once. True: reported.
-        self.seen = handle.getMapState("seen", "key string", "reported boolean", self.ttl_millis)
+        # Absent: never seen. False: seen once. True: reported.
+        self.seen = handle.getValueState("seen", "reported boolean", self.ttl_millis)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        name = (key[0],)
-        known = self.seen.containsKey(name)
-        if known and self.seen.getValue(name)[0]:
+        state = self.seen.get()
+        if state is not None and state[0]:
             return
-        total = int(known) + sum(row.n for row in rows)
-        self.seen.updateValue(name, (total > 1,))
+        total = (state is not None) + sum(row.n for row in rows)
+        self.seen.update((total > 1,))
         if total > 1:
             yield Row(key=key[0])
 
@@ -41,22 +95,17 @@ class SecondSighting(StatefulProcessor):
         pass
 
 
-def repeated_keys_stream(stream: DataFrame, key: str, ttl_millis: int | None = None) -> DataFrame:
-    """Streaming: each repeated key once, as ``key``.
+def repeated_keys_stateful(stream: DataFrame, key: str, ttl_millis: int | None = None) -> DataFrame:
+    """Streaming: the same keys in one query with state of its own, for jobs that
+    need ``ttl_millis``, after which an unseen key is forgotten, or the lowest
+    latency. Each key costs calls into Python; ``start_repeated_keys`` is the
+    faster choice otherwise.
 
     Equal keys are counted inside each Arrow batch before the shuffle, so a hot
-    key reaches its task as a few counts, not as all its rows. ``ttl_millis``
-    bounds the state: a key not seen for that long is forgotten.
+    key reaches its task as a few counts, not as all its rows.
     """
-    counts = (stream.select(F.col(key).cast("string").alias("key"))
-              .filter(F.col("key").isNotNull())
-              .mapInPandas(_shorten, "key string, n bigint"))
+    use_rocksdb(stream.sparkSession)
+    counts = _key_column(stream, key).mapInPandas(_shorten, "key string, n bigint")
     return counts.groupBy("key").transformWithState(
         SecondSighting(ttl_millis), "key string", "Append",
         "ProcessingTime" if ttl_millis else "None")
-
-
-def repeated_keys(frame: DataFrame, key: str) -> DataFrame:
-    """Batch: the same keys."""
-    return (frame.select(F.col(key).cast("string").alias("key")).filter(F.col("key").isNotNull())
-            .groupBy("key").count().filter(F.col("count") > 1).select("key"))
