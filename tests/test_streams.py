@@ -12,7 +12,7 @@ from tidewell.session import scratch_dir
 from tidewell.sources.readers import (
     KAFKA_SCHEMA, from_offsets, from_time, split_words, stream_feed_text, value_text)
 from tidewell.spec import TableSpec
-from tidewell.streaming.jobs import Target, checkpoint_for, last_progress, start_console, start_fan_out, start_upsert
+from tidewell.streaming.jobs import Target, checkpoint_for, last_progress, start_console, start_fan_out, start_upsert, stored_state
 from tidewell.streaming.repeated import repeated_keys, repeated_keys_stateful, start_repeated_keys
 
 SF = "/root/testdata/sf0.001"
@@ -75,6 +75,9 @@ def test_repeated_keys_are_reported_once_over_restarts(spark, stateful):
             start_repeated_keys(stream, "id", root, interval=None)
     got = sorted(r.key for r in spark.read.schema("key string").parquet(f"{root}/keys").collect())
     assert got == ["1", "2", "4"]
+    if not stateful:
+        counts = {r.key[0]: r.value[0] for r in stored_state(spark, f"{root}/checkpoint-count").collect()}
+        assert counts == {"1": 3, "2": 3, "3": 1, "4": 3, "5": 1}
     flat = spark.createDataFrame([(i,) for ids in rounds for i in ids], "id bigint")
     assert sorted(r.key for r in repeated_keys(flat, "id").collect()) == got
 

@@ -26,16 +26,26 @@ def to_boolean(value: Column) -> Column:
     return F.when(text.isNotNull(), text.isin("1", "true"))
 
 
+def _ranged(value: Column, to: str, bits: int, strict: bool) -> Column:
+    """An integer, null (or an error) outside its range. Read as a long and
+    compared: a failing cast costs far more than a comparison."""
+    if strict:
+        return value.cast("string").cast(to)
+    number = value.try_cast("bigint")
+    limit = 1 << (bits - 1)
+    return F.when(number.between(-limit, limit - 1), number.cast(to))
+
+
 def to_byte(value: Column, strict: bool = False) -> Column:
-    return _cast(value.cast("string"), "tinyint", strict)
+    return _ranged(value, "tinyint", 8, strict)
 
 
 def to_short(value: Column, strict: bool = False) -> Column:
-    return _cast(value.cast("string"), "smallint", strict)
+    return _ranged(value, "smallint", 16, strict)
 
 
 def to_int(value: Column, strict: bool = False) -> Column:
-    return _cast(value, "int", strict)
+    return _ranged(value, "int", 32, strict)
 
 
 def narrow_to_int(value: Column) -> Column:
@@ -242,4 +252,5 @@ def json_value(value: Column, to: T.DataType, zone: str = "UTC",
         raise TypeError(f"unsupported type {to.simpleString()}")
     if isinstance(to, T.StringType):
         return value
-    return value.try_cast(to)
+    small = {T.ByteType: to_byte, T.ShortType: to_short, T.IntegerType: to_int}.get(type(to))
+    return small(value) if small else value.try_cast(to)

@@ -120,12 +120,10 @@ def keyed_text_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     feed = with_topic_parts(keep_changes(feed_of(spark, sf_dir)))
     keyless = F.when(F.col("key.id") % 10 != 0, F.col("key")).alias("key")
     value = F.to_json(F.struct("db", "table", keyless, "before", "after", "op"))
-    text = F.split(keyed_text(value), "###", 2)
-    record = F.get(text, F.lit(1))
-    return feed.select(
-        F.get(text, F.lit(0)).alias("key"), F.get_json_object(record, "$.op").alias("op"),
-        F.coalesce(F.get_json_object(record, "$.after.id"), F.get_json_object(record, "$.before.id"))
-        .cast("bigint").alias("id"))
+    texts = feed.select(value.alias("value")).select(F.split(keyed_text(F.col("value")), "###", 2).alias("t"))
+    schema = "before struct<id: bigint>, after struct<id: bigint>, op string"
+    rows = texts.select(F.get("t", F.lit(0)).alias("key"), F.from_json(F.get("t", F.lit(1)), schema).alias("v"))
+    return rows.select("key", "v.op", F.coalesce("v.after.id", "v.before.id").alias("id"))
 
 
 @query("expand_tables", """

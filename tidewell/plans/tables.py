@@ -88,7 +88,7 @@ def resume_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     changes = changelog(table(spark, sf_dir, "orders"))
     for part in ("seq <= 2", "seq > 2"):
         changes.filter(part).write.mode("append").parquet(feed)
-        stream = spark.readStream.schema(changes.schema).option("maxFilesPerTrigger", 64).parquet(feed)
+        stream = spark.readStream.schema(changes.schema).parquet(feed)
         start_upsert(stream, target, f"{target.root}/checkpoint", interval=None).awaitTermination()
     return target.read(COLUMNS).select(*COLUMNS)
 

@@ -29,6 +29,12 @@ def last_progress(spark: SparkSession, root: str, app: str) -> str | None:
     return newest_child(spark, f"{checkpoint_for(root, app)}/commits", "[0-9]*")
 
 
+def stored_state(spark: SparkSession, checkpoint: str, operator: int = 0) -> DataFrame:
+    """Key and value rows of a stateful query's newest state."""
+    return (spark.read.format("statestore").option("path", checkpoint)
+            .option("operatorId", operator).load())
+
+
 def _start(stream: DataFrame, each: Callable[[DataFrame, int], None], checkpoint: str,
            name: str | None, interval: str | None) -> StreamingQuery:
     writer = stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
