@@ -71,6 +71,7 @@ def test_base_is_never_shuffled(spark, table):
                                     F.lit(0).alias("_sub"), F.lit("+I").alias("_kind"))
     table.append(rows, 0)
     table.compact()
+    assert len(table.base(0).inputFiles()) == SPEC.buckets
     table.append(rows.limit(10).withColumn("seq", F.lit(2)), 1)
     merged = table.read()
     text = plan(merged)

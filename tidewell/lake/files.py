@@ -10,17 +10,26 @@ def _open(spark: SparkSession, path: str):
     return hadoop, hadoop.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
-def finished_writes(spark: SparkSession, root: str, label: str) -> dict[int, int]:
-    """``{number: modification time in ms}`` of ``root/label=number`` folders whose
-    write was committed. One glob, whatever the number of folders."""
-    path, fs = _open(spark, f"{root}/{label}=*/_SUCCESS")
+def numbered_folders(spark: SparkSession, root: str, label: str) -> dict[int, int]:
+    """``{number: modification time in ms}`` of the ``root/label=number`` folders,
+    from one listing of ``root``."""
+    path, fs = _open(spark, root)
+    if not fs.exists(path):
+        return {}
     found = {}
-    for status in fs.globStatus(path) or []:
-        number = status.getPath().getParent().getName().partition("=")[2]
-        found[int(number)] = status.getModificationTime()
+    for status in fs.listStatus(path):
+        name, _, number = status.getPath().getName().partition("=")
+        if name == label:
+            found[int(number)] = status.getModificationTime()
     return found
 
 
+def is_finished(spark: SparkSession, path: str) -> bool:
+    """Whether the write of a folder was committed."""
+    marker, fs = _open(spark, f"{path}/_SUCCESS")
+    return fs.exists(marker)
+
+
 def remove(spark: SparkSession, path: str) -> bool:
     hadoop, fs = _open(spark, path)
     return fs.delete(hadoop, True)

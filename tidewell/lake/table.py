@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewell.lake.files import finished_writes, remove
+from tidewell.lake.files import is_finished, numbered_folders, remove
 from tidewell.operators.changelog import BEFORE, DELETE
 from tidewell.operators.commits import clean_candidates, compaction_due
 from tidewell.operators.merge import live_rows, merge_versions, newest_versions
@@ -44,19 +44,22 @@ class LakeTable:
 
     # -- writing -----------------------------------------------------------
 
-    def append(self, changes: DataFrame, batch_id: int) -> None:
+    def append(self, changes: DataFrame, batch_id: int, rebalance: bool = True) -> None:
         """Write one batch of changelog rows. The folder is named by the batch and
         overwritten, so a batch that runs twice is stored once.
 
-        ``-U`` images never decide a merge and are not stored. The rebalance hint
-        lets AQE pick the number of files: few for a small batch, more where one
-        part of the batch is large.
+        ``-U`` images never decide a merge and are not stored. ``rebalance`` lets
+        AQE pick the number of files: few for a small batch, more where one part
+        is large. Turn it off for a bulk load, whose tasks write large files
+        anyway; the batch is then written without a shuffle.
         """
         have = set(changes.columns)
         columns = [F.col(f.name).cast(f.dataType) if f.name in have
                    else F.lit(None).cast(f.dataType).alias(f.name) for f in self.schema]
-        (changes.filter(F.col(KIND) != BEFORE).select(*columns).hint("rebalance")
-         .write.mode("overwrite").parquet(self.log_path(batch_id)))
+        rows = changes.filter(F.col(KIND) != BEFORE).select(*columns)
+        if rebalance:
+            rows = rows.hint("rebalance")
+        rows.write.mode("overwrite").parquet(self.log_path(batch_id))
 
     def compact(self, purge_below: int | None = None) -> int | None:
         """Fold the pending batches into a new base version and return it.
@@ -65,12 +68,23 @@ class LakeTable:
         ordering value is smaller, for callers who know that no older change can
         still arrive.
         """
+        version = self.version()
         pending = self.pending()
         if not pending:
             return None
-        version = max(pending)
-        self._write_base(self._versions(self.version(), pending), version, purge_below)
-        return version
+        twin = self._aligned()
+        twin._write_base(twin._versions(version, pending), max(pending), purge_below)
+        return max(pending)
+
+    def _aligned(self) -> LakeTable:
+        """This table in a session of its own that shuffles into as many
+        partitions as there are buckets. Aggregating the log then leaves it in
+        the base's layout: one shuffle of the log, none of the base, and each
+        task writes its own bucket."""
+        session = self.spark.newSession()
+        session.conf.set("spark.sql.shuffle.partitions", self.spec.buckets)
+        session.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        return LakeTable(session, self.root, self.spec, self.database)
 
     def evolve(self, spec: TableSpec) -> LakeTable:
         """The table under a changed spec. Added columns read as null from old
@@ -83,20 +97,19 @@ class LakeTable:
         table = LakeTable(self.spark, self.root, spec, self.database)
         if not changed.retyped and not changed.dropped:
             return table
-        numbers = list(self.batches()) + list(self.versions())
+        numbers = list(self.batches()) + self.versions()
         if numbers:
-            rows = conform(self._versions(self.version(), self.pending()), spec)
+            source, target = self._aligned(), table._aligned()
+            rows = conform(source._versions(self.version(), self.pending()), spec)
             kept = F.when(F.size("_rejects") == 0, F.col(KIND)).otherwise(F.raise_error(
                 F.concat(F.lit("value lost in retyped column "), F.array_join("_rejects", ","))))
             rows = rows.withColumn(KIND, kept).drop("_rejects")
-            table._write_base(rows, max(numbers) + 1, None)
+            target._write_base(rows, max(numbers) + 1, None)
         return table
 
     def _write_base(self, rows: DataFrame, version: int, purge_below: int | None) -> None:
         if purge_below is not None:
             rows = rows.filter((F.col(KIND) != DELETE) | (F.col(self.spec.order[0]) >= purge_below))
-        if not self.versions():
-            rows = rows.repartition(self.spec.buckets, *self.spec.key)
         # A scratch catalog name: a table is what carries the bucketing.
         name = f"{self.database}.tidewell_{uuid.uuid4().hex}"
         (rows.select(*self.schema.names).write.format("parquet").mode("overwrite")
@@ -107,19 +120,23 @@ class LakeTable:
     # -- reading -----------------------------------------------------------
 
     def batches(self) -> dict[int, int]:
-        """Committed batches and their times."""
-        return finished_writes(self.spark, f"{self.root}/log", "batch_id")
+        """Batch folders and their times, finished or not."""
+        return numbered_folders(self.spark, f"{self.root}/log", "batch_id")
 
-    def versions(self) -> dict[int, int]:
-        return finished_writes(self.spark, f"{self.root}/base", "v")
+    def versions(self) -> list[int]:
+        """Committed base versions."""
+        found = numbered_folders(self.spark, f"{self.root}/base", "v")
+        return sorted(v for v in found if is_finished(self.spark, self.base_path(v)))
 
     def version(self) -> int | None:
         return max(self.versions(), default=None)
 
     def pending(self) -> list[int]:
-        """Committed batches the newest base has not folded."""
+        """Committed batches the newest base has not folded. Only these are
+        looked at; folded ones cost no more than their line in the listing."""
         version = self.version()
-        return sorted(b for b in self.batches() if version is None or b > version)
+        later = (b for b in self.batches() if version is None or b > version)
+        return sorted(b for b in later if is_finished(self.spark, self.log_path(b)))
 
     def base(self, version: int) -> DataFrame:
         """One base version, with its bucketing known to the planner."""
@@ -189,9 +206,10 @@ class LakeTable:
 
     def commits(self) -> DataFrame:
         """One row per committed batch: table, commit, ts, compacted."""
-        version = self.version()
-        rows = [(self.spec.name, number, millis, version is not None and number <= version)
-                for number, millis in sorted(self.batches().items())]
+        version, pending = self.version(), set(self.pending())
+        rows = [(self.spec.name, number, millis, number not in pending)
+                for number, millis in sorted(self.batches().items())
+                if number in pending or (version is not None and number <= version)]
         frame = self.spark.createDataFrame(rows, "table string, commit bigint, ms bigint, compacted boolean")
         return frame.select("table", "commit", F.timestamp_millis("ms").alias("ts"), "compacted")
 
@@ -206,7 +224,7 @@ class LakeTable:
         folder listing it comes from."""
         old = clean_candidates(self.commits(), keep).select("commit").collect()
         paths = [self.log_path(r.commit) for r in old]
-        paths += [self.base_path(v) for v in sorted(self.versions())[:-keep_versions]]
+        paths += [self.base_path(v) for v in self.versions()[:-keep_versions]]
         for path in paths:
             remove(self.spark, path)
         return paths

@@ -50,9 +50,9 @@ def lake_upsert_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 def compact_equals_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     target = lake_table(spark, sf_dir, "compact")
     changes = changelog(table(spark, sf_dir, "orders"))
-    target.append(changes.filter("seq <= 2"), 0)
+    target.append(changes.filter("seq <= 2"), 0, rebalance=False)
     target.compact()
-    target.append(changes.filter("seq > 2"), 1)
+    target.append(changes.filter("seq > 2"), 1, rebalance=False)
     target.compact()
     return target.read(COLUMNS).select(*COLUMNS)
 
@@ -61,9 +61,9 @@ def compact_equals_read(spark: SparkSession, sf_dir: str) -> DataFrame:
 def lake_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     target = lake_table(spark, sf_dir, "snapshot")
     changes = changelog(table(spark, sf_dir, "orders"))
-    target.append(changes.filter("seq <= 2"), 0)
+    target.append(changes.filter("seq <= 2"), 0, rebalance=False)
     target.compact()
-    target.append(changes.filter("seq > 2"), 1)
+    target.append(changes.filter("seq > 2"), 1, rebalance=False)
     name = f"lake_{uuid.uuid4().hex}"
     target.read(COLUMNS).select(*COLUMNS).createOrReplaceTempView(name)
     return spark.sql(f"SELECT st, count(*) AS n, min(id) AS least, max(id) AS most FROM {name} GROUP BY st")
@@ -73,10 +73,10 @@ def lake_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
 def redelivery_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
     target = lake_table(spark, sf_dir, "redelivery")
     changes = changelog(table(spark, sf_dir, "orders"))
-    target.append(changes, 0)
-    target.append(changes, 0)  # the same batch again: overwritten
+    target.append(changes, 0, rebalance=False)
+    target.append(changes, 0, rebalance=False)  # the same batch again: overwritten
     target.compact()
-    target.append(changes.filter("seq <= 3"), 1)  # older records again: they lose
+    target.append(changes.filter("seq <= 3"), 1, rebalance=False)  # older records again: they lose
     return target.read(COLUMNS).select(*COLUMNS)
 
 
