@@ -101,6 +101,23 @@ def test_instant_text(spark):
         datetime(2020, 8, 19, 4, 50, 47), datetime(2020, 8, 19, 4, 50, 47, 250000), None, None, None]
 
 
+def test_temporal_text_reads_back(spark):
+    at = datetime(2023, 7, 1, 12, 33, 9)
+    texts = ["2023-07-01 12:33:09", "2023-07-01T12:33:09", "2023-07-01T12:33:09Z", "2023-07-01T20:33:09+08:00",
+             "2023-07-01T10:03:09-02:30", "2023-07-01T12:33Z", "x", None]
+    got = values(spark, convert.text_to_timestamp, texts, "string")
+    assert got == [at, at, at, at, at, at.replace(second=0), None, None]
+    assert values(spark, lambda c: convert.text_to_timestamp(c, SHANGHAI), texts[1:4], "string") == [
+        at, at.replace(hour=20), at.replace(hour=20)]
+    ntz = lambda c: convert.json_value(c, T.TimestampNTZType(), SHANGHAI)
+    assert values(spark, ntz, ["2023-07-01 12:33:09", "1688185989000", None], "string") == [at, at, None]
+    day = lambda c: convert.json_value(c, T.DateType())
+    assert values(spark, day, ["2023-07-01", "2023-07-01Z", "1688185989000", "x"], "string") == [
+        at.date(), at.date(), at.date(), None]
+    clock = lambda c: convert.json_value(c, T.IntegerType(), source_type="time(3)")
+    assert values(spark, clock, ["12:33:09", "45189000", None], "string") == [45189000, 45189000, None]
+
+
 def test_binary_and_custom_converter(spark):
     assert values(spark, convert.to_binary, [base64.b64encode(b"\x00\xff").decode()], "string") == [
         bytearray(b"\x00\xff")]

@@ -78,6 +78,28 @@ def to_date(epoch_day: Column) -> Column:
     return F.date_from_unix_date(epoch_day.cast("int"))
 
 
+DATE_TEXT = r"^\d{4}-\d\d-\d\d"
+
+
+def text_to_date(text: Column) -> Column:
+    """The date at the start of ISO text, with or without a zone mark behind it."""
+    return F.when(text.rlike(DATE_TEXT), F.substring(text, 1, 10)).try_cast("date")
+
+
+def text_to_timestamp(text: Column, zone: str = "UTC") -> Column:
+    """ISO date-time text to wall-clock time. Text with ``Z`` or an offset names
+    an instant and is read in ``zone``; text without one is local already."""
+    local = F.replace(F.regexp_extract(text, r"^\d{4}-\d\d-\d\d[T ][0-9:.]+", 0), F.lit("T"), F.lit(" "))
+    local = F.when(local != "", local).try_cast("timestamp_ntz")
+    sign = F.regexp_extract(text, r"([+-])\d\d:\d\d$", 1)
+    mark = F.right(text, F.lit(5))
+    minutes = F.substring(mark, 1, 2).try_cast("int") * 60 + F.substring(mark, 4, 2).try_cast("int")
+    shift = F.when(sign == "+", -minutes).when(sign == "-", minutes).otherwise(F.lit(0))
+    instant = F.convert_timezone(F.lit("UTC"), F.lit(zone), F.timestamp_add("MINUTE", shift, local))
+    return F.when((sign != "") & text.contains(":") & (F.length(text) > 16)
+                  | text.endswith("Z"), instant).otherwise(local)
+
+
 def to_time_millis(value: Column, unit: str) -> Column:
     """Milliseconds of the day. ``unit``: ``millis``, ``micros``, ``nanos`` or ``text``."""
     if unit == "millis":
@@ -104,10 +126,13 @@ def _floor_div(value: Column, step: int) -> Column:
 
 
 def to_timestamp(value: Column, unit: str) -> Column:
-    """Epoch ``millis``, ``micros`` or ``nanos`` to a timestamp without zone.
+    """Epoch ``millis``, ``micros`` or ``nanos``, or ISO ``text``, to a timestamp
+    without zone.
 
     Spark keeps microseconds, so nanoseconds are floored.
     """
+    if unit == "text":
+        return text_to_timestamp(value)
     epoch = F.expr(EPOCH)
     number = value.cast("bigint")
     if unit == "millis":
@@ -230,12 +255,14 @@ Converter = Callable[[Column], Column]
 
 
 def json_value(value: Column, to: T.DataType, zone: str = "UTC",
-               converters: Mapping[str, Converter] | None = None, name: str | None = None) -> Column:
+               converters: Mapping[str, Converter] | None = None, name: str | None = None,
+               source_type: str = "") -> Column:
     """A JSON scalar, given as text, to ``to``.
 
     ``converters`` maps a column name or a type name to a function that wins
-    over the rules below. Temporal numbers are epoch milliseconds, read in
-    ``zone``; booleans come as 0/1.
+    over the rules below. Temporal values are epoch milliseconds, read in
+    ``zone``, or text as the temporal profiles write it; booleans come as 0/1.
+    A ``source_type`` of TIME marks an integer column as milliseconds of a day.
     """
     for choice in (name, to.typeName()):
         if converters and choice in converters:
@@ -243,9 +270,13 @@ def json_value(value: Column, to: T.DataType, zone: str = "UTC",
     if isinstance(to, T.BooleanType):
         return to_boolean(value)
     if isinstance(to, T.DateType):
-        return epoch_millis_local_date(value.try_cast("bigint"), zone)
+        return F.when(value.rlike(DATE_TEXT), text_to_date(value)).otherwise(
+            epoch_millis_local_date(to_long(value), zone))
     if isinstance(to, (T.TimestampNTZType, T.TimestampType)):
-        return epoch_millis_local(value.try_cast("bigint"), zone).cast(to)
+        return F.when(value.rlike(DATE_TEXT), text_to_timestamp(value, zone)).otherwise(
+            epoch_millis_local(to_long(value), zone)).cast(to)
+    if isinstance(to, T.IntegerType) and source_type.strip().lower().split("(")[0] == "time":
+        return F.when(value.contains(":"), to_time_millis(value, "text")).otherwise(to_int(value))
     if isinstance(to, T.BinaryType):
         return to_binary(value)
     if isinstance(to, (T.ArrayType, T.MapType)):

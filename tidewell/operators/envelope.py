@@ -130,7 +130,8 @@ def row_by_name(values: Column, spec: TableSpec, zone: str = "UTC",
                 converters: Mapping[str, Converter] | None = None) -> Column:
     """Typed row of a map or struct of text values; columns missing from a map
     are null. Pass a plain column: it is read once per field."""
-    fields = [json_value(values[f.name], f.dataType, zone, converters, f.name).alias(f.name)
+    fields = [json_value(values[f.name], f.dataType, zone, converters, f.name,
+                         spec.source_types.get(f.name, "")).alias(f.name)
               for f in spec.schema]
     return F.when(values.isNotNull(), F.struct(*fields))
 
