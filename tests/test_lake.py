@@ -90,6 +90,20 @@ def test_base_is_never_shuffled(spark, table):
     assert table.base(1).filter("seq = 2").count() == 10
 
 
+def test_lookup_reads_one_bucket(spark, table):
+    rows = spark.range(500).select("id", F.lit("a").alias("shard"), F.col("id").cast("string").alias("v"),
+                                   F.lit(1).alias("seq"), F.lit(0).alias("_sub"), F.lit("+I").alias("_kind"))
+    table.append(rows, 0)
+    assert table.lookup(id=7, shard="a").first().v == "7"
+    table.compact()
+    table.append(batch(spark, (8, "a", "new", 2, 1, "+U"), (9, "a", "9", 2, 0, "-D")), 1)
+    got = {i: [r.v for r in table.lookup(id=i, shard="a").collect()] for i in range(0, 12)}
+    assert got == {**{i: [str(i)] for i in range(12)}, 8: ["new"], 9: []}
+    assert table.lookup(id=7, shard="b").count() == 0
+    base_files = [f for f in table.lookup(id=7, shard="a").inputFiles() if "/base/" in f]
+    assert len(base_files) == 1
+
+
 def test_uncommitted_folders_are_not_read(spark, table):
     table.append(batch(spark, (1, "a", "x", 1, 0, "+I")), 0)
     broken = batch(spark, (9, "a", "bad", 1, 0, "+I"))

@@ -71,10 +71,31 @@ def test_hot_key_is_reduced_before_the_shuffle(spark):
     state = current_state(frame, KEY)
     assert state.count() == 200001 and state.filter("id = 0").first().v == "299997"
     text = plan(state)
-    assert text.index("max_by") < text.index("Exchange") < text.index("partial_max_by")
+    assert text.index("[max(") < text.index("Exchange") < text.index("partial_max(")
     assert text.count("Exchange") == 1
 
 
+def test_equal_versions_give_one_result_and_maps_are_allowed(spark):
+    rows = [(1, 1, 0, "+I", v) for v in "bca"]
+    for parts in (1, 3):
+        frame = spark.createDataFrame(rows, SCHEMA).repartition(parts)
+        assert state_of(current_state(frame, KEY)) == {1: "c"}
+    mapped = spark.createDataFrame(rows, SCHEMA).withColumn("m", F.create_map("v", "v"))
+    assert current_state(mapped.filter("v = 'a'"), KEY).first().m == {"a": "a"}
+
+
+def test_sequences(spark):
+    frame = spark.createDataFrame(
+        [(("mysql-bin.000009", 500, "u:7", None),), (("mysql-bin.000010", 4, "u:8", 12),)],
+        "source struct<file:string,pos:bigint,gtid:string,lsn:bigint>")
+    got = lambda by: [r[0] for r in frame.select(offsets.source_sequence(by)).collect()]
+    assert got("gtid") == [7, 8] and got("lsn") == [None, 12]
+    low, high = got("position")
+    assert low < high and high == (10 << 40) + 4
+    with pytest.raises(ValueError):
+        offsets.source_sequence("arrival")
+
+
 def test_seed_order_table(spark):
     """The trial statements over the seed rows, as a change feed."""
     rows = [

@@ -1,3 +1,5 @@
+import json
+
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -5,6 +7,7 @@ from pyspark.sql import types as T
 from tidewell.lake.table import LakeTable
 from tidewell.operators.changelog import expand_changelog
 from tidewell.operators.envelope import keep_changes
+from tidewell.operators.routing import logical_tag
 from tidewell.operators.offsets import after_gtid_set, intervals_of
 from tidewell.plans.feed import KEY, ORDERS, ROW, changelog, envelopes, change_feed
 from tidewell.plans.registry import table
@@ -12,7 +15,7 @@ from tidewell.session import scratch_dir
 from tidewell.sources.readers import (
     KAFKA_SCHEMA, from_offsets, from_time, split_words, stream_feed_text, value_text)
 from tidewell.spec import TableSpec
-from tidewell.streaming.jobs import Target, checkpoint_for, last_progress, start_console, start_fan_out, start_upsert, stored_state
+from tidewell.streaming.jobs import Target, checkpoint_for, last_progress, start_console, start_fan_out, start_upsert, stored_state, typed_target
 from tidewell.streaming.repeated import repeated_keys, repeated_keys_stateful, start_repeated_keys
 
 SF = "/root/testdata/sf0.001"
@@ -61,6 +64,36 @@ def test_fan_out_writes_each_table_and_replays_in_place(spark):
     assert targets["even"].table.log().count() == 5
 
 
+def test_flat_records_to_tables_of_different_schema(spark):
+    """Kafka-shaped flat JSON, routed by tag, each table typed by its own spec."""
+    root = scratch_dir(spark, "typed")
+    users = TableSpec(name="db.users", key=("user_id",), order=("offset", "_sub"), buckets=2,
+                      source_types={"created_at": "timestamp"}, schema=T.StructType([
+                          T.StructField("user_id", T.IntegerType()), T.StructField("locked", T.BooleanType()),
+                          T.StructField("created_at", T.TimestampNTZType())]))
+    orders = TableSpec(name="db.orders", key=("order_id",), order=("offset", "_sub"), buckets=2,
+                       schema=T.StructType([T.StructField("order_id", T.StringType()),
+                                            T.StructField("pay_amount", T.DoubleType())]))
+    user = {"user_id": 1, "locked": 0, "created_at": "2023-07-01 12:00:00"}
+    lines = [
+        {"db": "db_01", "table": "users", "op": "c", "after": user},
+        {"db": "db_02", "table": "orders", "op": "r", "after": {"order_id": "ab1", "pay_amount": 30}},
+        {"db": "db_01", "table": "users", "op": "u", "before": user, "after": {**user, "locked": 1}},
+        {"db": "db_02", "table": "orders", "op": "d", "before": {"order_id": "ab1", "pay_amount": 30}},
+        {"db": "db_02", "table": "orders", "op": "c", "after": {"order_id": "ab2", "pay_amount": 1.5, "new": 1}},
+        {"db": "db_02", "table": "ghosts", "op": "c", "after": {"x": 1}}]
+    rows = [(i, json.dumps(line)) for i, line in enumerate(lines)]
+    spark.createDataFrame(rows, "offset bigint, value string").write.parquet(f"{root}/in")
+    stream = spark.readStream.schema("offset bigint, value string").parquet(f"{root}/in")
+    at = F.from_json("value", "db string, `table` string")
+    tagged = stream.withColumn("_tag", logical_tag(at["db"], at["table"]))
+    targets = {s.name: typed_target(LakeTable(spark, f"{root}/{s.name}", s)) for s in (users, orders)}
+    start_fan_out(tagged, targets, f"{root}/c", interval=None).awaitTermination()
+    row = targets["db.users"].table.read().first()
+    assert (row.user_id, row.locked, str(row.created_at)) == (1, True, "2023-07-01 12:00:00")
+    assert [(r.order_id, r.pay_amount) for r in targets["db.orders"].table.read().collect()] == [("ab2", 1.5)]
+
+
 @pytest.mark.parametrize("stateful", [False, True])
 def test_repeated_keys_are_reported_once_over_restarts(spark, stateful):
     root = scratch_dir(spark, "rep")

@@ -158,6 +158,17 @@ def test_zulu_text(spark):
         "2023-07-01T04:33:09Z"]
 
 
+def test_temporal_columns_of_a_table(spark):
+    at = datetime(2023, 7, 1, 12, 33, 9)
+    frame = spark.createDataFrame([(1, at, at.date(), at)], "id int, made timestamp_ntz, day date, seen timestamp_ntz")
+    types = {"id": "int(11)", "made": "datetime(3)", "day": "date", "seen": "timestamp"}
+    rules = temporal.temporal_columns(types, "lake", SHANGHAI, F.lit(False))
+    assert sorted(rules) == ["day", "made", "seen"]
+    row = frame.withColumns(rules).first()
+    assert (row.id, row.made, row.day, row.seen) == (
+        1, "2023-07-01T04:33:09Z", "2023-07-01Z", "2023-07-01T20:33:09+08:00")
+
+
 def test_temporal_rules(spark):
     rule = temporal.temporal_rule("datetime(6)", "plain", SHANGHAI)
     at = datetime(2023, 7, 1, 12, 33, 9)

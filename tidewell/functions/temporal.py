@@ -7,6 +7,8 @@ written only when they are not zero. ``zone`` is the database's zone.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -114,6 +116,18 @@ def temporal_rule(source_type: str, profile: str, zone: str):
     return (plain if profile == "plain" else lake).get(word)
 
 
+def temporal_columns(source_types: Mapping[str, str], profile: str, zone: str,
+                     snapshot: Column, prefix: str = "") -> dict[str, Column]:
+    """The rules of a table as ``{column: text}``, for ``withColumns``; columns of
+    other types are left out. ``prefix`` names a struct the columns are in."""
+    found = {}
+    for name, source_type in source_types.items():
+        rule = temporal_rule(source_type, profile, zone)
+        if rule is not None:
+            found[name] = rule(F.col(f"{prefix}{name}"), snapshot)
+    return found
+
+
 def write_time(at: Column | None = None) -> Column:
     """``yyyy-MM-dd HH:mm:ss`` text; the time of the run unless ``at`` is given."""
     return F.date_format(F.current_timestamp() if at is None else at, "yyyy-MM-dd HH:mm:ss")

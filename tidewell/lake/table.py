@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidewell.functions.keys import bucket_of
 from tidewell.lake.files import is_finished, numbered_folders, remove
 from tidewell.operators.changelog import BEFORE, DELETE
 from tidewell.operators.commits import clean_candidates, compaction_due
@@ -182,6 +183,25 @@ class LakeTable:
         ``columns`` to read only those, with the key and the ordering."""
         return live_rows(self._versions(self.version(), self.pending(), columns))
 
+    def lookup(self, **key) -> DataFrame:
+        """The current row of one key. Only the files of its bucket are read from
+        the base, and within them the row groups whose range holds the key."""
+        schema = {f.name: f.dataType for f in self.schema}
+        literals = {k: F.lit(key[k]).cast(schema[k]) for k in self.spec.key}
+        match = F.lit(True)
+        for name, value in literals.items():
+            match = match & (F.col(name) == value)
+        log = self.log().filter(match)
+        version = self.version()
+        if version is None:
+            return live_rows(newest_versions(log, self.spec.key, self.spec.order))
+        bucket = bucket_of(list(literals.values()), self.spec.buckets)
+        number = self.spark.range(1).select(bucket).first()[0]
+        base = (self.spark.read.schema(self.schema)
+                .option("pathGlobFilter", f"*_{number:05d}.c*")
+                .parquet(self.base_path(version)).filter(match))
+        return live_rows(newest_versions(base.unionByName(log), self.spec.key, self.spec.order))
+
     def publish(self, name: str) -> None:
         """Make the table readable by SQL.
 

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidewell.operators.changelog import AFTER, BEFORE, INSERT
 from tidewell.spec import KIND, SUB
@@ -20,12 +21,18 @@ def newest_versions(changes: DataFrame, keys: Sequence[str],
     The maximum is an aggregate, so each map task sends one row per key and a
     key that holds a large part of all rows costs no more than any other. ``-U``
     images are never the newest of their key and are left out before the shuffle.
+    Versions of equal order are told apart by their values, so the result does
+    not depend on how the rows were spread.
     """
     rest = [c for c in changes.columns if c not in keys]
-    newest = F.max_by(F.struct(*rest), F.struct(*order))
+    ranked = [*order, *[c for c in rest if c not in order]]
+    if any(isinstance(changes.schema[c].dataType, (T.MapType, T.VariantType)) for c in ranked):
+        newest = F.max_by(F.struct(*rest), F.struct(*order))  # maps have no order
+    else:
+        newest = F.max(F.struct(*ranked))
     return (changes.filter(F.col(KIND) != BEFORE)
             .groupBy(*keys).agg(newest.alias("_v"))
-            .select(*keys, "_v.*"))
+            .select(*keys, *[F.col(f"_v.{c}") for c in rest]))
 
 
 def live_rows(versions: DataFrame) -> DataFrame:

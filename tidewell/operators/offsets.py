@@ -10,6 +10,28 @@ from pyspark.sql import functions as F
 from tidewell.functions import gtid
 
 
+POSITION_BITS = 40
+
+
+def source_sequence(by: str, source: str = "source") -> Column:
+    """One rising number per log entry, for the ordering column ``seq``.
+
+    ``position`` packs the log file's number above its offset and tells apart
+    two changes of one row in one transaction. ``gtid`` is the transaction's
+    number on its server and survives a change of server. ``lsn`` is a write-ahead
+    log's own number.
+    """
+    field = lambda name: F.col(f"{source}.{name}")
+    if by == "position":
+        file = F.regexp_extract(field("file"), r"(\d+)$", 1).cast("bigint")
+        return F.shiftleft(file, POSITION_BITS) + field("pos")
+    if by == "gtid":
+        return gtid.id_number(field("gtid"))
+    if by == "lsn":
+        return field("lsn")
+    raise ValueError(f"unknown sequence {by!r}")
+
+
 def at_or_after(frame: DataFrame, file: str, pos: int, file_col: str = "source.file",
                 pos_col: str = "source.pos") -> DataFrame:
     """Records from a log position on, ``(file, pos)`` compared as a pair.

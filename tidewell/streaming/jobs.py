@@ -7,12 +7,13 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark import StorageLevel, inheritable_thread_target
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidewell.lake.files import newest_child
 from tidewell.lake.table import LakeTable
+from tidewell.operators.changelog import expand_flat_records
 from tidewell.operators.routing import TAG
 
 INTERVAL = "60 seconds"
@@ -61,24 +62,41 @@ class Target:
     project: Callable[[DataFrame], DataFrame] = lambda rows: rows
 
 
+def typed_target(table: LakeTable, text: str = "value", zone: str = "UTC",
+                 ordering: Mapping[str, Column] | None = None) -> Target:
+    """Target for flat JSON records: each table reads them with its own schema,
+    by name. ``ordering`` gives the spec's ordering columns that the records
+    carry beside the text, such as the Kafka offset."""
+
+    def project(records: DataFrame) -> DataFrame:
+        carried = records.withColumns(dict(ordering)) if ordering else records
+        return expand_flat_records(carried.drop(TAG), table.spec, text, zone)
+
+    return Target(table, project)
+
+
 def fan_out(targets: Mapping[str, Target], workers: int = 4,
             tag: str = TAG) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function writing each record to its tag's table.
 
     The batch is computed once and kept while the tables are written, a few at
-    a time; records of other tags are not written.
+    a time. Tables without a record in the batch are not touched; records of
+    other tags are not written.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         shared = batch.filter(F.col(tag).isin(list(targets))).persist(StorageLevel.MEMORY_AND_DISK)
         try:
+            # No longer than the list of targets; also fills the cache once.
+            present = [row[0] for row in shared.select(tag).distinct().collect()]
+
             def one(name: str) -> None:
                 target = targets[name]
                 target.table.append(target.project(shared.filter(F.col(tag) == name)), batch_id)
 
             run = inheritable_thread_target(batch.sparkSession)(one)
             with ThreadPoolExecutor(workers) as pool:
-                for job in [pool.submit(run, name) for name in targets]:
+                for job in [pool.submit(run, name) for name in present]:
                     job.result()
         finally:
             shared.unpersist()
