@@ -8,7 +8,7 @@ from helpers import plan
 from tidewell.lake.files import newest_child
 from tidewell.lake.maintenance import compact_all, compact_rounds
 from tidewell.lake.sizing import buckets_for
-from tidewell.lake.table import LakeTable
+from tidewell.lake.table import LakeTable, Version
 from tidewell.session import scratch_dir
 from tidewell.spec import TableSpec
 
@@ -34,11 +34,11 @@ def test_read_before_and_after_compaction_agree(spark, table):
     assert state(table) == {} and table.compact() is None
     table.append(batch(spark, (1, "a", "x", 1, 0, "+I"), (1, "b", "y", 1, 0, "+I"), (2, "a", "z", 1, 0, "+I")), 0)
     assert state(table) == {(1, "a"): "x", (1, "b"): "y", (2, "a"): "z"}
-    assert table.compact() == 0 and table.pending() == []
+    assert table.compact() == Version(0) and table.pending() == []
     table.append(batch(spark, (1, "a", "x", 2, 0, "-U"), (1, "a", "x2", 2, 1, "+U"), (2, "a", "z", 3, 0, "-D")), 1)
     before = state(table)
     assert before == {(1, "a"): "x2", (1, "b"): "y"}
-    assert table.compact() == 1 and state(table) == before
+    assert table.compact() == Version(1) and state(table) == before
     assert table.log([1]).filter("_kind = '-U'").count() == 0
 
 
@@ -48,7 +48,7 @@ def test_late_record_cannot_bring_a_deleted_row_back(spark, table):
     table.append(batch(spark, (1, "a", "old", 3, 1, "+U")), 1)
     assert state(table) == {}
     table.compact()
-    assert state(table) == {} and table.base(1).count() == 1
+    assert state(table) == {} and table.base(Version(1)).count() == 1
     table.append(batch(spark, (1, "a", "new", 9, 0, "+I")), 2)
     assert state(table) == {(1, "a"): "new"}
 
@@ -56,7 +56,7 @@ def test_late_record_cannot_bring_a_deleted_row_back(spark, table):
 def test_purge_drops_old_deletions_only(spark, table):
     table.append(batch(spark, (1, "a", "x", 5, 0, "-D"), (2, "a", "y", 8, 0, "-D"), (3, "a", "z", 1, 0, "+I")), 0)
     table.compact(purge_below=8)
-    assert {r.id for r in table.base(0).collect()} == {2, 3}
+    assert {r.id for r in table.base(Version(0)).collect()} == {2, 3}
 
 
 def test_repeated_batch_is_stored_once(spark, table):
@@ -71,7 +71,7 @@ def test_base_is_never_shuffled(spark, table):
                                     F.lit(0).alias("_sub"), F.lit("+I").alias("_kind"))
     table.append(rows, 0)
     table.compact()
-    assert len(table.base(0).inputFiles()) == SPEC.buckets
+    assert len(table.base(Version(0)).inputFiles()) == SPEC.buckets
     table.append(rows.limit(10).withColumn("seq", F.lit(2)), 1)
     merged = table.read()
     text = plan(merged)
@@ -85,9 +85,9 @@ def test_base_is_never_shuffled(spark, table):
     assert "v:string" not in plan(merged.select("id")).split("ReadSchema: ")[1].splitlines()[0]
     table.compact()
     # Each bucket's task wrote its own bucket: one file per bucket.
-    files = table.base(1).inputFiles()
+    files = table.base(Version(1)).inputFiles()
     assert len(files) == SPEC.buckets
-    assert table.base(1).filter("seq = 2").count() == 10
+    assert table.base(Version(1)).filter("seq = 2").count() == 10
 
 
 def test_lookup_reads_one_bucket(spark, table):
@@ -125,9 +125,16 @@ def test_evolve(spark, table):
     table = table.evolve(typed)
     assert {(r.id, r.v) for r in table.read().collect()} == {(1, 7), (2, 8), (4, 1)}
     assert table.read().columns[:3] == ["id", "shard", "v"]
+    assert table.version() == Version(1)
     table.append(spark.createDataFrame([(3, "a", 5, 1, 0, "+I"), (1, "a", 6, 9, 1, "+U")],
-                                       "id bigint, shard string, v int, seq bigint, _sub int, _kind string"), 5)
+                                       "id bigint, shard string, v int, seq bigint, _sub int, _kind string"), 2)
     assert {(r.id, r.v) for r in table.read().collect()} == {(1, 6), (2, 8), (4, 1)}
+    table.compact()
+    table = table.evolve(SPEC)  # nothing pending: the base is rewritten in place of itself
+    assert table.versions() == [Version(1), Version(2), Version(2, 1)]
+    table.append(batch(spark, (2, "a", "eight", 10, 1, "+U")), 3)
+    assert state(table) == {(1, "a"): "6", (2, "a"): "eight", (4, "a"): "1"}
+    assert Version.of(Version(2, 1).label) == Version(2, 1) > Version(2)
 
 
 def test_evolve_refuses_to_lose_values(spark, table):
@@ -176,7 +183,7 @@ def test_one_failing_table_does_not_stop_the_rest(spark, table):
 
     broken = Broken(spark, table.root + "-broken", SPEC)
     errors = compact_all([broken, table])
-    assert list(errors) == [broken.root] and table.version() == 0
+    assert list(errors) == [broken.root] and table.version() == Version(0)
     rounds = iter([True, True, False])
     seen = []
     compact_rounds([table], every_seconds=0, go_on=lambda: next(rounds), report=seen.append)

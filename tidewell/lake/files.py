@@ -10,17 +10,17 @@ def _open(spark: SparkSession, path: str):
     return hadoop, hadoop.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
-def numbered_folders(spark: SparkSession, root: str, label: str) -> dict[int, int]:
-    """``{number: modification time in ms}`` of the ``root/label=number`` folders,
+def labelled_folders(spark: SparkSession, root: str, label: str) -> dict[str, int]:
+    """``{value: modification time in ms}`` of the ``root/label=value`` folders,
     from one listing of ``root``."""
     path, fs = _open(spark, root)
     if not fs.exists(path):
         return {}
     found = {}
     for status in fs.listStatus(path):
-        name, _, number = status.getPath().getName().partition("=")
+        name, _, value = status.getPath().getName().partition("=")
         if name == label:
-            found[int(number)] = status.getModificationTime()
+            found[value] = status.getModificationTime()
     return found
 
 

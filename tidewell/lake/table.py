@@ -1,8 +1,9 @@
 """A keyed lake table: bucketed Parquet base versions plus a Parquet change log.
 
 ``root/log/batch_id=N`` holds the changes of batch N, ``root/base/v=N`` the
-newest version of every key as of batch N. Readers take the greatest committed
-``v`` and the committed batches after it. One writer per table.
+newest version of every key as of batch N (``v=N.R`` after it was rewritten R
+times for a changed schema). Readers take the greatest committed ``v`` and the
+committed batches after it. One writer per table.
 
 The base is bucketed and sorted by the key, so reading and compacting move only
 the log through a shuffle, never the base. Deleted keys stay in the base as
@@ -13,19 +14,36 @@ from __future__ import annotations
 
 import uuid
 from functools import cached_property
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewell.functions.keys import bucket_of
-from tidewell.lake.files import is_finished, numbered_folders, remove
+from tidewell.lake.files import is_finished, labelled_folders, remove
 from tidewell.operators.changelog import BEFORE, DELETE
 from tidewell.operators.commits import clean_candidates, compaction_due
 from tidewell.operators.merge import live_rows, merge_versions, newest_versions
 from tidewell.spec import KIND, TableSpec, conform, diff, stored_schema
 
 
+class Version(NamedTuple):
+    """A base: the last batch it holds, and how often that base was rewritten."""
+
+    batch: int
+    rewrite: int = 0
+
+    @property
+    def label(self) -> str:
+        return f"{self.batch}.{self.rewrite}" if self.rewrite else str(self.batch)
+
+    @classmethod
+    def of(cls, label: str) -> Version:
+        batch, _, rewrite = label.partition(".")
+        return cls(int(batch), int(rewrite or 0))
+
+
 class LakeTable:
     def __init__(self, spark: SparkSession, root: str, spec: TableSpec, database: str = "default"):
         self.spark = spark
@@ -40,8 +58,8 @@ class LakeTable:
     def log_path(self, batch_id: int) -> str:
         return f"{self.root}/log/batch_id={batch_id}"
 
-    def base_path(self, version: int) -> str:
-        return f"{self.root}/base/v={version}"
+    def base_path(self, version: Version) -> str:
+        return f"{self.root}/base/v={version.label}"
 
     # -- writing -----------------------------------------------------------
 
@@ -62,7 +80,7 @@ class LakeTable:
             rows = rows.hint("rebalance")
         rows.write.mode("overwrite").parquet(self.log_path(batch_id))
 
-    def compact(self, purge_below: int | None = None) -> int | None:
+    def compact(self, purge_below: int | None = None) -> Version | None:
         """Fold the pending batches into a new base version and return it.
 
         Nothing pending gives None. ``purge_below`` drops deleted keys whose
@@ -73,9 +91,10 @@ class LakeTable:
         pending = self.pending()
         if not pending:
             return None
+        folded = Version(max(pending))
         twin = self._aligned()
-        twin._write_base(twin._versions(version, pending), max(pending), purge_below)
-        return max(pending)
+        twin._write_base(twin._versions(version, pending), folded, purge_below)
+        return folded
 
     def _aligned(self) -> LakeTable:
         """This table in a session of its own that shuffles into as many
@@ -98,17 +117,19 @@ class LakeTable:
         table = LakeTable(self.spark, self.root, spec, self.database)
         if not changed.retyped and not changed.dropped:
             return table
-        numbers = list(self.batches()) + self.versions()
-        if numbers:
+        version, pending = self.version(), self.pending()
+        if pending or version is not None:
+            # Named by the batches it holds: the next batch must count as new.
+            rewritten = Version(max(pending)) if pending else version._replace(rewrite=version.rewrite + 1)
             source, target = self._aligned(), table._aligned()
-            rows = conform(source._versions(self.version(), self.pending()), spec)
+            rows = conform(source._versions(version, pending), spec)
             kept = F.when(F.size("_rejects") == 0, F.col(KIND)).otherwise(F.raise_error(
                 F.concat(F.lit("value lost in retyped column "), F.array_join("_rejects", ","))))
             rows = rows.withColumn(KIND, kept).drop("_rejects")
-            target._write_base(rows, max(numbers) + 1, None)
+            target._write_base(rows, rewritten, None)
         return table
 
-    def _write_base(self, rows: DataFrame, version: int, purge_below: int | None) -> None:
+    def _write_base(self, rows: DataFrame, version: Version, purge_below: int | None) -> None:
         if purge_below is not None:
             rows = rows.filter((F.col(KIND) != DELETE) | (F.col(self.spec.order[0]) >= purge_below))
         # A scratch catalog name: a table is what carries the bucketing.
@@ -122,24 +143,25 @@ class LakeTable:
 
     def batches(self) -> dict[int, int]:
         """Batch folders and their times, finished or not."""
-        return numbered_folders(self.spark, f"{self.root}/log", "batch_id")
+        found = labelled_folders(self.spark, f"{self.root}/log", "batch_id")
+        return {int(batch): millis for batch, millis in found.items()}
 
-    def versions(self) -> list[int]:
-        """Committed base versions."""
-        found = numbered_folders(self.spark, f"{self.root}/base", "v")
-        return sorted(v for v in found if is_finished(self.spark, self.base_path(v)))
+    def versions(self) -> list[Version]:
+        """Committed base versions, oldest first."""
+        found = labelled_folders(self.spark, f"{self.root}/base", "v")
+        return sorted(v for v in map(Version.of, found) if is_finished(self.spark, self.base_path(v)))
 
-    def version(self) -> int | None:
+    def version(self) -> Version | None:
         return max(self.versions(), default=None)
 
     def pending(self) -> list[int]:
         """Committed batches the newest base has not folded. Only these are
         looked at; folded ones cost no more than their line in the listing."""
         version = self.version()
-        later = (b for b in self.batches() if version is None or b > version)
+        later = (b for b in self.batches() if version is None or b > version.batch)
         return sorted(b for b in later if is_finished(self.spark, self.log_path(b)))
 
-    def base(self, version: int) -> DataFrame:
+    def base(self, version: Version) -> DataFrame:
         """One base version, with its bucketing known to the planner."""
         name = f"{self.database}.tidewell_{uuid.uuid4().hex}"
         self._declare(name, version)
@@ -148,7 +170,7 @@ class LakeTable:
         self.spark.sql(f"DROP TABLE {name}")
         return frame
 
-    def _declare(self, name: str, version: int) -> None:
+    def _declare(self, name: str, version: Version) -> None:
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in self.schema)
         key = ", ".join(f"`{k}`" for k in self.spec.key)
         self.spark.sql(
@@ -164,7 +186,7 @@ class LakeTable:
             return self.spark.createDataFrame([], self.schema)
         return self.spark.read.schema(self.schema).parquet(*[self.log_path(b) for b in ids])
 
-    def _versions(self, version: int | None, pending: list[int],
+    def _versions(self, version: Version | None, pending: list[int],
                   columns: list[str] | None = None) -> DataFrame:
         key, order = list(self.spec.key), list(self.spec.order)
         names = [f.name for f in self.schema]
@@ -229,7 +251,7 @@ class LakeTable:
         version, pending = self.version(), set(self.pending())
         rows = [(self.spec.name, number, millis, number not in pending)
                 for number, millis in sorted(self.batches().items())
-                if number in pending or (version is not None and number <= version)]
+                if number in pending or (version is not None and number <= version.batch)]
         frame = self.spark.createDataFrame(rows, "table string, commit bigint, ms bigint, compacted boolean")
         return frame.select("table", "commit", F.timestamp_millis("ms").alias("ts"), "compacted")
 

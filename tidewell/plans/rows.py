@@ -50,7 +50,7 @@ def logical_tag(spark: SparkSession, sf_dir: str) -> DataFrame:
 MONTHLY = """
 m AS (SELECT o_orderkey AS id, concat('order_0', o_orderkey % 8) AS db,
              CASE o_orderkey % 4 WHEN 0 THEN 'orders' WHEN 1 THEN 'refunds_' || strftime(o_orderdate, '%Y%m')
-                  ELSE 'orders_' || strftime(o_orderdate, '%Y%m') END AS tbl FROM orders)"""
+                  ELSE 'orders_' || strftime(o_orderdate, '%Y%m') END AS tbl, o_orderdate AS seen_at FROM orders)"""
 
 
 def monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -58,7 +58,7 @@ def monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").selectExpr(
         "o_orderkey AS id", "concat('order_0', o_orderkey % 8) AS db",
         "CASE o_orderkey % 4 WHEN 0 THEN 'orders' WHEN 1 THEN 'refunds_' || date_format(o_orderdate, 'yyyyMM')"
-        " ELSE 'orders_' || date_format(o_orderdate, 'yyyyMM') END AS tbl")
+        " ELSE 'orders_' || date_format(o_orderdate, 'yyyyMM') END AS tbl", "o_orderdate AS seen_at")
 
 
 @query("logical_tag_two_step", "WITH " + MONTHLY + """

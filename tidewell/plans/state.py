@@ -63,10 +63,12 @@ def capture_phase(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("new_tables", "WITH " + MONTHLY + """
 SELECT id, concat(db, '.', tbl) AS "table" FROM m
-WHERE concat(db, '.', tbl) NOT IN (SELECT concat(db, '.', tbl) FROM m WHERE id % 11 = 0)""")
+WHERE concat(db, '.', tbl) NOT IN (SELECT concat(db, '.', tbl) FROM m WHERE seen_at < TIMESTAMP '1996-03-01')""")
 def new_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = monthly(spark, sf_dir).select("id", F.concat_ws(".", "db", "tbl").alias("table"))
-    return offset_rules.new_tables(rows, rows.filter("id % 11 = 0"))
+    """Rows of the physical tables that first appear after the last snapshot."""
+    rows = monthly(spark, sf_dir).select("id", F.concat_ws(".", "db", "tbl").alias("table"), "seen_at")
+    snapshotted = rows.filter("seen_at < timestamp_ntz'1996-03-01 00:00:00'")
+    return offset_rules.new_tables(rows, snapshotted).select("id", "table")
 
 
 COMMITS = """
