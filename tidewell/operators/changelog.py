@@ -6,9 +6,10 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidewell.functions.convert import Converter
-from tidewell.operators.envelope import parse_flat_records, row_by_name
+from tidewell.operators.envelope import row_by_name
 from tidewell.spec import KIND, SUB, TableSpec
 
 INSERT, BEFORE, AFTER, DELETE = "+I", "-U", "+U", "-D"
@@ -42,10 +43,16 @@ def expand_changelog(frame: DataFrame, op: str = "op", before: str = "before",
 def expand_flat_records(frame: DataFrame, spec: TableSpec, text: str = "value",
                         zone: str = "UTC", strict: bool = True,
                         converters: Mapping[str, Converter] | None = None) -> DataFrame:
-    """Flat JSON records of one table to typed changelog rows, columns by name."""
-    records = parse_flat_records(frame, text, spec)
+    """Flat JSON records of one table to typed changelog rows, columns by name.
+    Only the op and the images are read from the text."""
+    image = T.StructType([T.StructField(f.name, T.StringType()) for f in spec.schema])
+    schema = T.StructType([T.StructField("op", T.StringType()), T.StructField("before", image),
+                           T.StructField("after", image)])
+    carried = [c for c in frame.columns if c != text]
+    records = frame.select(*carried, F.from_json(F.col(text), schema).alias("_e")).select(
+        *carried, "_e.*")
     typed = records.withColumns({
         "before": row_by_name(F.col("before"), spec, zone, converters),
         "after": row_by_name(F.col("after"), spec, zone, converters),
     })
-    return expand_changelog(typed.drop("key", "cdc_ts", "prd_ts", "db", "table"), strict=strict)
+    return expand_changelog(typed, strict=strict)

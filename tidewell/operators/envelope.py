@@ -103,24 +103,14 @@ def flat_record(produced_ms: Column | None = None) -> Column:
     ))
 
 
-def parse_flat_records(frame: DataFrame, text: str = "value",
-                       spec: TableSpec | None = None) -> DataFrame:
-    """Flat JSON text to its envelope columns, values as text. With a spec, the
-    images have its columns; without one they are maps, until the table, and
-    with it the schema, is known."""
+def parse_flat_records(frame: DataFrame, text: str = "value") -> DataFrame:
+    """Flat JSON text to its envelope columns. The key and the images are maps of
+    text, until the table, and with it the schema, is known."""
     pairs = T.MapType(T.StringType(), T.StringType())
-    image = pairs if spec is None else T.StructType(
-        [T.StructField(f.name, T.StringType()) for f in spec.schema])
+    text_type = T.StringType()
     schema = T.StructType([
-        T.StructField("db", T.StringType()),
-        T.StructField("table", T.StringType()),
-        T.StructField("key", pairs),
-        T.StructField("before", image),
-        T.StructField("after", image),
-        T.StructField("op", T.StringType()),
-        T.StructField("cdc_ts", T.StringType()),
-        T.StructField("prd_ts", T.StringType()),
-    ])
+        T.StructField(name, pairs if name in ("key", "before", "after") else text_type)
+        for name in ("db", "table", "key", "before", "after", "op", "cdc_ts", "prd_ts")])
     carried = [c for c in frame.columns if c != text]
     return frame.select(*carried, F.from_json(F.col(text), schema).alias("_e")).select(
         *carried, "_e.*")

@@ -15,14 +15,10 @@ from tidewell.spec import TableSpec
 ZONE = "Asia/Shanghai"
 
 
-def since_epoch(unit: str, value="ts"):
-    """Epoch count of a timestamp without zone."""
-    return F.timestamp_diff(unit, F.expr(convert.EPOCH), F.col(value))
-
-
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "events").withColumns({
-        "micros": since_epoch("MICROSECOND"), "millis": since_epoch("MILLISECOND")})
+    return table(spark, sf_dir, "events").withColumn(
+        "micros", temporal.epoch_micros(F.col("ts"))).withColumn(
+        "millis", F.expr("micros div 1000"))
 
 
 TYPE_TEXT = """

@@ -17,6 +17,9 @@ JOB_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # The JVM never compiles a method beyond this size. Tables with many columns
+    # exceed it in one fused stage; below the limit Spark splits the code instead.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.streaming.stateStore.providerClass": ROCKSDB_PROVIDER,
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
