@@ -73,6 +73,8 @@ def test_base_is_never_shuffled(spark, table):
     table.compact()
     assert len(table.base(Version(0)).inputFiles()) == SPEC.buckets
     table.append(rows.limit(10).withColumn("seq", F.lit(2)), 1)
+    folding = plan(table._aligned()._versions(table.version(), table.pending()))
+    assert folding.count("Exchange") == 1 and folding.index("Bucketed: true") < folding.index("Exchange")
     merged = table.read()
     text = plan(merged)
     assert "Bucketed: true" in text and "disabled by query planner" not in text

@@ -50,6 +50,7 @@ class LakeTable:
         self.root = root.rstrip("/")
         self.spec = spec
         self.database = database
+        self.aligned = False  # whether the session shuffles into the base's buckets
 
     @cached_property
     def schema(self) -> T.StructType:
@@ -104,7 +105,9 @@ class LakeTable:
         session = self.spark.newSession()
         session.conf.set("spark.sql.shuffle.partitions", self.spec.buckets)
         session.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
-        return LakeTable(session, self.root, self.spec, self.database)
+        twin = LakeTable(session, self.root, self.spec, self.database)
+        twin.aligned = True
+        return twin
 
     def evolve(self, spec: TableSpec) -> LakeTable:
         """The table under a changed spec. Added columns read as null from old
@@ -198,7 +201,8 @@ class LakeTable:
         base = self.base(version).select(*names)
         if not pending:
             return base
-        return merge_versions(base, self.log(pending).select(*names), key, order, self.spec.buckets)
+        buckets = None if self.aligned else self.spec.buckets
+        return merge_versions(base, self.log(pending).select(*names), key, order, buckets)
 
     def read(self, columns: list[str] | None = None) -> DataFrame:
         """Current rows: newest base merged with the log behind it. Name the
