@@ -8,7 +8,7 @@ from check import TABLES, canon
 from helpers import plan
 
 SF = "/root/testdata/sf0.001"
-QUERIES, ORACLES = contract.queries(), contract.oracle_sql()
+QUERIES, ORACLES = contract.QUERIES, contract.ORACLES
 
 
 @pytest.fixture(scope="module")
