@@ -1,6 +1,8 @@
 """All queries of this subpackage."""
 
-from tidewell.llm import decontaminate, simhash  # noqa: F401
+from tidewell.llm import (  # noqa: F401
+    classifier, decontaminate, licenses, mixing, pii, rules, sharding, simhash, urls, warc,
+)
 from tidewell.llm.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
