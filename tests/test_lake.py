@@ -1,4 +1,6 @@
+import os
 import time
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -34,12 +36,17 @@ def test_read_before_and_after_compaction_agree(spark, table):
     assert state(table) == {} and table.compact() is None
     table.append(batch(spark, (1, "a", "x", 1, 0, "+I"), (1, "b", "y", 1, 0, "+I"), (2, "a", "z", 1, 0, "+I")), 0)
     assert state(table) == {(1, "a"): "x", (1, "b"): "y", (2, "a"): "z"}
-    assert table.compact() == Version(0) and table.pending() == []
+    first = table.compact()
+    assert (first.number, first.base, first.delta, first.folded) == (1, 1, None, {"main": 0}) and table.pending() == []
     table.append(batch(spark, (1, "a", "x", 2, 0, "-U"), (1, "a", "x2", 2, 1, "+U"), (2, "a", "z", 3, 0, "-D")), 1)
     before = state(table)
     assert before == {(1, "a"): "x2", (1, "b"): "y"}
-    assert table.compact() == Version(1) and state(table) == before
-    assert table.log([1]).filter("_kind = '-U'").count() == 0
+    second = table.compact()
+    assert (second.base, second.delta, second.folded) == (1, 2, {"main": 1}) and state(table) == before
+    assert table.log([("main", 1)]).filter("_kind = '-U'").count() == 0
+    third = table.compact(full=True)
+    assert (third.base, third.delta) == (3, None) and state(table) == before
+    assert table.compact() is None and table.compact(full=True) is None
 
 
 def test_late_record_cannot_bring_a_deleted_row_back(spark, table):
@@ -48,7 +55,7 @@ def test_late_record_cannot_bring_a_deleted_row_back(spark, table):
     table.append(batch(spark, (1, "a", "old", 3, 1, "+U")), 1)
     assert state(table) == {}
     table.compact()
-    assert state(table) == {} and table.base(Version(1)).count() == 1
+    assert state(table) == {} and table.base(1).count() == 1
     table.append(batch(spark, (1, "a", "new", 9, 0, "+I")), 2)
     assert state(table) == {(1, "a"): "new"}
 
@@ -56,14 +63,14 @@ def test_late_record_cannot_bring_a_deleted_row_back(spark, table):
 def test_purge_drops_old_deletions_only(spark, table):
     table.append(batch(spark, (1, "a", "x", 5, 0, "-D"), (2, "a", "y", 8, 0, "-D"), (3, "a", "z", 1, 0, "+I")), 0)
     table.compact(purge_below=8)
-    assert {r.id for r in table.base(Version(0)).collect()} == {2, 3}
+    assert {r.id for r in table.base(1).collect()} == {2, 3}
 
 
 def test_repeated_batch_is_stored_once(spark, table):
     rows = batch(spark, (1, "a", "x", 1, 0, "+I"))
     table.append(rows, 3)
     table.append(rows, 3)
-    assert table.log([3]).count() == 1 and table.pending() == [3]
+    assert table.log([("main", 3)]).count() == 1 and table.pending() == [("main", 3)]
 
 
 def test_base_is_never_shuffled(spark, table):
@@ -71,7 +78,8 @@ def test_base_is_never_shuffled(spark, table):
                                     F.lit(0).alias("_sub"), F.lit("+I").alias("_kind"))
     table.append(rows, 0)
     table.compact()
-    assert len(table.base(Version(0)).inputFiles()) == SPEC.buckets
+    files = {f: os.path.getmtime(f.removeprefix("file:")) for f in table.base(1).inputFiles()}
+    assert len(files) == SPEC.buckets
     table.append(rows.limit(10).withColumn("seq", F.lit(2)), 1)
     folding = plan(table._aligned()._versions(table.version(), table.pending()))
     assert folding.count("Exchange") == 1 and folding.index("Bucketed: true") < folding.index("Exchange")
@@ -80,16 +88,141 @@ def test_base_is_never_shuffled(spark, table):
     assert "Bucketed: true" in text and "disabled by query planner" not in text
     # Both exchanges belong to the log: its aggregation, and the base's layout.
     assert text.count("Exchange") == 2 and text.index("Bucketed: true") < text.index("Exchange")
+    # No sort lies between the base's scan and the join.
+    assert "Sort [" not in text[:text.index("Bucketed: true")] and "Sort [" not in folding[:folding.index("Bucketed: true")]
     assert merged.count() == 5000
     pruned = plan(table.read(["id"]).select("id"))
     schemas = [line.split("ReadSchema: ")[1] for line in pruned.splitlines() if "ReadSchema" in line]
     assert len(schemas) == 2 and not any("v:string" in s for s in schemas)
     assert "v:string" not in plan(merged.select("id")).split("ReadSchema: ")[1].splitlines()[0]
+    # A small log leaves the base's files as they are; a full compaction writes one per bucket.
     table.compact()
-    # Each bucket's task wrote its own bucket: one file per bucket.
-    files = table.base(Version(1)).inputFiles()
-    assert len(files) == SPEC.buckets
-    assert table.base(Version(1)).filter("seq = 2").count() == 10
+    assert table.version().base == 1 and {f: os.path.getmtime(f.removeprefix("file:")) for f in files} == files
+    table.compact(full=True)
+    assert len(table.base(3).inputFiles()) == SPEC.buckets
+    assert table.base(3).filter("seq = 2").count() == 10
+
+
+def test_reading_issues_no_ddl(spark, table):
+    table.append(batch(spark, (1, "a", "x", 1, 0, "+I")), 0)
+    table.compact()
+    names = lambda: {t.name for t in spark.catalog.listTables("default")}
+    before = names()
+    said = []
+    class Watched(LakeTable):
+        def _declare(self, *args):
+            said.append(args)
+    Watched(spark, table.root).read().count()
+    assert said == [] and names() == before
+    spark.sql(f"DROP TABLE {table.base_table(1)}")  # as in another catalog
+    assert state(LakeTable(spark, table.root)) == {(1, "a"): "x"} and names() == before
+
+
+@pytest.mark.parametrize("buckets", [3, 16])
+def test_another_bucket_count_is_refused(spark, table, buckets):
+    rows = spark.range(1000).select("id", F.lit("a").alias("shard"), F.lit("v").alias("v"), F.lit(1).alias("seq"),
+                                    F.lit(0).alias("_sub"), F.lit("+I").alias("_kind"))
+    table.append(rows, 0)
+    table.compact()
+    other = replace(SPEC, buckets=buckets)
+    with pytest.raises(ValueError, match="another spec"):
+        LakeTable(spark, table.root, other)
+    table.append(rows.limit(10).withColumn("seq", F.lit(2)), 1)
+    grown = LakeTable(spark, table.root).evolve(other)
+    assert grown.read().count() == 1000 and grown.read().filter("seq = 2").count() == 10
+    assert len(grown.base(grown.version().base).inputFiles()) == buckets
+    assert [r.v for r in grown.lookup(id=7, shard="a").collect()] == ["v"]
+    with pytest.raises(ValueError, match="another spec"):
+        table.append(rows, 2)  # the old object does not know
+    grown.append(rows.limit(5).withColumn("seq", F.lit(3)), 2)
+    grown.compact()
+    assert grown.read().count() == 1000 and grown.read().filter("seq = 3").count() == 5
+
+
+@pytest.mark.parametrize("change", [{"key": ("id",)}, {"order": ("seq",)}, {"partitioned_by": ("shard",)}])
+def test_key_order_and_partitions_are_fixed(spark, table, change):
+    table.append(batch(spark, (1, "a", "x", 1, 0, "+I")), 0)
+    with pytest.raises(ValueError):
+        LakeTable(spark, table.root, replace(SPEC, **change))
+    with pytest.raises(ValueError, match="cannot change"):
+        table.evolve(replace(SPEC, **change))
+
+
+def test_no_spec_and_no_table(spark):
+    with pytest.raises(ValueError, match="no table"):
+        LakeTable(spark, scratch_dir(spark, "lake"))
+
+
+@pytest.mark.parametrize("lacking", ["id", "seq", "_sub", "_kind"])
+def test_changes_without_key_order_or_kind_are_refused(spark, table, lacking):
+    with pytest.raises(ValueError, match=lacking):
+        table.append(batch(spark, (1, "a", "x", 1, 0, "+I")).drop(lacking), 0)
+
+
+def test_writers_number_their_own_batches(spark, table):
+    for number, writer in enumerate(("one", "two")):
+        table.append(batch(spark, *[(10 * number + i, "a", writer, 1, 0, "+I") for i in range(5)]), 0, writer=writer)
+    assert len(state(table)) == 10
+    table.compact()
+    # A new checkpoint counts from zero, behind a base that holds batches of others.
+    table.append(batch(spark, (1, "a", "new", 99, 0, "+I")), 0, writer="three")
+    assert table.pending() == [("three", 0)] and state(table)[1, "a"] == "new" and len(state(table)) == 10
+    table.compact()
+    table.append(batch(spark, (2, "a", "again", 0, 0, "+I")), 0, writer="three")  # held already
+    with pytest.raises(ValueError, match="another writer"):
+        table.append(batch(spark, (1, "a", "lost", 100, 0, "+I")), -1, writer="three")
+    assert table.pending() == [] and state(table)[1, "a"] == "new"
+    assert table.version().folded == {"one": 0, "two": 0, "three": 0}
+
+
+def test_two_compactions_at_once(spark, table):
+    table.append(batch(spark, (1, "a", "x", 1, 0, "+I")), 0)
+    late = table.version()
+    table.compact()
+    with pytest.raises(RuntimeError, match="taken by another"):
+        table._commit(replace(late, number=1))
+    assert state(table) == {(1, "a"): "x"}
+
+
+PARTS = replace(SPEC, key=("id",), partitioned_by=("shard",))
+
+
+def test_rows_that_change_their_partition(spark):
+    table = LakeTable(spark, scratch_dir(spark, "parts"), PARTS)
+    moves = [batch(spark, (1, "a", "x", 1, 0, "+I"), (2, "a", "y", 1, 0, "+I")),
+             batch(spark, (1, "a", "x", 2, 0, "-U"), (1, "b", "x2", 2, 1, "+U")),
+             batch(spark, (2, "a", "y", 3, 0, "-U"), (2, "a", "y2", 3, 1, "+U")),
+             batch(spark, (1, "b", "x2", 4, 0, "-U"), (1, "c", "x3", 4, 1, "+U"))]
+    for number, move in enumerate((0, 3, 1, 2)):  # arrival is not the order of the changes
+        table.append(moves[move], number)
+        if number == 1:
+            table.compact()
+    assert state(table) == {(1, "c"): "x3", (2, "a"): "y2"}
+    for full in (False, True):
+        table.compact(full=full)
+        assert state(table) == {(1, "c"): "x3", (2, "a"): "y2"}
+    table.append(moves[0], 9)  # delivered again
+    assert state(table) == {(1, "c"): "x3", (2, "a"): "y2"}
+    one = table.read(where={"shard": "a"})
+    assert [r.id for r in one.collect()] == [2]
+    text = plan(one)
+    assert "PartitionFilters: [isnotnull(shard" in text and "Bucketed: true" in text
+    assert text.index("Bucketed: true") < text.index("Exchange")
+    assert [r.v for r in table.lookup(id=1).collect()] == ["x3"]
+    with pytest.raises(ValueError, match="not partition"):
+        table.read(where={"v": "x"})
+    fresh = LakeTable(spark, table.root)
+    spark.sql(f"DROP TABLE {table.base_table(table.version().base)}")
+    assert state(fresh) == {(1, "c"): "x3", (2, "a"): "y2"}
+
+
+def test_settings_made_at_run_time_hold_while_compacting(spark, table):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        assert table._aligned().spark.conf.get("spark.sql.session.timeZone") == "Asia/Tokyo"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
 
 
 def test_lookup_reads_one_bucket(spark, table):
@@ -127,16 +260,16 @@ def test_evolve(spark, table):
     table = table.evolve(typed)
     assert {(r.id, r.v) for r in table.read().collect()} == {(1, 7), (2, 8), (4, 1)}
     assert table.read().columns[:3] == ["id", "shard", "v"]
-    assert table.version() == Version(1)
+    assert table.pending() == [] and table.version().folded == {"main": 1}
     table.append(spark.createDataFrame([(3, "a", 5, 1, 0, "+I"), (1, "a", 6, 9, 1, "+U")],
                                        "id bigint, shard string, v int, seq bigint, _sub int, _kind string"), 2)
     assert {(r.id, r.v) for r in table.read().collect()} == {(1, 6), (2, 8), (4, 1)}
     table.compact()
     table = table.evolve(SPEC)  # nothing pending: the base is rewritten in place of itself
-    assert table.versions() == [Version(1), Version(2), Version(2, 1)]
+    assert table.version().base == table.version().number
     table.append(batch(spark, (2, "a", "eight", 10, 1, "+U")), 3)
     assert state(table) == {(1, "a"): "6", (2, "a"): "eight", (4, "a"): "1"}
-    assert Version.of(Version(2, 1).label) == Version(2, 1) > Version(2)
+    assert Version.from_json(7, table.version().to_json()) == replace(table.version(), number=7)
 
 
 def test_evolve_refuses_to_lose_values(spark, table):
@@ -155,12 +288,19 @@ def test_publish(spark, table):
     table.publish("published")
     ids = lambda name: sorted(r.id for r in spark.sql(f"SELECT id FROM {name}").collect())
     assert ids("published_ro") == [1] and ids("published_rt") == [1, 3]
-    table.compact()
+    assert sorted(r.id for r in spark.newSession().sql("SELECT id FROM global_temp.published_rt").collect()) == [1, 3]
+    table.compact(full=True)
     table.publish("published")
     assert ids("published_ro") == [1, 3]
+    email = T.StructField("email", T.StringType())
+    for spec in (replace(SPEC, schema=T.StructType([*SPEC.schema, email])), replace(SPEC, buckets=2),
+                 replace(SPEC, schema=T.StructType([*SPEC.schema.fields[:2], email]), buckets=2)):
+        table = table.evolve(spec if spec.buckets == table.spec.buckets or spec.columns != SPEC.columns
+                             else replace(table.spec, buckets=2))
+        table.publish("published")
+        assert ids("published_ro") == [1, 3] and ids("published_rt") == [1, 3]
+        assert spark.table("published_ro").columns == table.spec.columns
     spark.sql("DROP VIEW published_ro")
-    spark.sql("DROP TABLE published_base")
-    assert state(table) == {(1, "a"): "x", (3, "a"): "z"}
 
 
 def test_clean_and_due(spark, table):
@@ -172,20 +312,32 @@ def test_clean_and_due(spark, table):
             table.compact()
     assert table.due(max_commits=1) and not table.due(max_commits=2)
     removed = table.clean(keep=3)
-    assert [p.rsplit("/", 1)[1] for p in removed] == ["batch_id=0", "batch_id=1", "batch_id=2", "v=1"]
+    assert [p.rsplit("/", 1)[1] for p in removed] == ["batch_id=0", "batch_id=1", "batch_id=2"]
+    assert state(table) == {(1, "a"): "v5"} and table.clean(keep=3) == []
+    table.compact(full=True)
+    table.compact(full=True, purge_below=0)
+    assert "base/v=1" in " ".join(table.clean(keep=3, keep_versions=1))
     assert state(table) == {(1, "a"): "v5"}
 
 
+def test_archive_moves_folded_batches_out_of_the_list(spark, table):
+    for number in range(23):
+        table.append(batch(spark, (1, "a", f"v{number}", number, 0, "+I")), number, rebalance=False)
+    table.compact()
+    assert len(table.archive(keep=1)) == 12 and len(table.archive(keep=1)) == 0
+    assert table.commits().count() == 11 and state(table) == {(1, "a"): "v22"}
+
+
 def test_one_failing_table_does_not_stop_the_rest(spark, table):
     table.append(batch(spark, (1, "a", "x", 1, 0, "+I")), 0)
 
     class Broken(LakeTable):
-        def compact(self, purge_below=None):
+        def compact(self, full=False, purge_below=None):
             raise RuntimeError("no")
 
     broken = Broken(spark, table.root + "-broken", SPEC)
     errors = compact_all([broken, table])
-    assert list(errors) == [broken.root] and table.version() == Version(0)
+    assert list(errors) == [broken.root] and table.version().folded == {"main": 0}
     rounds = iter([True, True, False])
     seen = []
     compact_rounds([table], every_seconds=0, go_on=lambda: next(rounds), report=seen.append)
@@ -197,5 +349,5 @@ def test_newest_child_and_sizing(spark, table):
     table.append(batch(spark, (1, "a", "x", 1, 0, "+I")), 0)
     time.sleep(1.1)
     table.append(batch(spark, (1, "a", "x", 1, 0, "+I")), 1)
-    assert newest_child(spark, table.root + "/log").endswith("batch_id=1")
+    assert newest_child(spark, table.root + "/log/writer=main").endswith("batch_id=1")
     assert buckets_for(table.log()) == 8 and buckets_for(table.log(), bucket_bytes=10) > 8

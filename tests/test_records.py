@@ -130,7 +130,7 @@ def test_targets_and_tables(spark):
     assert tuple(frame.select(*[c.alias(n) for n, c in names.items()]).first()) == (
         "lake_order", "x_month_3", "/lake/lake_order/x_month_3")
     with pytest.raises(ValueError):
-        routing.bucket_table(spark, ["a.b"], [1, 2])
+        routing.bucket_counts(["a.b"], [1, 2])
     good = routing.expand_tables(spark.createDataFrame([("order.o",)], "name string"), ["_00", "_01"])
     assert [r.physical for r in good.collect()] == ["order_00.o", "order_01.o"]
     with pytest.raises(Exception, match="db.table"):

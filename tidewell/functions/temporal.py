@@ -118,7 +118,7 @@ def temporal_rule(source_type: str, profile: str, zone: str):
     lake = {
         "DATE": lambda v, s: date_zulu(v),
         "TIME": lambda v, s: duration_zulu(v),
-        "DATETIME": lambda v, s: datetime_zulu(v, zone, s),
+        "DATETIME": lambda v, s: datetime_zulu(v, zone),
         "TIMESTAMP": lambda v, s: timestamp_zulu(v, s, zone),
     }
     if profile not in ("plain", "lake"):

@@ -117,7 +117,8 @@ def mysql_type_column(text: Column, legacy: bool = False) -> Column:
         F.nullif(F.regexp_extract(lowered, DECIMAL_ARGS, 1), F.lit("")), F.lit("10"))
     scale = F.coalesce(
         F.nullif(F.regexp_extract(lowered, DECIMAL_ARGS, 2), F.lit("")), F.lit("0"))
-    decimal = F.concat(F.lit("decimal("), precision, F.lit(","), scale, F.lit(")"))
+    decimal = F.when(precision.cast("int") > 38, F.lit("string")).otherwise(
+        F.concat(F.lit("decimal("), precision, F.lit(","), scale, F.lit(")")))
 
     if legacy:
         chain = None

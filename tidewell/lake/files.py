@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import SparkSession
 
 
@@ -30,6 +32,54 @@ def is_finished(spark: SparkSession, path: str) -> bool:
     return fs.exists(marker)
 
 
+def finished_batches(spark: SparkSession, root: str) -> list[tuple[str, int, int]]:
+    """Writer, number and time in ms of the committed batches below ``root``, from
+    one listing."""
+    path, fs = _open(spark, f"{root}/writer=*/batch_id=*/_SUCCESS")
+    found = []
+    for status in fs.globStatus(path) or []:
+        folder = status.getPath().getParent()
+        writer = folder.getParent().getName().partition("=")[2]
+        found.append((writer, int(folder.getName().partition("=")[2]), status.getModificationTime()))
+    return found
+
+
+def numbered_files(spark: SparkSession, root: str) -> dict[int, str]:
+    """``{number: path}`` of the files ``root/<number>.json``."""
+    path, fs = _open(spark, f"{root}/[0-9]*.json")
+    names = [s.getPath() for s in fs.globStatus(path) or []]
+    return {int(p.getName().partition(".")[0]): p.toString() for p in names}
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    hadoop, fs = _open(spark, path)
+    stream = fs.open(hadoop)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def create_text(spark: SparkSession, path: str, text: str) -> bool:
+    """Write a file whole, or not at all; False if there is one of that name."""
+    draft, fs = _open(spark, f"{path}.{uuid.uuid4().hex}.draft")
+    stream = fs.create(draft, False)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+    target, _ = _open(spark, path)
+    done = not fs.exists(target) and fs.rename(draft, target)
+    if not done:
+        fs.delete(draft, False)
+    return done
+
+
+def move(spark: SparkSession, path: str, target: str) -> bool:
+    hadoop, fs = _open(spark, path)
+    goal, _ = _open(spark, target)
+    fs.mkdirs(goal.getParent())
+    return fs.rename(hadoop, goal)
+
+
 def remove(spark: SparkSession, path: str) -> bool:
     hadoop, fs = _open(spark, path)
     return fs.delete(hadoop, True)

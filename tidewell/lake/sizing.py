@@ -14,6 +14,8 @@ def planned_bytes(frame: DataFrame) -> int:
 
 def buckets_for(frame: DataFrame, bucket_bytes: int = 256 << 20, fewest: int = 8,
                 most: int = 100_000) -> int:
-    """Enough buckets that one holds about ``bucket_bytes`` of ``frame``. One task
-    merges one bucket, so this bounds a task's work whatever the table's size."""
+    """Enough buckets that one holds about ``bucket_bytes`` of ``frame``; one task
+    merges one bucket. Up to ``most`` buckets (25 TB by default): beyond that buckets
+    grow, so raise ``bucket_bytes`` or ``most`` knowingly. A table keeps the number it
+    was made with; ``evolve`` to a spec with more as it grows."""
     return max(fewest, min(most, math.ceil(planned_bytes(frame) / bucket_bytes)))

@@ -32,7 +32,7 @@ def key_partition(key: Column, partitions: Column | int, portable: bool = False)
 
 def kafka_rows(frame: DataFrame, key_fields: Sequence[str], partitions: int,
                tag_db: str = "db", tag_table: str = "table", lowercase: bool = False,
-               produced_ms: Column | None = None, portable: bool = True,
+               produced_ms: Column | None = None, portable: bool = False,
                carried: Sequence[str] = ()) -> DataFrame:
     """Envelope records with ``db`` and ``table`` as Kafka rows, UTF-8 bytes in
     ``key`` and ``value``. Write them with ``writeStream.format("kafka")``.

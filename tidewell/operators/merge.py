@@ -47,7 +47,8 @@ def current_state(changes: DataFrame, keys: Sequence[str],
 
 
 def merge_versions(base: DataFrame, log: DataFrame, keys: Sequence[str],
-                   order: Sequence[str] = DEFAULT_ORDER, buckets: int | None = None) -> DataFrame:
+                   order: Sequence[str] = DEFAULT_ORDER, buckets: int | None = None,
+                   bucket_by: Sequence[str] | None = None) -> DataFrame:
     """Newest version per key of a base (one row per key) and a log, deletes kept.
 
     Only the log is aggregated. The base joins on the key; one that is bucketed
@@ -59,7 +60,7 @@ def merge_versions(base: DataFrame, log: DataFrame, keys: Sequence[str],
     fresh = newest_versions(log, keys, order).select(
         *keys, F.struct(*[F.col(c) for c in rest]).alias("_new"))
     if buckets is not None:
-        fresh = fresh.repartition(buckets, *keys)
+        fresh = fresh.repartition(buckets, *(bucket_by or keys))
     stored = base.select(*keys, *[F.col(c).alias(f"_old_{c}") for c in rest])
     newer = F.struct(*[F.col(f"_new.{c}") for c in order]) > F.struct(
         *[F.col(f"_old_{c}") for c in order])

@@ -2,44 +2,75 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidewell.functions import gtid
 
 
 POSITION_BITS = 40
+GTID_CHUNK = 1 << 20
 
 
-def source_sequence(by: str, source: str = "source") -> Column:
+RANK_BITS = 48
+
+
+def source_sequence(by: str, source: str = "source", servers: Sequence[str] = ()) -> Column:
     """One rising number per log entry, for the ordering column ``seq``.
 
     ``position`` packs the log file's number above its offset and tells apart
-    two changes of one row in one transaction. ``gtid`` is the transaction's
-    number on its server and survives a change of server. ``lsn`` is a write-ahead
-    log's own number.
+    two changes of one row in one transaction; it holds on one server only.
+    ``gtid`` packs the rank of the server in ``servers``, the servers in the order
+    in which they led, above the transaction's number; after a change of server
+    the new one must be listed, or the job fails. Without ``servers`` it is the
+    bare number, for sources that never change. Changes of one row in one
+    transaction share it: order them by ``position`` too (``gtid_order``).
+    ``lsn`` is a write-ahead log's own number.
     """
     field = lambda name: F.col(f"{source}.{name}")
     if by == "position":
         file = F.regexp_extract(field("file"), r"(\d+)$", 1).cast("bigint")
         return F.shiftleft(file, POSITION_BITS) + field("pos")
     if by == "gtid":
-        return gtid.id_number(field("gtid"))
+        number = gtid.id_number(field("gtid"))
+        if not servers:
+            return number
+        uuid = gtid.id_uuid(field("gtid"))
+        ranks = F.create_map(*[F.lit(x) for i, s in enumerate(servers) for x in (s, i)])
+        rank = F.coalesce(ranks[uuid], F.when(uuid.isNotNull(), F.raise_error(
+            F.concat(F.lit("server without a rank: "), uuid)).cast("int")))
+        return F.shiftleft(rank.cast("bigint"), RANK_BITS) + number
     if by == "lsn":
         return field("lsn")
     raise ValueError(f"unknown sequence {by!r}")
 
 
+def gtid_order(servers: Sequence[str], source: str = "source") -> dict[str, Column]:
+    """Ordering columns that survive a change of server: ``seq`` by server and
+    transaction, then ``log_seq`` by the place in the log."""
+    return {"seq": source_sequence("gtid", source, servers), "log_seq": source_sequence("position", source)}
+
+
+def file_number(file: Column) -> Column:
+    """The number a log file's name ends in; null without one."""
+    return F.regexp_extract(file, r"(\d+)$", 1).try_cast("bigint")
+
+
 def at_or_after(frame: DataFrame, file: str, pos: int, file_col: str = "source.file",
                 pos_col: str = "source.pos") -> DataFrame:
-    """Records from a log position on, ``(file, pos)`` compared as a pair.
-
-    Written without a struct so that the comparison reaches the scan.
+    """Records from a log position on, ``(file, pos)`` compared as a pair. Files
+    compare by the number their name ends in, which may grow by a digit; names
+    without one compare as text.
     """
     f, p = F.col(file_col), F.col(pos_col)
-    return frame.filter((f > file) | ((f == file) & (p >= pos)))
+    digits = re.search(r"\d+$", file)
+    later = f > file
+    if digits:
+        later = F.coalesce(file_number(f) > int(digits[0]), later)
+    return frame.filter(later | ((f == file) & (p >= pos)))
 
 
 def intervals_of(spark: SparkSession, gtid_set: str) -> DataFrame:
@@ -47,15 +78,22 @@ def intervals_of(spark: SparkSession, gtid_set: str) -> DataFrame:
     return spark.createDataFrame(gtid.parse_set(gtid_set), "_uuid string, _low bigint, _high bigint")
 
 
-def after_gtid_set(frame: DataFrame, intervals: DataFrame, gtid_col: str = "source.gtid") -> DataFrame:
-    """Records whose transaction is not in the set. Works stream-static.
+def in_gtid_set(gtid_set: str, transaction: Column) -> Column:
+    """Whether a transaction id is in a set. The set is text given by the caller, so it
+    becomes part of the expression: no join, the same on streams."""
+    uuid, number = gtid.id_uuid(transaction), gtid.id_number(transaction)
+    by_server: dict[str, Column] = {}
+    for server, low, high in gtid.parse_set(gtid_set):
+        by_server[server] = by_server.get(server, F.lit(False)) | number.between(low, high)
+    inside = F.lit(False)
+    for server, covered in by_server.items():
+        inside = inside | ((uuid == server) & covered)
+    return F.coalesce(inside, F.lit(False))
 
-    The set is a handful of rows whose size the optimizer knows, so it decides
-    on the broadcast; there is no hint to outgrow.
-    """
-    uuid, number = gtid.id_uuid(F.col(gtid_col)), gtid.id_number(F.col(gtid_col))
-    inside = (uuid == F.col("_uuid")) & number.between(F.col("_low"), F.col("_high"))
-    return frame.join(intervals, inside, "left_anti")
+
+def after_gtid_set(frame: DataFrame, gtid_set: str, gtid_col: str = "source.gtid") -> DataFrame:
+    """Records whose transaction is not in the set; records without one are kept."""
+    return frame.filter(~in_gtid_set(gtid_set, F.col(gtid_col)))
 
 
 def snapshot_plus_changes(snapshot: DataFrame, changes: DataFrame, position: Column | int,
@@ -101,6 +139,30 @@ def source_offsets(feed: DataFrame, group: Sequence[str], gtid_col: str = "sourc
             .agg(F.max(number).alias("txn"), F.min(F.col(op) == "r").alias("snapshot_only")))
 
 
+def source_gtid_set(feed: DataFrame, group: Sequence[str], gtid_col: str = "source.gtid") -> DataFrame:
+    """Per group, the transactions seen as a ``gtid_set`` that the low-water mark, a
+    reset and the start after a set accept. Runs of numbers become intervals: ids
+    are deduplicated first and numbered within fixed ranges of each server's
+    numbers, so that no task holds a server's whole log."""
+    seen = (feed.select(*group, gtid.id_uuid(F.col(gtid_col)).alias("_uuid"), gtid.id_number(F.col(gtid_col)).alias("_n"))
+            .filter(F.col("_n").isNotNull()).distinct())
+    part = [*group, "_uuid"]
+    chunk = Window.partitionBy(*part, "_chunk").orderBy("_n")
+    runs = (seen.withColumn("_chunk", F.floor(F.col("_n") / GTID_CHUNK))
+            .withColumn("_run", F.col("_n") - F.row_number().over(chunk))
+            .groupBy(*part, "_chunk", "_run").agg(F.min("_n").alias("_low"), F.max("_n").alias("_high")))
+    # Runs that touch at a chunk's edge are one interval.
+    whole = Window.partitionBy(*part).orderBy("_low")
+    starts = F.coalesce(F.col("_low") > F.lag("_high").over(whole) + 1, F.lit(True)).cast("int")
+    joined = (runs.withColumn("_first", starts).withColumn("_run", F.sum("_first").over(whole))
+              .groupBy(*part, "_run").agg(F.min("_low").alias("_low"), F.max("_high").alias("_high")))
+    text = F.when(F.col("_low") == F.col("_high"), F.col("_low").cast("string")).otherwise(
+        F.concat_ws("-", "_low", "_high"))
+    members = joined.groupBy(*part).agg(F.array_sort(F.collect_list(F.struct("_low", text.alias("_t")))).alias("_i"))
+    member = F.concat_ws(":", F.col("_uuid"), F.array_join(F.transform("_i", lambda x: x["_t"]), ":"))
+    return members.groupBy(*group).agg(F.array_join(F.array_sort(F.collect_list(member)), ",").alias("gtid_set"))
+
+
 def reset_offsets(offsets: DataFrame, given: str | None = None, gtid_set: str = "gtid_set") -> DataFrame:
     """Offsets of every task set to ``given``, or to the low-water mark."""
     if given:

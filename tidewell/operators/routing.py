@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 TAG = "_tag"
 SUFFIX = r"_\d+$"
+MOST_TABLES = 100_000
 
 
 def logical_tag(db: Column, table: Column) -> Column:
@@ -28,14 +29,13 @@ def resolve_tag(tag: Column, known: Sequence[str]) -> Column:
 def resolve_tag_from(frame: DataFrame, known: DataFrame, tag: str = TAG) -> DataFrame:
     """As ``resolve_tag`` with the known tags in a frame with a ``tag`` column.
 
-    Joins are left to the optimizer: it broadcasts the tag list only while its
-    size is under the session's limit.
+    The list of captured tables is read first (at most ``MOST_TABLES``, else an
+    error) and becomes part of the expression: the records are not shuffled.
     """
-    names = known.select(F.col("tag").alias("_known")).distinct()
-    first = frame.join(names, F.col(tag) == F.col("_known"), "left").withColumnRenamed(
-        "_known", "_first")
-    second = first.join(names, F.regexp_replace(F.col(tag), SUFFIX, "") == F.col("_known"), "left")
-    return second.withColumn(tag, F.coalesce("_first", "_known")).drop("_first", "_known")
+    names = [r.tag for r in known.select("tag").distinct().limit(MOST_TABLES + 1).collect()]
+    if len(names) > MOST_TABLES:
+        raise ValueError(f"more than {MOST_TABLES} known tags")
+    return frame.withColumn(tag, resolve_tag(F.col(tag), names))
 
 
 def bare_table(table: Column) -> Column:
@@ -63,20 +63,19 @@ def target_names(db: Column, table: Column, shard: Column, root: str,
     }
 
 
-def bucket_table(spark: SparkSession, tables: Sequence[str], buckets: Sequence[int]) -> DataFrame:
-    """Frame ``(_tag, buckets)`` from two lists of equal length."""
+def bucket_counts(tables: Sequence[str], buckets: Sequence[int]) -> dict[str, int]:
+    """Buckets by table, from two lists of equal length."""
     if len(tables) != len(buckets):
         raise ValueError("the list of bucket counts and the list of tables differ in length")
-    return spark.createDataFrame(list(zip(tables, map(int, buckets))), f"{TAG} string, buckets int")
+    return dict(zip(tables, map(int, buckets)))
 
 
-LAKE_TASKS, KAFKA_TASKS = 16, 4
-
-
-def with_bucket_count(frame: DataFrame, buckets: DataFrame, cap: int = LAKE_TASKS) -> DataFrame:
-    """Add the table's ``buckets`` and its write ``tasks``, capped at ``cap``.
-    Records of tables that are not listed are dropped."""
-    return frame.join(buckets, TAG).withColumn("tasks", F.least(F.col("buckets"), F.lit(cap)))
+def with_bucket_count(frame: DataFrame, buckets: Mapping[str, int]) -> DataFrame:
+    """Add the table's ``buckets``; null for tables that are not listed, whose records
+    stay (``unrouted`` finds them). The list is part of the expression: no join."""
+    counts = F.create_map(*[F.lit(x) for pair in buckets.items() for x in pair]) if buckets else \
+        F.create_map().cast("map<string,int>")
+    return frame.withColumn("buckets", counts[F.col(TAG)])
 
 
 def route(frame: DataFrame, tags: Sequence[str]) -> dict[str, DataFrame]:
@@ -88,8 +87,14 @@ def unrouted(frame: DataFrame, tags: Sequence[str]) -> DataFrame:
     return frame.filter(F.col(TAG).isNull() | ~F.col(TAG).isin(list(tags)))
 
 
+def keep_routed(frame: DataFrame, tags: Sequence[str]) -> DataFrame:
+    """The records of all the tags as one frame: one pass over their parent."""
+    return frame.filter(F.col(TAG).isin(list(tags)))
+
+
 def union_routed(frames: Sequence[DataFrame]) -> DataFrame:
-    """The routed frames as one again, columns by name."""
+    """Frames of different parents as one, columns by name. For the tags of one
+    parent use ``keep_routed``, which reads it once."""
     whole, *others = frames
     for other in others:
         whole = whole.unionByName(other)

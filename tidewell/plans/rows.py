@@ -212,23 +212,22 @@ TAGS = ["order.orders", "order.refunds"]
 SELECT CASE WHEN tag = 'order.lost' THEN 'unrouted' ELSE tag END AS target, count(*) AS n FROM t GROUP BY ALL""")
 def route_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     frame = tagged(spark, sf_dir)
-    target = F.when(F.col("_tag").isin(TAGS), F.col("_tag")).otherwise("unrouted")
-    return frame.groupBy(target.alias("target")).agg(F.count(F.lit(1)).alias("n"))
+    parts = {**routing.route(frame, TAGS), "unrouted": routing.unrouted(frame, TAGS)}
+    counts = [part.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("target"), "n")
+              for name, part in parts.items()]
+    return routing.union_routed(counts)
 
 
 @query("union_routed", "WITH " + TAGGED + "SELECT tag, id, st FROM t WHERE tag <> 'order.lost'")
 def union_routed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    routed = routing.route(tagged(spark, sf_dir), TAGS)
-    return routing.union_routed(list(routed.values())).withColumnRenamed("_tag", "tag")
+    return routing.keep_routed(tagged(spark, sf_dir), TAGS).withColumnRenamed("_tag", "tag")
 
 
 @query("bucket_lookup", "WITH " + TAGGED + """
-SELECT id, tag, CASE tag WHEN 'order.orders' THEN 432 ELSE 3 END AS buckets,
-       CASE tag WHEN 'order.orders' THEN 16 ELSE 3 END AS tasks FROM t WHERE tag <> 'order.lost'""")
+SELECT id, tag, CASE tag WHEN 'order.orders' THEN 432 WHEN 'order.refunds' THEN 3 END AS buckets FROM t""")
 def bucket_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    buckets = routing.bucket_table(spark, TAGS, [432, 3])
-    counted = routing.with_bucket_count(tagged(spark, sf_dir), buckets)
-    return counted.select("id", F.col("_tag").alias("tag"), "buckets", "tasks")
+    counted = routing.with_bucket_count(tagged(spark, sf_dir), routing.bucket_counts(TAGS, [432, 3]))
+    return counted.select("id", F.col("_tag").alias("tag"), "buckets")
 
 
 @query("reset_tables", """
@@ -246,7 +245,7 @@ SELECT concat('t_order_0', shard, '_orders') AS topic, CAST(id AS VARCHAR) AS ke
        op, coalesce(a_st, b_st) AS st FROM ok""")
 def kafka_rows_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     feed = with_topic_parts(keep_changes(feed_of(spark, sf_dir)))
-    rows = kafka_rows(feed, ["id"], 4, produced_ms=F.col("ts_ms"))
+    rows = kafka_rows(feed, ["id"], 4, produced_ms=F.col("ts_ms"), portable=True)
     rows = rows.withColumn("_v", F.from_json(
         F.col("value").cast("string"), "before struct<st: string>, after struct<st: string>, op string"))
     return rows.select("topic", F.col("key").cast("string").alias("key"), "partition", "_v.op",

@@ -81,7 +81,7 @@ def kafka_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The feed as a Kafka source would hand it over."""
     feed = with_topic_parts(keep_changes(feed_of(spark, sf_dir))).withColumns({
         "offset": F.col("key.id") * 10 + F.col("seq"), "timestamp": F.timestamp_millis("ts_ms")})
-    return kafka_rows(feed, ["id"], 4, produced_ms=F.col("ts_ms") + 500,
+    return kafka_rows(feed, ["id"], 4, produced_ms=F.col("ts_ms") + 500, portable=True,
                       carried=["offset", "timestamp"])
 
 

@@ -20,6 +20,10 @@ JOB_SETTINGS = {
     # The JVM never compiles a method beyond this size. Tables with many columns
     # exceed it in one fused stage; below the limit Spark splits the code instead.
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # A bucket of a lake table is one sorted file: merges read it without sorting.
+    "spark.sql.legacy.bucketedTableScan.outputOrdering": "true",
+    # Partitioned lake tables are bucketed by the key, and merged by key and partition.
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
     "spark.sql.streaming.stateStore.providerClass": ROCKSDB_PROVIDER,
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }

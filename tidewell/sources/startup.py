@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewell.functions import gtid
-from tidewell.operators.offsets import after_gtid_set, at_or_after, intervals_of
+from tidewell.operators.offsets import after_gtid_set, at_or_after
 
 
 @dataclass(frozen=True)
@@ -55,7 +55,7 @@ def start_from(feed: DataFrame, option: StartOption) -> DataFrame:
     changes = feed.filter(F.col("op") != "r")
     if isinstance(option, AtPosition):
         return at_or_after(changes, option.file, option.pos)
-    return after_gtid_set(changes, intervals_of(feed.sparkSession, option.gtid_set))
+    return after_gtid_set(changes, option.gtid_set)
 
 
 def wall_clock_millis(text: str, utc_offset_hours: int = 8) -> int:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,6 +30,24 @@ class TableSpec:
     order: tuple[str, ...] = ("seq", SUB)
     buckets: int = 8
     source_types: dict[str, str] = field(default_factory=dict)
+    partitioned_by: tuple[str, ...] = ()
+
+    @property
+    def merge_key(self) -> tuple[str, ...]:
+        """What tells two rows of the stored table apart."""
+        return self.key + tuple(c for c in self.partitioned_by if c not in self.key)
+
+    def to_json(self) -> str:
+        return json.dumps({
+            "name": self.name, "schema": self.schema.jsonValue(), "key": self.key, "order": self.order,
+            "buckets": self.buckets, "source_types": self.source_types, "partitioned_by": self.partitioned_by})
+
+    @classmethod
+    def from_json(cls, text: str) -> TableSpec:
+        raw = json.loads(text)
+        return cls(name=raw["name"], schema=T.StructType.fromJson(raw["schema"]), key=tuple(raw["key"]),
+                   order=tuple(raw["order"]), buckets=raw["buckets"], source_types=raw["source_types"],
+                   partitioned_by=tuple(raw["partitioned_by"]))
 
     @property
     def columns(self) -> list[str]:
@@ -47,15 +66,22 @@ class SpecDiff:
     added: tuple[str, ...]
     dropped: tuple[str, ...]
     retyped: tuple[str, ...]
+    rebucketed: bool = False
+    fixed: tuple[str, ...] = ()  # changes that no stored table can take: key, order, partitions
+
+    def __bool__(self) -> bool:
+        return bool(self.added or self.dropped or self.retyped or self.rebucketed or self.fixed)
 
 
 def diff(old: TableSpec, new: TableSpec) -> SpecDiff:
-    """Column changes from ``old`` to ``new``, by name."""
+    """Changes from ``old`` to ``new``, columns by name."""
     before, after = ({f.name: f.dataType for f in s.schema} for s in (old, new))
     return SpecDiff(
         added=tuple(c for c in after if c not in before),
         dropped=tuple(c for c in before if c not in after),
         retyped=tuple(c for c in after if c in before and before[c] != after[c]),
+        rebucketed=old.buckets != new.buckets,
+        fixed=tuple(n for n in ("key", "order", "partitioned_by") if getattr(old, n) != getattr(new, n)),
     )
 
 

@@ -12,9 +12,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidewell.lake.files import newest_child
-from tidewell.lake.table import LakeTable
-from tidewell.operators.changelog import expand_flat_records
+from tidewell.functions.convert import Converter
+from tidewell.lake.table import LakeTable, writer_of
+from tidewell.operators.changelog import expand_changelog
+from tidewell.operators.envelope import REJECT
 from tidewell.operators.routing import TAG
+from tidewell.operators.typed import RAW, typed_records
 
 INTERVAL = "60 seconds"
 
@@ -50,53 +53,89 @@ def start_upsert(changes: DataFrame, table: LakeTable, checkpoint: str, name: st
                  interval: str | None = INTERVAL) -> StreamingQuery:
     """Changelog rows into a lake table. ``interval=None`` takes what is there and
     stops. A batch replayed after a failure overwrites its own folder, so the
-    table holds every change once."""
-    return _start(changes, table.append, checkpoint, name, interval)
+    table holds every change once. Each checkpoint is a writer of its own: a second
+    stream, or a new checkpoint that counts from zero, adds to the table."""
+    writer = writer_of(checkpoint)
+    return _start(changes, lambda batch, number: table.append(batch, number, writer=writer),
+                  checkpoint, name, interval)
 
 
 @dataclass(frozen=True)
 class Target:
-    """A lake table and the projection from routed records to its changelog rows."""
+    """A lake table and the projection from routed records to its changelog rows. Rows
+    with a ``_reject`` reason are not for the table; ``expand`` turns the others
+    into changelog rows where the projection leaves that to do."""
 
     table: LakeTable
     project: Callable[[DataFrame], DataFrame] = lambda rows: rows
+    expand: Callable[[DataFrame], DataFrame] = lambda rows: rows
 
 
 def typed_target(table: LakeTable, text: str = "value", zone: str = "UTC",
-                 ordering: Mapping[str, Column] | None = None) -> Target:
+                 ordering: Mapping[str, Column] | None = None,
+                 converters: Mapping[str, Converter] | None = None,
+                 shard: Column | int | str | None = None) -> Target:
     """Target for flat JSON records: each table reads them with its own schema,
     by name. ``ordering`` gives the spec's ordering columns that the records
-    carry beside the text, such as the Kafka offset."""
+    carry beside the text, such as the Kafka offset. ``shard`` fills the shard and
+    write-time columns of a spec made with ``with_shard``, the shard with the
+    suffix of each record's own database. Records that cannot be converted without
+    loss come out as rejects."""
 
     def project(records: DataFrame) -> DataFrame:
         carried = records.withColumns(dict(ordering)) if ordering else records
-        return expand_flat_records(carried.drop(TAG), table.spec, text, zone)
+        return typed_records(carried.drop(TAG), table.spec, text, zone, converters, shard)
 
-    return Target(table, project)
+    def expand(typed: DataFrame) -> DataFrame:
+        return expand_changelog(typed.drop(RAW), strict=True)
 
+    return Target(table, project, expand)
 
-def fan_out(targets: Mapping[str, Target], workers: int = 4,
-            tag: str = TAG) -> Callable[[DataFrame, int], None]:
+
+UNROUTED = "_unrouted"
+
+
+def fan_out(targets: Mapping[str, Target], workers: int = 4, tag: str = TAG, rejects: str | None = None,
+            writer: str = "main") -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function writing each record to its tag's table.
 
     The batch is computed once and kept while the tables are written, a few at
-    a time. Tables without a record in the batch are not touched; records of
-    other tags are not written.
+    a time. Tables without a record in the batch are not touched. Records of other
+    tags, and those a target rejects, go with their reason to
+    ``rejects/target=<tag>/writer=W/batch_id=N`` as JSON of the whole record; without
+    a folder for them, a batch that has any fails. Accepted and rejected records
+    add up to the input.
     """
 
+    def keep(bad: DataFrame, name: str, batch_id: int) -> None:
+        if rejects is None:
+            raise ValueError(f"{name}: records were rejected and there is no folder for them")
+        whole = F.to_json(F.struct(*[F.col(f"`{c}`") for c in bad.columns if c != REJECT]))
+        (bad.select(F.col(REJECT).alias("reason"), whole.alias("record"))
+         .write.mode("overwrite").parquet(f"{rejects}/target={name}/writer={writer}/batch_id={batch_id}"))
+
     def write(batch: DataFrame, batch_id: int) -> None:
-        shared = batch.filter(F.col(tag).isin(list(targets))).persist(StorageLevel.MEMORY_AND_DISK)
+        shared = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            # No longer than the list of targets; also fills the cache once.
-            present = [row[0] for row in shared.select(tag).distinct().collect()]
+            # One row for each target at most, and one for all other tags; fills the cache once.
+            known = F.when(F.col(tag).isin(list(targets)), F.col(tag))
+            present = [row[0] for row in shared.select(known.alias("t")).distinct().collect()]
+            if None in present:
+                keep(shared.filter(known.isNull()).withColumn(REJECT, F.lit("unknown table")), UNROUTED, batch_id)
 
             def one(name: str) -> None:
                 target = targets[name]
-                target.table.append(target.project(shared.filter(F.col(tag) == name)), batch_id)
+                rows = target.project(shared.filter(F.col(tag) == name))
+                if REJECT in rows.columns:
+                    bad = rows.filter(F.col(REJECT).isNotNull())
+                    if not bad.isEmpty():
+                        keep(bad, name, batch_id)
+                    rows = rows.filter(F.col(REJECT).isNull()).drop(REJECT)
+                target.table.append(target.expand(rows), batch_id, writer=writer)
 
             run = inheritable_thread_target(batch.sparkSession)(one)
             with ThreadPoolExecutor(workers) as pool:
-                for job in [pool.submit(run, name) for name in present]:
+                for job in [pool.submit(run, name) for name in present if name is not None]:
                     job.result()
         finally:
             shared.unpersist()
@@ -106,8 +145,12 @@ def fan_out(targets: Mapping[str, Target], workers: int = 4,
 
 def start_fan_out(records: DataFrame, targets: Mapping[str, Target], checkpoint: str,
                   name: str | None = None, interval: str | None = INTERVAL,
-                  workers: int = 4) -> StreamingQuery:
-    return _start(records, fan_out(targets, workers), checkpoint, name, interval)
+                  workers: int = 4, rejects: str | None = None) -> StreamingQuery:
+    """Route a stream of records to their tables; ``rejects`` is by default a folder
+    in the checkpoint."""
+    each = fan_out(targets, workers, rejects=rejects or f"{checkpoint.rstrip('/')}/rejects",
+                   writer=writer_of(checkpoint))
+    return _start(records, each, checkpoint, name, interval)
 
 
 def start_kafka(rows: DataFrame, brokers: str, checkpoint: str, name: str | None = None,
