@@ -52,8 +52,8 @@ def chained(seed, count):
     r = random.Random(seed)
     fps = [r.getrandbits(64) for _ in range(5)]
     while len(fps) < count:
-        base, block = r.choice(fps), r.randrange(4)
-        bits = [16 * block + r.randrange(16) if r.random() < 0.5 else r.randrange(64) for _ in range(r.randint(1, 4))]
+        base, block = r.choice(fps), r.randrange(3)
+        bits = [21 * block + r.randrange(21) if r.random() < 0.5 else r.randrange(64) for _ in range(r.randint(1, 4))]
         fps.append(base ^ sum({1 << b for b in bits}))
     return fps
 
@@ -77,14 +77,24 @@ def test_dense_ball_is_one_group(spark):
     assert len(roots) == len(fps) - 1 and len({r.root for r in roots}) == 1
 
 
-def test_three_bits_in_one_block_of_many_values(spark):
-    """More values at one variant than are compared pair by pair."""
-    fps = [0, 7] + [(1 << 8 | 1 << 9 | i << 10) ^ 0b11000 for i in range(0, 64, 3)] + [i * 0x1111 & 0xFFFF for i in range(3, 16)]
-    fps = list(dict.fromkeys(fps))
-    nodes = spark.createDataFrame([(f,) for f in fps], "fp long")
-    roots = {r.node: r.root for r in components(spark, S.links(nodes), "test").collect()}
-    mine, want = [roots.get(f, f) for f in fps], grouped(fps)
-    assert len(set(zip(mine, want))) == len(set(mine)) == len(set(want))
+@pytest.mark.parametrize("bits", [1, 3])
+@pytest.mark.parametrize("count", [5, 40, 900])
+def test_lookups_find_what_comparing_finds(count, bits):
+    """Below and above the number of values that are compared pair by pair."""
+    r = np.random.default_rng(count)
+    values = np.unique(r.integers(0, 1 << 12, count).astype(np.uint64))
+    found = {(int(a), int(b)) for i, j in S._near_values(values, bits, 21) for a, b in zip(values[i], values[j])}
+    want = {(int(a), int(b)) for a in values for b in values if a < b and bin(int(a ^ b)).count("1") == bits}
+    assert {tuple(sorted(x)) for x in found} == want
+
+
+@pytest.mark.parametrize("block", range(len(S.BLOCKS)))
+def test_bits_of_a_block_and_beside_it(block):
+    fps = np.array([0, 5, (1 << 64) - 1, 0x123456789ABCDEF0], dtype=np.uint64)
+    at, width = S.BLOCKS[block]
+    for fp, inside, beside in zip(fps.tolist(), S._inside(fps, block).tolist(), S._beside(fps, block).tolist()):
+        assert inside == fp >> at & (1 << width) - 1 and beside >> 48 == block
+        assert beside & (1 << 48) - 1 == (fp & (1 << at) - 1) | (fp >> (at + width) << at)
 
 
 DOCS = "doc_id long, text string, fp string, rank string, doc string"

@@ -6,17 +6,17 @@ half the radius, every close pair meets at a common variant, and one shuffle on
 the variants finds all of them.
 
 The radius here is 3, and half of it is no whole number. The 64 bits are split
-into four blocks of 16, and for each block every fingerprint emits the variants
-within one bit of its other 48 bits (4 x 49 variants instead of the 2,081 within
-two bits). Fingerprints that meet at a variant differ in at most two of the 48
-bits, so those whose blocks are equal or one bit apart are links. That leaves one
-kind of pair, all three bits in one block; such a pair meets at the unchanged 48
-bits, where block values three bits apart are linked too. No close pair is missed
-and none is assumed: every link is verified on all 64 bits.
+into three blocks of 21, 21 and 22, and for each block every fingerprint emits the
+variants within one bit of its other bits (131 variants instead of the 2,081 within
+two bits). Fingerprints that meet at a variant differ in at most two of those bits,
+so those whose blocks are equal or one bit apart are links. That leaves one kind
+of pair, all three bits in one block; such a pair meets at the unchanged other bits,
+where block values three bits apart are linked too. No close pair is missed and
+none is assumed: every link is verified on all 64 bits.
 
 Equal fingerprints are one node, so groups of copies cost nothing. At a variant
-the nodes are linked through their block values, by looking up the neighbours of
-each value, never pair by pair. A variant can gather at most 49 x 65,536 nodes.
+the nodes are linked through their block values; where there are more than
+``FEW`` of these, by looking up the neighbours of each value, not pair by pair.
 """
 
 from __future__ import annotations
@@ -35,7 +35,9 @@ from tidewell.llm.registry import query, table
 from tidewell.llm.texts import INK, Slice, map_texts
 
 SEED, SHINGLE, RADIUS = 42, 3, 3
-BLOCKS, WIDTH = 4, 16
+#: First bit and width of each block.
+BLOCKS = ((0, 21), (21, 21), (42, 22))
+FEW = 256
 
 # -- fingerprints ----------------------------------------------------------
 
@@ -91,44 +93,43 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE, seed: int = SEED,
 
 # -- links -----------------------------------------------------------------
 
-_FULL = (1 << 64) - 1
+def _inside(fps: np.ndarray, block: int) -> np.ndarray:
+    """The value of a block."""
+    at, width = BLOCKS[block]
+    return (fps >> np.uint64(at)) & np.uint64((1 << width) - 1)
 
 
-def _without(block: int) -> np.uint64:
-    return np.uint64(_FULL ^ (((1 << WIDTH) - 1) << (WIDTH * block)))
-
-
-def _packed(fps: np.ndarray, block: int) -> np.ndarray:
-    """The 48 bits beside a block, with the block's number above them."""
-    low = fps & np.uint64((1 << (WIDTH * block)) - 1)
-    high = (fps >> np.uint64(WIDTH * (block + 1))) << np.uint64(WIDTH * block) if block < BLOCKS - 1 \
-        else np.zeros_like(fps)
+def _beside(fps: np.ndarray, block: int) -> np.ndarray:
+    """The bits beside a block, with the block's number above them."""
+    at, width = BLOCKS[block]
+    low = fps & np.uint64((1 << at) - 1)
+    high = np.zeros_like(fps) if at + width == 64 else (fps >> np.uint64(at + width)) << np.uint64(at)
     return low | high | np.uint64(block << 48)
 
 
 def _emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    flips = np.concatenate([[0], 1 << np.arange(48, dtype=np.uint64)]).astype(np.uint64)
     for batch in batches:
         every = batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
         for at in range(0, len(every), 2000):
             fps = every[at:at + 2000]
-            for block in range(BLOCKS):
-                keys = (_packed(fps, block)[:, None] ^ flips[None, :]).ravel()
+            for block, (_, width) in enumerate(BLOCKS):
+                flips = np.array([0] + [1 << bit for bit in range(64 - width)], dtype=np.uint64)
+                keys = (_beside(fps, block)[:, None] ^ flips[None, :]).ravel()
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(keys.view(np.int64)), pa.array(np.repeat(fps, len(flips)).view(np.int64))],
                     names=["variant", "fp"])
 
 
-def _near_values(values: np.ndarray, bits: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _near_values(values: np.ndarray, bits: int, width: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Index pairs of sorted, distinct block values exactly ``bits`` bits apart."""
     if len(values) < 2:
         return
-    if len(values) <= 24:
+    if len(values) <= FEW:
         i, j = np.triu_indices(len(values), 1)
         near = np.bitwise_count(values[i] ^ values[j]) == bits
         yield i[near], j[near]
         return
-    for flipped in combinations(range(WIDTH), bits):
+    for flipped in combinations(range(width), bits):
         other = values ^ np.uint64(sum(1 << b for b in flipped))
         at = np.minimum(np.searchsorted(values, other), len(values) - 1)
         i = np.flatnonzero((values[at] == other) & (values < other))
@@ -138,17 +139,18 @@ def _near_values(values: np.ndarray, bits: int) -> Iterator[tuple[np.ndarray, np
 def _links(variant: int, fps: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Links among the fingerprints that meet at a variant."""
     block = variant >> 48
-    values = (fps >> np.uint64(WIDTH * block)) & np.uint64((1 << WIDTH) - 1)
+    width = BLOCKS[block][1]
+    values = _inside(fps, block)
     order = np.argsort(values, kind="stable")
     fps, values = fps[order], values[order]
     lead = np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1]]))
     leader = np.repeat(lead, np.diff(np.append(lead, len(fps))))
     rest = leader != np.arange(len(fps))
     yield fps[leader[rest]], fps[rest]
-    for i, j in _near_values(values[lead], 1):
+    for i, j in _near_values(values[lead], 1, width):
         yield fps[lead[i]], fps[lead[j]]
-    here = np.sort(fps[_packed(fps, block) == np.uint64(variant)])
-    for i, j in _near_values((here >> np.uint64(WIDTH * block)) & np.uint64((1 << WIDTH) - 1), 3):
+    here = np.sort(fps[_beside(fps, block) == np.uint64(variant)])
+    for i, j in _near_values(_inside(here, block), 3, width):
         yield here[i], here[j]
 
 
