@@ -351,3 +351,14 @@ def test_newest_child_and_sizing(spark, table):
     table.append(batch(spark, (1, "a", "x", 1, 0, "+I")), 1)
     assert newest_child(spark, table.root + "/log/writer=main").endswith("batch_id=1")
     assert buckets_for(table.log()) == 8 and buckets_for(table.log(), bucket_bytes=10) > 8
+
+
+def test_a_compaction_in_between_hides_nothing_from_a_read(spark, table):
+    table.append(batch(spark, (1, "a", "x", 1, 0, "+I")), 0)
+
+    class Overtaken(LakeTable):
+        def _pending(self, now):
+            LakeTable(spark, self.root).compact()
+            return super()._pending(now)
+
+    assert state(Overtaken(spark, table.root)) == {(1, "a"): "x"}

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Mapping
 
 from pyspark.sql import SparkSession
 
@@ -32,15 +33,16 @@ def is_finished(spark: SparkSession, path: str) -> bool:
     return fs.exists(marker)
 
 
-def finished_batches(spark: SparkSession, root: str) -> list[tuple[str, int, int]]:
-    """Writer, number and time in ms of the committed batches below ``root``, from
-    one listing."""
-    path, fs = _open(spark, f"{root}/writer=*/batch_id=*/_SUCCESS")
+def finished_batches(spark: SparkSession, root: str, folded: Mapping[str, int]) -> list[tuple[str, int, int]]:
+    """Writer, number and time in ms of the committed batches below ``root``: one listing
+    per writer, and one look at each batch that is not ``folded`` yet."""
+    path, fs = _open(spark, f"{root}/writer=*/batch_id=*")
     found = []
     for status in fs.globStatus(path) or []:
-        folder = status.getPath().getParent()
-        writer = folder.getParent().getName().partition("=")[2]
-        found.append((writer, int(folder.getName().partition("=")[2]), status.getModificationTime()))
+        folder = status.getPath()
+        writer, batch = folder.getParent().getName().partition("=")[2], int(folder.getName().partition("=")[2])
+        if batch <= folded.get(writer, -1) or is_finished(spark, folder.toString()):
+            found.append((writer, batch, status.getModificationTime()))
     return found
 
 

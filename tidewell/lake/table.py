@@ -168,7 +168,8 @@ class LakeTable:
         ``purge_below`` then drops deleted keys whose ordering value is smaller, for
         callers who know that no older change can still arrive.
         """
-        now, pending = self.version(), self.pending()
+        now = self.version()
+        pending = self._pending(now)
         if now is None or not pending and (not full or now.delta is None and purge_below is None):
             return None
         folded = _with(now.folded, pending)
@@ -203,7 +204,7 @@ class LakeTable:
         changed = diff(self.spec, spec)
         if changed.fixed:
             raise ValueError(f"{', '.join(changed.fixed)} of {self.root} cannot change; write a new table")
-        pending = self.pending()
+        pending = self._pending(now)
         if changed.retyped or changed.dropped or changed.rebucketed:
             if now.base is not None or pending:
                 rows = conform(self._aligned()._versions(now, pending), spec)
@@ -240,10 +241,15 @@ class LakeTable:
         return f"{self.database}.tidewell_{hashlib.md5(self.root.encode()).hexdigest()[:12]}_v{number}"
 
     def pending(self) -> list[Batch]:
-        """Committed batches that no base or delta holds, from one listing."""
-        now = self.version()
+        """Committed batches that no base or delta holds. Folded ones cost no more than
+        their line in the listing."""
+        return self._pending(self.version())
+
+    def _pending(self, now: Version | None) -> list[Batch]:
+        """The batches pending behind one state. A read takes both from one look, or a
+        compaction in between would hide what it folded."""
         folded = now.folded if now else {}
-        return sorted((w, b) for w, b, _ in finished_batches(self.spark, f"{self.root}/log")
+        return sorted((w, b) for w, b, _ in finished_batches(self.spark, f"{self.root}/log", folded)
                       if b > folded.get(w, -1))
 
     def base(self, number: int) -> DataFrame:
@@ -316,7 +322,8 @@ class LakeTable:
         values of partition columns; other partitions are not read."""
         if where and (odd := [c for c in where if c not in self.spec.partitioned_by]):
             raise ValueError(f"not partition columns: {', '.join(odd)}")
-        return live_rows(self._versions(self.version(), self.pending(), columns, where))
+        now = self.version()
+        return live_rows(self._versions(now, self._pending(now), columns, where))
 
     def lookup(self, **key) -> DataFrame:
         """The current row of one key. Only the files of its bucket are read from
@@ -327,7 +334,7 @@ class LakeTable:
         for name, value in literals.items():
             match = match & (F.col(name) == value)
         now = self.version()
-        fresh = self._fresh(now, self.pending()).filter(match)
+        fresh = self._fresh(now, self._pending(now)).filter(match)
         if now is None or now.base is None:
             return live_rows(newest_versions(fresh, self.spec.merge_key, self.spec.order))
         bucket = bucket_of(list(literals.values()), self.spec.buckets)
@@ -364,7 +371,7 @@ class LakeTable:
         writer, batch_id."""
         now = self.version()
         folded = now.folded if now else {}
-        found = sorted((millis, w, b) for w, b, millis in finished_batches(self.spark, f"{self.root}/log"))
+        found = sorted((millis, w, b) for w, b, millis in finished_batches(self.spark, f"{self.root}/log", folded))
         rows = [(self.spec.name, number, millis, b <= folded.get(w, -1), w, b)
                 for number, (millis, w, b) in enumerate(found)]
         frame = self.spark.createDataFrame(

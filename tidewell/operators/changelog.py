@@ -44,7 +44,8 @@ def expand_flat_records(frame: DataFrame, spec: TableSpec, text: str = "value",
                         zone: str = "UTC", strict: bool = True,
                         converters: Mapping[str, Converter] | None = None) -> DataFrame:
     """Flat JSON records of one table to typed changelog rows, columns by name.
-    Only the op and the images are read from the text."""
+    Only the op and the images are read from the text. A value that does not
+    convert is null here; ``typed.typed_records`` keeps such records as rejects."""
     image = T.StructType([T.StructField(f.name, T.StringType()) for f in spec.schema])
     schema = T.StructType([T.StructField("op", T.StringType()), T.StructField("before", image),
                            T.StructField("after", image)])

@@ -71,7 +71,9 @@ def keep_changes(frame: DataFrame, topic: str = "topic", op: str = "op") -> Data
 
 def parse_envelope(frame: DataFrame, row: T.StructType, key: T.StructType,
                    text: str = "value") -> DataFrame:
-    """Envelope JSON text to typed columns, by name."""
+    """Envelope JSON text to columns, by name, for feeds whose values already have the
+    columns' JSON types. Connector encodings (epoch days, bytes and so on), rejects
+    and the raw text are the business of ``typed.typed_envelopes``."""
     schema = T.StructType([
         T.StructField("topic", T.StringType()),
         T.StructField("key", key),
