@@ -166,7 +166,7 @@ def map_texts(docs: DataFrame, results: str, work: Callable[[], Callable[[Slice]
     """
     fields = [docs.schema[c] for c in (docs.columns if keep is None else keep)]
     schema = T.StructType([T.StructField("doc", T.StructType(fields), False)])
-    added = T._parse_datatype_string(results)
+    added = T.StructType.fromDDL(results)
     for field in added:
         schema.add(field)
     rows = docs.select(F.struct(*[F.col(f"`{f.name}`") for f in fields]).alias("doc"),
