@@ -227,19 +227,18 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", shingle: int = SHIN
 def first_of_each(docs: DataFrame, doc_id: str = "doc_id", shingle: int = SHINGLE,
                   seed: int = SEED) -> DataFrame:
     """One document of each group of near duplicates, with its own columns: the one
-    with the least id (null ids last), then the least text hash; of wholly equal
-    rows one."""
+    with the least id (null ids last), then the least hash of the whole row; of
+    wholly equal rows one. The documents are stored once with a number, so that the
+    kept ones are known by number and each text is shuffled once at most."""
     spark = docs.sparkSession
     names = docs.columns
-    own = F.struct(F.col("doc")[doc_id].isNull().alias("no_id"), F.col("doc")[doc_id].alias("id"),
-                   F.xxhash64(*[F.col("doc")[c] for c in names]).alias("hash"))
-    found = stored(spark, fingerprints(docs, shingle, seed, keep=names).withColumn("rank", own),
-                   "simhash-docs")
-    least = groups(spark, found.select("fp", "rank"), "rank").select("first").distinct()
-    # The winners' ranks are unique to their rows but for wholly equal ones.
-    kept = found.join(least, F.col("rank").eqNullSafe(F.col("first")), "left_semi")
-    copies = kept.groupBy("rank").agg(F.min_by("doc", "fp").alias("doc"))
-    return copies.select(*[F.col("doc")[c].alias(c) for c in names])
+    doc = F.col("doc")
+    own = F.struct(doc[doc_id].isNull().alias("no_id"), doc[doc_id].alias("id"),
+                   F.xxhash64(*[doc[c] for c in names]).alias("hash"), F.monotonically_increasing_id().alias("row"))
+    found = stored(spark, fingerprints(docs, shingle, seed, keep=names).withColumn("rank", own), "simhash-docs")
+    least = groups(spark, found.select("fp", "rank"), "rank").select(F.col("first.row").alias("row")).distinct()
+    kept = found.withColumn("row", F.col("rank.row")).join(least, "row", "left_semi")
+    return kept.select(*[doc[c].alias(c) for c in names])
 
 
 @query("op5_simhash")
