@@ -220,7 +220,42 @@ def clean_only(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
     return kept.select(*[F.col("doc")[c].alias(c) for c in names])
 
 
-@query("op2_decontaminate")
+OP2_SQL = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+  FROM documents
+), items AS (
+  SELECT item_id::VARCHAR AS item_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+  FROM benchmark
+), item_windows AS (
+  SELECT DISTINCT item_id, span, array_to_string(words[i:i + span - 1], ' ') AS w
+  FROM (SELECT *, unnest(range(1, len(words) - span + 2)) AS i
+        FROM (SELECT *, least(13, len(words)) AS span FROM items WHERE len(words) > 0))
+), doc_windows AS (
+  SELECT r, span, i, array_to_string(words[i:i + span - 1], ' ') AS w
+  FROM (SELECT r, words, span, unnest(range(1, len(words) - span + 2)) AS i
+        FROM docs, (SELECT DISTINCT span FROM item_windows))
+), hits AS (SELECT r, i, span, item_id FROM doc_windows JOIN item_windows USING (span, w)
+), covered AS (
+  SELECT r, sum(greatest(0, z - greatest(i, coalesce(upto, 0))))::BIGINT AS n_hit
+  FROM (SELECT r, i, z, max(z) OVER (PARTITION BY r ORDER BY i, z ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS upto
+        FROM (SELECT DISTINCT r, i, i + span AS z FROM hits)) GROUP BY r
+), found AS (
+  SELECT r, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT item_id, ',' ORDER BY item_id) AS ids
+  FROM hits GROUP BY r
+)
+SELECT doc_id, len(words) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(words) AS contaminated
+FROM docs LEFT JOIN covered USING (r) LEFT JOIN found USING (r)
+"""
+
+
+@query("op2_decontaminate", OP2_SQL)
 def op2(spark, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = contamination(docs, table(spark, sf_dir, "benchmark"), keep=["doc_id"])

@@ -187,7 +187,56 @@ def scan(docs: DataFrame, templates: Sequence[tuple[str, str]] = TEMPLATES, phra
     return map_texts(docs, RESULTS, lambda: lambda part: _scan(part, join, searched), keep=keep)
 
 
-@query("op9_license_scan")
+OP9_SQL = r"""
+WITH templates AS (
+  SELECT number, label, list_distinct(regexp_extract_all(lower(notice), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS own
+  FROM (VALUES
+    (0, 'apache-2.0', 'Licensed under the Apache License, Version 2.0'),
+    (1, 'bsd', 'Redistribution and use in source and binary forms, with or without modification, are permitted'),
+    (2, 'cc-by-nc', 'Licensed under CC BY-NC 4.0'),
+    (3, 'cc-by-sa', 'This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License'),
+    (4, 'cc0', 'This work is dedicated to the public domain under CC0 1.0 Universal'),
+    (5, 'gpl-3.0', 'This work is licensed under the GNU General Public License, version 3'),
+    (6, 'mit', 'Released under the MIT License'),
+    (7, 'mit', 'Permission is hereby granted, free of charge, to any person obtaining a copy of this software'),
+    (8, 'mpl-2.0', 'This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0')) t(number, label, notice)
+), docs AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low
+  FROM documents
+), split AS (
+  SELECT r, doc_id, low, regexp_extract_all(low, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM docs
+), placed AS (
+  SELECT r, i - 1 AS word, w, lead(w) OVER u AS w2, lead(w, 2) OVER u AS w3
+  FROM (SELECT r, unnest(words) AS w, unnest(range(1, len(words) + 1)) AS i FROM split)
+  WINDOW u AS (PARTITION BY r ORDER BY i)
+), places AS (
+  SELECT r, word, CASE WHEN w = 'cc' AND w2 = 'by' THEN 'cc-by'
+                       WHEN w = 'general' AND w2 = 'public' AND w3 = 'license' THEN 'gpl'
+                       WHEN w = 'all' AND w2 = 'rights' AND w3 = 'reserved' THEN 'reserved' END AS label
+  FROM placed
+), lines AS (
+  SELECT r, list_distinct(regexp_extract_all(line, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS words
+  FROM (SELECT r, unnest(string_split(low, chr(10))) AS line FROM split)
+), blocks AS (
+  SELECT r, label, len(list_intersect(words, own)) / len(own) AS share
+  FROM lines, templates WHERE len(list_intersect(words, own)) >= ceil(0.8 * len(own) - 1e-9)
+), base AS (
+  SELECT r, count(*) AS n, min(word) AS first_word, max(word) AS last_word,
+         string_agg(DISTINCT label, ',' ORDER BY label) AS labels
+  FROM places WHERE label IS NOT NULL GROUP BY r
+), every AS (
+  SELECT r, string_agg(DISTINCT label, ',' ORDER BY label) AS labels
+  FROM (SELECT r, label FROM places WHERE label IS NOT NULL UNION ALL SELECT r, label FROM blocks) GROUP BY r
+), best AS (SELECT r, max(share) AS share FROM blocks GROUP BY r)
+SELECT doc_id, len(words) AS n_words, coalesce(n, 0) AS n_base, first_word, last_word,
+       coalesce(base.labels, '') AS base_labels, coalesce(every.labels, '') AS labels,
+       CASE WHEN n > 0 THEN 1.0::DOUBLE ELSE coalesce(share, 0)::DOUBLE END AS score
+FROM split LEFT JOIN base USING (r) LEFT JOIN every USING (r) LEFT JOIN best USING (r)
+"""
+
+
+@query("op9_license_scan", OP9_SQL)
 def op9(spark, sf_dir: str) -> DataFrame:
     found = scan(table(spark, sf_dir, "documents").select("doc_id", "text"), keep=["doc_id"])
     base = F.transform("places", lambda p: p["label"])

@@ -174,7 +174,63 @@ def verdicts(spark: SparkSession, docs: DataFrame, labels: DataFrame, stratum: s
         *measured.columns, broken.alias("broken"))
 
 
-@query("op10_quality_rules")
+OP10_SQL = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id, lang AS stratum, coalesce(text, '') AS text FROM documents
+), split AS (
+  SELECT r, doc_id, stratum, text, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words,
+         list_filter(string_split(text, chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS lines
+  FROM docs
+), windows AS (
+  SELECT r, i, count(*) OVER (PARTITION BY r, w) AS n
+  FROM (SELECT r, i, array_to_string(words[i:i + 7], ' ') AS w
+        FROM (SELECT r, words, unnest(range(1, len(words) - 6)) AS i FROM split))
+), repeats AS (
+  SELECT r, sum(least(8, coalesce(following - i, 8)))::BIGINT AS n
+  FROM (SELECT r, i, lead(i) OVER (PARTITION BY r ORDER BY i) AS following FROM windows WHERE n > 1) GROUP BY r
+), counts AS (
+  SELECT r, doc_id, stratum, len(words) AS n_words,
+         length(regexp_replace(text, '[\x20\x09-\x0D]', '', 'g')) AS word_chars,
+         length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
+         length(regexp_replace(text, '[^A-Z]', '', 'g')) AS n_upper, len(lines) AS n_lines,
+         len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(repeats.n, 0) AS n_repeat_words
+  FROM split LEFT JOIN repeats USING (r)
+), measured AS (
+  SELECT r, doc_id, stratum, unnest([
+    {'place': 1, 'rule': 'symbols', 'value': coalesce(n_symbols / nullif(word_chars, 0), 0)},
+    {'place': 2, 'rule': 'shouting', 'value': coalesce(n_upper / nullif(word_chars, 0), 0)},
+    {'place': 3, 'rule': 'equal_lines', 'value': coalesce(n_dup_lines / nullif(n_lines, 0), 0)},
+    {'place': 4, 'rule': 'repeats', 'value': coalesce(n_repeat_words / nullif(n_words, 0), 0)}], recursive := true)
+  FROM counts
+), good AS (
+  SELECT stratum, rule, value FROM measured
+  WHERE doc_id IN (SELECT doc_id FROM labels WHERE quality = 1 AND doc_id IS NOT NULL)
+), tried AS (
+  SELECT stratum, rule, rung, count(*) AS n, count(*) FILTER (value >= rung::DOUBLE / 50) AS k,
+         0.05 / (4 * (SELECT count(*) FROM (SELECT DISTINCT stratum FROM good))) AS level
+  FROM good, range(1, 51) t(rung) GROUP BY stratum, rule, rung
+), tested AS (
+  SELECT stratum, rule, rung, CASE WHEN k >= n THEN 1 ELSE list_sum(list_transform(range(0, k + 1), lambda i:
+      exp(lgamma(n + 1.0) - lgamma(i + 1.0) - lgamma(n - i + 1.0) + i * ln(0.0125) + (n - i) * ln(1 - 0.0125)))) END
+    <= level AS stands
+  FROM tried
+), cutoffs AS (
+  -- The ladder is walked from the top and ends at the first rung that does not stand.
+  SELECT stratum, rule, min(rung)::DOUBLE / 50 AS cutoff
+  FROM (SELECT *, bool_and(stands) OVER (PARTITION BY stratum, rule ORDER BY rung DESC) AS kept FROM tested)
+  WHERE kept GROUP BY stratum, rule
+), broken AS (
+  SELECT r, string_agg(m.rule, ',' ORDER BY place) AS rules
+  FROM measured m JOIN cutoffs c ON m.rule = c.rule AND m.stratum IS NOT DISTINCT FROM c.stratum
+  WHERE value >= cutoff GROUP BY r
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, failed AS base_failed,
+       NOT failed AND rules IS NULL AS kept, coalesce(rules, '') AS broken_rules
+FROM (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS failed FROM counts) LEFT JOIN broken USING (r)
+"""
+
+
+@query("op10_quality_rules", OP10_SQL)
 def op10(spark, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     judged = verdicts(spark, docs, table(spark, sf_dir, "labels"))

@@ -284,7 +284,32 @@ def capture_histories(runs: DataFrame, partitions: int | None = None) -> DataFra
     return ranged.sortWithinPartitions("run", "place").mapInArrow(_merge, CAPTURE)
 
 
-@query("op7_warc")
+OP7_SQL = r"""
+WITH hashed AS (
+  SELECT page_id, coalesce(url, '') AS url, strlen(coalesce(html, ''))::BIGINT AS payload_bytes,
+         sha1(coalesce(html, '')) AS payload_digest
+  FROM pages
+), led AS (
+  SELECT *, CASE WHEN payload_bytes >= 1000
+                 THEN max(page_id) OVER (PARTITION BY payload_digest, payload_bytes) END AS lead FROM hashed
+), keyed AS (
+  SELECT *, lead IS NOT NULL AND lead IS DISTINCT FROM page_id AS revisit,
+         regexp_extract(regexp_replace(array_to_string(list_transform(string_split(url, ''), lambda c:
+           CASE WHEN ord(c) <= 32 OR ord(c) = 127 THEN printf('%%%02X', ord(c)) ELSE c END), ''),
+           '^[^:/?#]*://', ''), '^[^#]*') AS rest
+  FROM led
+), split AS (SELECT *, regexp_extract(rest, '^[^/?]*') AS host FROM keyed)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN revisit THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN revisit THEN lead END AS refers_to,
+       CASE WHEN rest = '' THEN '' ELSE array_to_string(list_reverse(string_split(
+           regexp_replace(lower(host), '^www[0-9]*\.', ''), '.')), ',') || ')'
+         || coalesce(nullif(substr(rest, length(host) + 1), ''), '/') END AS url_key,
+       1704067200 + coalesce(page_id, 0) % 1000000000 AS captured
+FROM split
+"""
+
+
+@query("op7_warc", OP7_SQL)
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
     root = scratch_dir(spark, "warc")
