@@ -13,8 +13,8 @@ Within a leaf, whole epochs take every document; of the next epoch a prefix is
 taken, in an order seeded by the epoch, as long as its tokens fit. Documents that
 share an order value (repeated rows) go in or stay out together. The prefix ends
 at one value per leaf. It is found without sorting a leaf: tokens are added up
-per leaf and slice of the order (65,536 of them), and only the slice in which the
-budget ends is looked at by value. A leaf that holds most rows is spread like any
+per leaf and slice of the order (1,024 of them), then within the slice in which the
+budget ends (1,024 again), and only the part left is looked at by value. A leaf that holds most rows is spread like any
 other, and each row is then decided on by a comparison with its leaf's value.
 
 Defined results: a null or empty text has no tokens, costs nothing, and is in
@@ -174,7 +174,7 @@ def mixed(docs: DataFrame, domain: Column | None = None, mix: Mix = Mix()) -> Da
     spark = docs.sparkSession
     domain = domain_of(F.col("source")) if domain is None else domain
     taken, _ = plan(spark, docs, domain, mix)
-    rows = docs.select(F.struct(*docs.columns).alias("doc"), *[
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), *[
         F.coalesce(x.cast("string"), F.lit("")).alias(n)
         for x, n in zip((domain, F.col("lang"), F.col("source")), LEVELS)])
     used = rows.join(_small(taken), list(LEVELS)).withColumn("copies", copies(mix, F.col("doc")["doc_id"]))

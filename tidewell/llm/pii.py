@@ -151,7 +151,75 @@ def listed(spans: Column) -> Column:
         ":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
-@query("op8_pii")
+_MATCHES = r"""
+  SELECT r, {rank} AS rank, '{kind}' AS kind, m, sum(length(g) + length(m)) OVER (PARTITION BY r ORDER BY j) - length(m) AS s
+  FROM (SELECT r, unnest(ms) AS m, unnest(gs[1:len(ms)]) AS g, unnest(range(len(ms))) AS j
+        FROM (SELECT r, regexp_extract_all({text}, '{pattern}') AS ms, string_split_regex({text}, '{pattern}') AS gs
+              FROM docs))
+"""
+# Plain patterns, without the look-around that SQL's expressions lack: a number that is
+# a whole run of its characters, a key word with what stands before it, an account's start.
+OP8_SQL = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text,
+         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low
+  FROM documents
+), matches AS (MATCHES
+), judged AS (
+  SELECT r, rank, kind, s + (kind = 'secret' AND NOT regexp_matches(m, '^[a-z]'))::INTEGER AS s, s + length(m) AS z, CASE kind
+      WHEN 'ip' THEN len(list_filter(string_split(m, '.'), lambda p: length(ltrim(p, '0')) > 3
+                                     OR lpad(ltrim(p, '0'), 3, '0') > '255')) = 0
+      WHEN 'card' THEN length(d) BETWEEN 12 AND 19 AND list_sum(list_transform(list_reverse(string_split(d, '')),
+          lambda c, i: CASE WHEN i % 2 = 1 THEN c::INTEGER WHEN c > '4' THEN 2 * c::INTEGER - 9 ELSE 2 * c::INTEGER END)) % 10 = 0
+      WHEN 'phone' THEN length(d) BETWEEN 9 AND 15
+      WHEN 'ssn' THEN regexp_full_match(m, '[0-9]{3}-[0-9]{2}-[0-9]{4}') AND NOT regexp_matches(m, '^(000|666|9)|-00-|-0000$')
+        AND regexp_matches(lower(substr(text, greatest(s - 40, 0)::BIGINT + 1, least(s, 40)::BIGINT) || chr(10)
+                                 || substr(text, (s + length(m) + 1)::BIGINT, 40)), 'ssn|social|security')
+      ELSE kind <> 'iban' END AS good
+  FROM (SELECT *, regexp_replace(m, '[^0-9]', '', 'g') AS d FROM matches) JOIN docs USING (r)
+), accounts AS (
+  SELECT r, s, s + length(m) AS z, m
+  FROM (SELECT r, s, text, regexp_extract(substr(text, s::BIGINT + 1), '^[A-Z]{2}[0-9]{2}( ?[A-Z0-9]){11,30}') AS m
+        FROM matches JOIN docs USING (r) WHERE kind = 'iban' AND NOT regexp_matches(substr(text, s::BIGINT, (s > 0)::BIGINT), '[A-Za-z0-9]'))
+  WHERE m <> '' AND NOT regexp_matches(substr(text, (s + length(m) + 1)::BIGINT, 1), '[A-Za-z0-9]')
+), apart AS (
+  SELECT r, list_reduce(list({'s': s::BIGINT, 'z': z::BIGINT, 'kept': []::BIGINT[]} ORDER BY s), lambda a, x:
+      CASE WHEN x.s >= a.z THEN {'s': x.s, 'z': x.z, 'kept': list_append(a.kept, x.s)} ELSE a END,
+      {'s': 0::BIGINT, 'z': 0::BIGINT, 'kept': []::BIGINT[]}).kept AS kept
+  FROM accounts GROUP BY r
+), plain AS (
+  SELECT r, s, z, regexp_replace(m, '[^A-Z0-9]', '', 'g') AS p FROM accounts JOIN apart USING (r) WHERE list_contains(kept, s::BIGINT)
+), spans AS (
+  SELECT r, rank, kind, s::BIGINT AS s, z::BIGINT AS z FROM judged WHERE good
+  UNION ALL
+  SELECT r, 4, 'iban', s::BIGINT, z::BIGINT FROM plain
+  WHERE list_reduce(list_transform(string_split(array_to_string(list_transform(string_split(substr(p, 5) || substr(p, 1, 4), ''),
+      lambda c: CASE WHEN c BETWEEN '0' AND '9' THEN c ELSE (ord(c) - 55)::VARCHAR END), ''), ''), lambda c: c::BIGINT),
+      lambda a, c: (a * 10 + c) % 97) = 1
+), listed AS (
+  SELECT r, count(*) FILTER (kind = 'email') AS n_email, count(*) FILTER (kind = 'ip') AS n_ip,
+         count(*) FILTER (kind = 'card') AS n_card, count(*) FILTER (kind = 'phone') AS n_phone,
+         string_agg(kind || ':' || s || ':' || z, ',' ORDER BY s, rank) FILTER (rank < 4) AS base,
+         string_agg(kind || ':' || s || ':' || z, ',' ORDER BY s, rank) AS spans
+  FROM spans GROUP BY r
+)
+SELECT doc_id, coalesce(n_email, 0) AS n_email, coalesce(n_ip, 0) AS n_ip, coalesce(n_card, 0) AS n_card,
+       coalesce(n_phone, 0) AS n_phone, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM docs LEFT JOIN listed USING (r)
+""".replace("MATCHES", "  UNION ALL".join(
+    _MATCHES.replace("{rank}", str(rank)).replace("{kind}", kind).replace("{text}", text).replace("{pattern}", pattern)
+    for rank, kind, text, pattern in (
+        (0, "email", "text", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"),
+        (1, "ip", "text", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"),
+        (2, "card", "text", r"[0-9]([\x20-]?[0-9])+"),
+        (3, "phone", "text", r"\+[0-9][\x20().0-9-]+[0-9]"),
+        (4, "iban", "text", "[A-Z]{2}[0-9]{2}"),
+        (5, "ssn", "text", "[0-9-]+"),
+        (6, "secret", "low", r"(^|[^a-z])(token|secret|passw(or)?d|api[_-]?key)\x20?[=:]\x20?[\x22\x27]?[a-z0-9+/_-]{16,}"),
+    )))
+
+
+@query("op8_pii", OP8_SQL)
 def op8(spark, sf_dir: str) -> DataFrame:
     found = personal_data(table(spark, sf_dir, "documents").select("doc_id", "text"), keep=["doc_id"])
     base = [k.name for k in KINDS if k.base]

@@ -295,7 +295,7 @@ WITH hashed AS (
 ), keyed AS (
   SELECT *, lead IS NOT NULL AND lead IS DISTINCT FROM page_id AS revisit,
          regexp_extract(regexp_replace(array_to_string(list_transform(string_split(url, ''), lambda c:
-           CASE WHEN ord(c) <= 32 OR ord(c) = 127 THEN printf('%%%02X', ord(c)) ELSE c END), ''),
+           CASE WHEN ord(c) BETWEEN 0 AND 32 OR ord(c) = 127 THEN printf('%%%02X', ord(c)) ELSE c END), ''),
            '^[^:/?#]*://', ''), '^[^#]*') AS rest
   FROM led
 ), split AS (SELECT *, regexp_extract(rest, '^[^/?]*') AS host FROM keyed)
