@@ -5,6 +5,7 @@ import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 
+import corpus_pipeline
 from check import canon
 from tidewell.llm.queries import ORACLES, QUERIES
 
@@ -72,3 +73,14 @@ def test_odd_rows(spark, tmp_path, name):
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_no_rows(spark, tmp_path, name):
     assert not compare(spark, tables(tmp_path, documents=False), name)
+
+
+def test_pipeline_on_odd_rows(spark, tmp_path):
+    folder = tables(tmp_path)
+    own = {"doc_id", "text", "lang", "source", "n_chars", "doc", "spans", "rule", "copies", "n_words", "stratum", "a.b"}
+    frame = corpus_pipeline.run(spark, folder)
+    assert set(frame.columns) == own | {"slot", "shard", "slot_", "shard_"}
+    rows = frame.collect()
+    assert rows and all(r.slot == 1 and r.shard_ for r in rows)
+    assert {r.text for r in rows} <= set(TEXTS) and ITEM not in {r.text for r in rows}
+    assert corpus_pipeline.run(spark, tables(tmp_path, documents=False)).collect() == []
