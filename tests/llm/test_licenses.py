@@ -3,6 +3,7 @@
 import random
 import re
 
+import numpy as np
 import pytest
 
 from tidewell.llm import licenses as L
@@ -72,3 +73,54 @@ def test_odd_rows_and_clashing_names(spark):
     assert got(found) == [brute(t) for _, t in rows] and all(r.doc.places == "p" for r in found)
     assert L.scan(docs.limit(0)).count() == 0
     assert re.search("Exchange", L.scan(docs)._jdf.queryExecution().executedPlan().toString()) is None
+
+
+WRAPPED = [
+    ("bsd", 0, "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that"),
+    ("mpl-2.0", 1, "x\n * This Source Code Form is subject to the terms of the Mozilla Public\n * License, v. 2.0. If a copy"),
+    ("mit", 0, "Permission is hereby granted, free of charge, to any\nperson obtaining a copy of this software"),
+    ("apache-2.0", 2, "\n\n# Licensed under the Apache\n# License,\n#\n# Version 2.0 (the"),
+    (None, 0, "the mit\nlicense released under"),
+    (None, 0, "released\n" + "filler " * 9 + "under\n" + "filler " * 9 + "the MIT license"),
+]
+
+
+def test_wrapped_notices(spark, tmp_path):
+    texts = [t for _, _, t in WRAPPED] + ["Released under\nthe MIT\n", "License", "Released under the MIT License\nthe MIT"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(2)
+    rows = sorted(L.scan(docs).collect(), key=lambda r: r.doc.doc_id)
+    want = [{(label, line)} if label else set() for label, line, _ in WRAPPED]
+    # The first half of a notice is one, at four words of five; no notice runs over two texts or is told twice.
+    assert [{(w.label, w.line) for w in r.wrapped} for r in rows] == want + [{("mit", 0)}, set(), set()]
+    assert all(b.label == "mit" for r in rows for b in r.blocks)
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    labels = {r.doc_id: (r.labels, r.score) for r in L.op9(spark, str(tmp_path)).collect()}
+    assert labels[0] == ("bsd", 1.0) and labels[1] == ("mpl-2.0", 1.0) and labels[4] == ("", 0.0)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_no_run_is_missed(seed):
+    """Against the longest common subsequence with every window."""
+    r = random.Random(seed)
+
+    def common(a, b):
+        row = [0] * (len(b) + 1)
+        for x in a:
+            new = [0]
+            for j, y in enumerate(b):
+                new.append(row[j] + 1 if x == y else max(row[j + 1], new[j]))
+            row = new
+        return row[-1]
+
+    for _ in range(300):
+        template = r.choices("abcdefg", k=r.randint(1, 8))
+        words = r.choices("abcdefgxyz", k=r.randint(0, 30))
+        vocabulary = L.Vocabulary([("t", " ".join(template))])
+        rank = {w: i for i, w in enumerate(r.sample(vocabulary.words, len(vocabulary.words)))}
+        run = L.Run([w.encode() for w in template], vocabulary, rank, 0.8)
+        ids = np.array([vocabulary.words.index(w.encode()) if w in template else -1 for w in words], dtype=np.int64)
+        found = list(run.search(ids, np.flatnonzero(ids >= 0), np.array([0, len(words)])))
+        windows = [common(words[i:i + run.wide], template) for i in range(len(words))]
+        assert bool(found) == (max(windows, default=0) >= run.need)
+        for _, a, z, share in found:
+            assert z - a <= run.wide and common(words[a:z], template) == round(share * len(template)) >= run.need

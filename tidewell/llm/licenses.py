@@ -13,7 +13,16 @@ whole corpus. Then
   left;
 
 and what remains is verified on the words themselves. No pair above the threshold
-is missed. Templates are a parameter of bounded size; documents never move, only
+is missed.
+
+A notice that was wrapped stands in no single line. It is found as a run of words
+over two or more lines, at most ``1 / threshold`` times as long as the template, that
+holds at least ``threshold`` of the template's words in the template's order. The
+prefix and length filters are the same, on positions of words instead of lines; the
+order is verified by the longest common subsequence. Runs that touch a line in which
+the template was found are not told again.
+
+Templates are a parameter of bounded size; documents never move, only
 word counts of the templates' vocabulary are shuffled.
 
 Fixed phrases are searched beside it, at every place where their words follow
@@ -59,7 +68,8 @@ TEMPLATES = (
     ("mpl-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0"),
 )
 RESULTS = ("n_words long, places array<struct<label: string, word: long>>, "
-           "blocks array<struct<label: string, line: long, containment: double>>")
+           "blocks array<struct<label: string, line: long, containment: double>>, "
+           "wrapped array<struct<label: string, line: long, containment: double>>")
 
 
 def words_of(text: str) -> list[bytes]:
@@ -114,6 +124,66 @@ def document_counts(docs: DataFrame, templates: Sequence[tuple[str, str]], text:
     return {w: totals.get(i, 0) for i, w in enumerate(vocabulary.words)}
 
 
+class Run:
+    """A template as a sequence of words, found over the ends of lines."""
+
+    def __init__(self, words: list[bytes], vocabulary: Vocabulary, rank: dict[bytes, int], threshold: float):
+        ids = {w: i for i, w in enumerate(vocabulary.words)}
+        self.size = len(words)
+        self.need = max(1, math.ceil(threshold * len(words) - 1e-9))
+        self.wide = math.ceil(len(words) / threshold)
+        self.places: dict[int, int] = defaultdict(int)  # bit i is the template's word i
+        for i, word in enumerate(words):
+            self.places[ids[word]] |= 1 << i
+        self.own, self.rare = np.zeros((2, len(ids)), dtype=bool)
+        self.own[list(self.places)] = True
+        for word in sorted(set(words), key=rank.__getitem__)[:len(words) - self.need + 1]:
+            self.rare[ids[word]] = True
+
+    def common(self, words: list[int]) -> tuple[int, int]:
+        """Length of the longest common subsequence, and where it is complete."""
+        every = (1 << self.size) - 1
+        left, found, end = every, 0, 0
+        for i, word in enumerate(words):
+            here = left & self.places.get(word, 0)
+            if here:
+                left = (left + here | left - here) & every
+                if self.size - left.bit_count() > found:
+                    found, end = found + 1, i + 1
+        return found, end
+
+    def search(self, ids: np.ndarray, known: np.ndarray, bounds: np.ndarray) -> Iterator[tuple[int, int, int, float]]:
+        """Text, first word, end and share of the runs; ``known`` are the places of the
+        vocabulary's words."""
+        own = known[self.own[ids[known]]]
+        hits = own[self.rare[ids[own]]]
+        lo, hi = np.searchsorted(own, hits - self.wide + 1), np.searchsorted(own, hits + self.wide)
+        done = 0
+        for i in np.flatnonzero(hi - lo >= self.need).tolist():
+            at = int(hits[i])
+            if at < done:
+                continue
+            text = int(np.searchsorted(bounds, at, side="right")) - 1
+            near = own[lo[i]:hi[i]]
+            near = near[(near >= bounds[text]) & (near < bounds[text + 1])]
+            words, near = ids[near].tolist(), near.tolist()
+            if self.common(words)[0] < self.need:
+                continue
+            best = (self.need, -1, -1)
+            for j, start in enumerate(near):
+                if start > at:
+                    break
+                z = j
+                while z < len(near) and near[z] < start + self.wide:
+                    z += 1
+                found, end = self.common(words[j:z])
+                if found >= best[0] and near[j + end - 1] >= at:  # the last start has no word too many
+                    best = (found, start, near[j + end - 1] + 1)
+            if best[1] >= 0:
+                done = best[2]
+                yield text, best[1], done, best[0] / self.size
+
+
 class Join:
     """The templates' side: words in global order and the index of their prefixes."""
 
@@ -121,6 +191,7 @@ class Join:
         self.vocabulary = Vocabulary(templates)
         self.rank = {w: i for i, w in enumerate(sorted(counts, key=lambda w: (counts[w], w)))}
         self.templates = []
+        self.runs: list[Run] = []
         self.index: dict[bytes, list[tuple[int, int]]] = defaultdict(list)
         for label, text in templates:
             own = sorted(set(words_of(text)), key=self.rank.__getitem__)
@@ -130,10 +201,11 @@ class Join:
             for i, word in enumerate(own[:len(own) - need + 1]):
                 self.index[word].append((len(self.templates), i))
             self.templates.append((label, own, need))
+            self.runs.append(Run(words_of(text), self.vocabulary, self.rank, threshold))
         self.rare = np.array([w in self.index for w in self.vocabulary.words], dtype=bool)
 
-    def block(self, block: set[bytes]) -> Iterator[tuple[str, float]]:
-        """Label and containment of the templates that a block holds."""
+    def block(self, block: set[bytes]) -> Iterator[tuple[int, float]]:
+        """Number and containment of the templates that a block holds."""
         known = sorted((w for w in block if w in self.rank), key=self.rank.__getitem__)
         tried = set()
         for j, word in enumerate(known):
@@ -141,12 +213,12 @@ class Join:
                 if number in tried:
                     continue
                 tried.add(number)  # the first common word decides
-                label, own, need = self.templates[number]
+                _, own, need = self.templates[number]
                 if len(block) < need or 1 + min(len(own) - i - 1, len(known) - j - 1) < need:
                     continue
                 common = sum(w in block for w in own)
                 if common >= need:
-                    yield label, common / len(own)
+                    yield number, common / len(own)
 
 
 def _scan(part: Slice, join: Join, phrases: list[tuple[str, np.ndarray]]) -> list:
@@ -163,6 +235,8 @@ def _scan(part: Slice, join: Join, phrases: list[tuple[str, np.ndarray]]) -> lis
             if at + len(phrase) <= bounds[text + 1]:
                 places[text].append({"label": label, "word": at - int(bounds[text])})
     blocks: list[list[dict]] = [[] for _ in range(len(part))]
+    wrapped: list[list[dict]] = [[] for _ in range(len(part))]
+    held: set[tuple[int, int]] = set()
     ids = join.vocabulary.ids(hashes)
     rare = np.flatnonzero((ids >= 0) & join.rare[ids]) if len(join.rare) else np.zeros(0, np.int64)
     line_starts, line_ends, line_bounds = low.lines()
@@ -170,18 +244,28 @@ def _scan(part: Slice, join: Join, phrases: list[tuple[str, np.ndarray]]) -> lis
         lo, hi = np.searchsorted(starts, [line_starts[line], line_ends[line]])
         block = {low.data[a:b].tobytes() for a, b in zip(starts[lo:hi].tolist(), ends[lo:hi].tolist())}
         text = int(np.searchsorted(line_bounds, line, side="right")) - 1
-        for label, share in join.block(block):
-            blocks[text].append({"label": label, "line": line - int(line_bounds[text]), "containment": share})
+        for number, share in join.block(block):
+            held.add((number, line))
+            blocks[text].append({"label": join.templates[number][0], "line": line - int(line_bounds[text]),
+                                 "containment": share})
+    known = np.flatnonzero(ids >= 0)
+    for number, run in enumerate(join.runs):
+        for text, a, z, share in run.search(ids, known, bounds):
+            lines = np.searchsorted(line_starts, starts[a:z], side="right") - 1
+            if lines[0] < lines[-1] and not any((number, line) in held for line in lines.tolist()):
+                wrapped[text].append({"label": join.templates[number][0],
+                                      "line": int(lines[0] - line_bounds[text]), "containment": share})
+    found = pa.list_(pa.struct([("label", pa.string()), ("line", pa.int64()), ("containment", pa.float64())]))
     return [np.diff(bounds).astype(np.int64),
             pa.array(places, pa.list_(pa.struct([("label", pa.string()), ("word", pa.int64())]))),
-            pa.array(blocks, pa.list_(pa.struct([("label", pa.string()), ("line", pa.int64()),
-                                                 ("containment", pa.float64())])))]
+            pa.array(blocks, found), pa.array(wrapped, found)]
 
 
 def scan(docs: DataFrame, templates: Sequence[tuple[str, str]] = TEMPLATES, phrases=PHRASES,
          threshold: float = THRESHOLD, keep: list[str] | None = None) -> DataFrame:
-    """Rows of ``docs`` as ``doc``, with ``n_words``, ``places`` (phrases, by word) and
-    ``blocks`` (templates, by line, with the containment)."""
+    """Rows of ``docs`` as ``doc``, with ``n_words``, ``places`` (phrases, by word),
+    ``blocks`` (templates, by line, with the containment) and ``wrapped`` (templates over
+    several lines, by the first of them)."""
     join = Join(templates, document_counts(docs, templates), threshold)
     searched = [(label, _hashes(words_of(phrase))) for phrase, label in phrases]
     return map_texts(docs, RESULTS, lambda: lambda part: _scan(part, join, searched), keep=keep)
@@ -240,10 +324,11 @@ FROM split LEFT JOIN base USING (r) LEFT JOIN every USING (r) LEFT JOIN best USI
 def op9(spark, sf_dir: str) -> DataFrame:
     found = scan(table(spark, sf_dir, "documents").select("doc_id", "text"), keep=["doc_id"])
     base = F.transform("places", lambda p: p["label"])
-    own = F.transform("blocks", lambda b: b["label"])
+    notices = F.concat("blocks", "wrapped")
+    own = F.transform(notices, lambda b: b["label"])
     starts = F.transform("places", lambda p: p["word"])
     joined = lambda labels: F.array_join(F.array_sort(F.array_distinct(labels)), ",")
-    share = F.array_max(F.transform("blocks", lambda b: b["containment"]))
+    share = F.array_max(F.transform(notices, lambda b: b["containment"]))
     return found.select(
         F.col("doc")["doc_id"].alias("doc_id"), "n_words", F.size("places").cast("long").alias("n_base"),
         F.array_min(starts).alias("first_word"), F.array_max(starts).alias("last_word"),
