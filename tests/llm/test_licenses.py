@@ -124,3 +124,28 @@ def test_no_run_is_missed(seed):
         assert bool(found) == (max(windows, default=0) >= run.need)
         for _, a, z, share in found:
             assert z - a <= run.wide and common(words[a:z], template) == round(share * len(template)) >= run.need
+
+
+NEAR_MISSES = [
+    "Licensed under CC BY 4.0", "Licensed under CC BY-SA 4.0", "Licensed\nunder CC BY-SA 4.0",
+    "This work is licensed under the GNU General Public License, version 2", "Released under the Apache License",
+    "Released under the BSD License", "Released under\nthe BSD License", "Licensed under the Apache License, Version 1.0",
+    "This work is licensed under a Creative Commons Attribution 4.0 International License",
+    "This Source Code Form is subject to the terms of the Mozilla Public License, v. 1.1",
+    "released " + "word " * 40 + "under the " + "word " * 40 + "license of mit",
+    "license under mit " + "word " * 29 + "released the",
+]
+FOUND = [
+    ("cc-by-nc", "Licensed under CC BY-NC 4.0"), ("cc-by-nc", "Licensed by X under CC BY-NC 3.0"),
+    ("mit", "word " * 5000 + "released under the MIT license" + " word" * 5000),
+    ("mit", "the released " + "word " * 100 + "This is released under an MIT license " + "word " * 100),
+    ("gpl-3.0", "work licensed under the GNU General Public License, version 3"),
+    ("mit", "Permission is hereby granted, free of charge, to any person obtaining a copy of the software"),
+]
+
+
+def test_deciding_words_and_reach(spark):
+    texts = NEAR_MISSES + [t for _, t in FOUND]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(2)
+    rows = sorted(L.scan(docs).collect(), key=lambda r: r.doc.doc_id)
+    assert [{b.label for b in [*r.blocks, *r.wrapped]} for r in rows] == [set()] * len(NEAR_MISSES) + [{x} for x, _ in FOUND]

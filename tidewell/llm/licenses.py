@@ -22,6 +22,11 @@ prefix and length filters are the same, on positions of words instead of lines;
 order is verified by the longest common subsequence. Runs that touch a line in which
 the template was found are not told again.
 
+Two more conditions are part of the verification. Some words decide which licence a
+notice names (``DECIDING``, by label): where the template has them, so must what is
+found. And in a long line the words must stand within ``REACH`` words of each other,
+or twice the template's length if that is more.
+
 Templates are a parameter of bounded size; documents never move, only
 word counts of the templates' vocabulary are shuffled.
 
@@ -37,8 +42,8 @@ from __future__ import annotations
 
 import math
 import re
-from collections import defaultdict
-from collections.abc import Iterator, Sequence
+from collections import Counter, defaultdict
+from collections.abc import Iterator, Mapping, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -67,6 +72,17 @@ TEMPLATES = (
     ("mit", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software"),
     ("mpl-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0"),
 )
+#: By label: words that its templates are not found without.
+DECIDING = {
+    "apache-2.0": ("apache", "2"),
+    "cc-by-nc": ("nc",),
+    "cc-by-sa": ("sharealike",),
+    "cc0": ("cc0",),
+    "gpl-3.0": ("gnu", "general", "3"),
+    "mit": ("mit",),
+    "mpl-2.0": ("mozilla", "2"),
+}
+REACH = 32
 RESULTS = ("n_words long, places array<struct<label: string, word: long>>, "
            "blocks array<struct<label: string, line: long, containment: double>>, "
            "wrapped array<struct<label: string, line: long, containment: double>>")
@@ -127,7 +143,8 @@ def document_counts(docs: DataFrame, templates: Sequence[tuple[str, str]], text:
 class Run:
     """A template as a sequence of words, found over the ends of lines."""
 
-    def __init__(self, words: list[bytes], vocabulary: Vocabulary, rank: dict[bytes, int], threshold: float):
+    def __init__(self, words: list[bytes], vocabulary: Vocabulary, rank: dict[bytes, int], threshold: float,
+                 deciding: set[bytes] = frozenset()):
         ids = {w: i for i, w in enumerate(vocabulary.words)}
         self.size = len(words)
         self.need = max(1, math.ceil(threshold * len(words) - 1e-9))
@@ -135,6 +152,7 @@ class Run:
         self.places: dict[int, int] = defaultdict(int)  # bit i is the template's word i
         for i, word in enumerate(words):
             self.places[ids[word]] |= 1 << i
+        self.deciding = {ids[w] for w in deciding}
         self.own, self.rare = np.zeros((2, len(ids)), dtype=bool)
         self.own[list(self.places)] = True
         for word in sorted(set(words), key=rank.__getitem__)[:len(words) - self.need + 1]:
@@ -177,7 +195,7 @@ class Run:
                 while z < len(near) and near[z] < start + self.wide:
                     z += 1
                 found, end = self.common(words[j:z])
-                if found >= best[0] and near[j + end - 1] >= at:  # the last start has no word too many
+                if found >= best[0] and near[j + end - 1] >= at and self.deciding <= set(words[j:j + end]):  # the last start has no word too many
                     best = (found, start, near[j + end - 1] + 1)
             if best[1] >= 0:
                 done = best[2]
@@ -187,10 +205,11 @@ class Run:
 class Join:
     """The templates' side: words in global order and the index of their prefixes."""
 
-    def __init__(self, templates: Sequence[tuple[str, str]], counts: dict[bytes, int], threshold: float):
+    def __init__(self, templates: Sequence[tuple[str, str]], counts: dict[bytes, int], threshold: float,
+                 deciding: Mapping[str, Sequence[str]] = DECIDING):
         self.vocabulary = Vocabulary(templates)
         self.rank = {w: i for i, w in enumerate(sorted(counts, key=lambda w: (counts[w], w)))}
-        self.templates = []
+        self.templates, self.labels = [], []
         self.runs: list[Run] = []
         self.index: dict[bytes, list[tuple[int, int]]] = defaultdict(list)
         for label, text in templates:
@@ -200,12 +219,15 @@ class Join:
             need = max(1, math.ceil(threshold * len(own) - 1e-9))
             for i, word in enumerate(own[:len(own) - need + 1]):
                 self.index[word].append((len(self.templates), i))
-            self.templates.append((label, own, need))
-            self.runs.append(Run(words_of(text), self.vocabulary, self.rank, threshold))
+            sure = set(words_of(" ".join(deciding.get(label, ())))) & set(own)
+            self.templates.append((own, need, sure, max(REACH, 2 * len(words_of(text)))))
+            self.labels.append(label)
+            self.runs.append(Run(words_of(text), self.vocabulary, self.rank, threshold, sure))
         self.rare = np.array([w in self.index for w in self.vocabulary.words], dtype=bool)
 
-    def block(self, block: set[bytes]) -> Iterator[tuple[int, float]]:
-        """Number and containment of the templates that a block holds."""
+    def block(self, words: list[bytes]) -> Iterator[tuple[int, float]]:
+        """Number and containment of the templates that a block of words holds."""
+        block = set(words)
         known = sorted((w for w in block if w in self.rank), key=self.rank.__getitem__)
         tried = set()
         for j, word in enumerate(known):
@@ -213,12 +235,31 @@ class Join:
                 if number in tried:
                     continue
                 tried.add(number)  # the first common word decides
-                _, own, need = self.templates[number]
+                own, need, sure, reach = self.templates[number]
                 if len(block) < need or 1 + min(len(own) - i - 1, len(known) - j - 1) < need:
                     continue
                 common = sum(w in block for w in own)
-                if common >= need:
-                    yield number, common / len(own)
+                if common >= need and sure <= block:
+                    common = common if len(words) <= reach else _within(words, set(own), sure, reach)
+                    if common >= need:
+                        yield number, common / len(own)
+
+
+def _within(words: list[bytes], own: set[bytes], sure: set[bytes], reach: int) -> int:
+    """Most of the distinct ``own`` words that ``reach`` consecutive words hold, all of ``sure`` among them."""
+    most, inside, first = 0, Counter(), 0
+    places = [i for i, w in enumerate(words) if w in own]
+    for at in places:
+        inside[words[at]] += 1
+        while places[first] <= at - reach:
+            gone = words[places[first]]
+            inside[gone] -= 1
+            if not inside[gone]:
+                del inside[gone]
+            first += 1
+        if len(inside) > most and sure <= inside.keys():
+            most = len(inside)
+    return most
 
 
 def _scan(part: Slice, join: Join, phrases: list[tuple[str, np.ndarray]]) -> list:
@@ -242,18 +283,18 @@ def _scan(part: Slice, join: Join, phrases: list[tuple[str, np.ndarray]]) -> lis
     line_starts, line_ends, line_bounds = low.lines()
     for line in np.unique(np.searchsorted(line_starts, starts[rare], side="right") - 1).tolist():
         lo, hi = np.searchsorted(starts, [line_starts[line], line_ends[line]])
-        block = {low.data[a:b].tobytes() for a, b in zip(starts[lo:hi].tolist(), ends[lo:hi].tolist())}
+        block = [low.data[a:b].tobytes() for a, b in zip(starts[lo:hi].tolist(), ends[lo:hi].tolist())]
         text = int(np.searchsorted(line_bounds, line, side="right")) - 1
         for number, share in join.block(block):
             held.add((number, line))
-            blocks[text].append({"label": join.templates[number][0], "line": line - int(line_bounds[text]),
+            blocks[text].append({"label": join.labels[number], "line": line - int(line_bounds[text]),
                                  "containment": share})
     known = np.flatnonzero(ids >= 0)
     for number, run in enumerate(join.runs):
         for text, a, z, share in run.search(ids, known, bounds):
             lines = np.searchsorted(line_starts, starts[a:z], side="right") - 1
             if lines[0] < lines[-1] and not any((number, line) in held for line in lines.tolist()):
-                wrapped[text].append({"label": join.templates[number][0],
+                wrapped[text].append({"label": join.labels[number],
                                       "line": int(lines[0] - line_bounds[text]), "containment": share})
     found = pa.list_(pa.struct([("label", pa.string()), ("line", pa.int64()), ("containment", pa.float64())]))
     return [np.diff(bounds).astype(np.int64),
@@ -262,11 +303,12 @@ def _scan(part: Slice, join: Join, phrases: list[tuple[str, np.ndarray]]) -> lis
 
 
 def scan(docs: DataFrame, templates: Sequence[tuple[str, str]] = TEMPLATES, phrases=PHRASES,
-         threshold: float = THRESHOLD, keep: list[str] | None = None) -> DataFrame:
+         threshold: float = THRESHOLD, keep: list[str] | None = None,
+         deciding: Mapping[str, Sequence[str]] = DECIDING) -> DataFrame:
     """Rows of ``docs`` as ``doc``, with ``n_words``, ``places`` (phrases, by word),
     ``blocks`` (templates, by line, with the containment) and ``wrapped`` (templates over
     several lines, by the first of them)."""
-    join = Join(templates, document_counts(docs, templates), threshold)
+    join = Join(templates, document_counts(docs, templates), threshold, deciding)
     searched = [(label, _hashes(words_of(phrase))) for phrase, label in phrases]
     return map_texts(docs, RESULTS, lambda: lambda part: _scan(part, join, searched), keep=keep)
 
