@@ -97,3 +97,38 @@ def test_no_python_and_no_move(spark):
     text = plan(P.op8(spark, SF))
     assert "Python" not in text and "Arrow" not in text and "Exchange" not in text
     assert "ReadSchema: struct<doc_id:bigint,text:string>" in text
+
+
+NUMBERS = [
+    ("IBAN DE89370400440532013000 BIC COBADEFFXXX", ["DE89370400440532013000"]),
+    ("GB82WEST12345698765432 TODAY", ["GB82WEST12345698765432"]),
+    ("PAY NL91ABNA0417164300 AND DE89 3704 0044 0532 0130 00 NOW", ["NL91ABNA0417164300", "DE89 3704 0044 0532 0130 00"]),
+    ("DE89370400440532013000 GB82WEST12345698765432 17 4", ["DE89370400440532013000", "GB82WEST12345698765432"]),
+    ("DE89370400440532013001 GB82WEST12345698765432 X1", ["GB82WEST12345698765432"]),
+    ("NO9386011117947 2024 12 31", ["NO9386011117947"]),
+    ("DE89370400440532013000X", []), ("xDE89370400440532013000 BIC", []), ("DE8937040044053201300 BIC", []),
+]
+
+
+def test_numbers_before_capitals_and_digits(spark, tmp_path):
+    texts = [t for t, _ in NUMBERS]
+    accounts = [[s.text for s in spans if s.kind == "iban"] for spans in spans_of(spark, texts)]
+    assert accounts == [want for _, want in NUMBERS]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    rows = {r.doc_id: r.spans for r in P.op8(spark, str(tmp_path)).collect()}
+    for i, (text, want) in enumerate(NUMBERS):
+        assert [x for x in rows[i].split(",") if x.startswith("iban")] == [
+            f"iban:{text.index(w)}:{text.index(w) + len(w)}" for w in want]
+
+
+def test_a_number_before_a_name(spark):
+    """The operator finds it; the query does not, as its SQL and odd rows have it."""
+    text = "GB82 WEST 1234 5698 7654 32 Hello"
+    assert [s.text for s in spans_of(spark, [text])[0]] == [text[:-6]]
+    frame = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    assert P.personal_data(frame, kinds=P.SQL_KINDS).head().spans == []
+
+
+def test_every_country_has_one_length():
+    names = [c for x in P.LENGTHS.values() for c in x.split()]
+    assert len(names) == len(set(names)) and all(15 <= n <= 34 for n in P.LENGTHS)
