@@ -21,6 +21,8 @@ TEXTS = [
     "xtoken=abcdef0123456789abcdef token:abcdef0123456789abcdef", "Åtoken=abcdef0123456789/ab secret=short",
     "4111-1111 1111 1111 a@b.c_d@e.f +1 (017) 555-7713. 1.2.3.4.5 256.1.1.1 0.0.0.0255", "😀 x@y.z\n😀 10.0.0.1",
     "A B C D E F G H I A B C D E F G H I", "x" * 5000, "w w " * 5000,
+    *[f"{i}\n \tThis line of the footer stands in MANY documents É \r\nend {i}\n{'é' * 40}\n{'é' * 39}" for i in range(6)],
+    "this line of the footer stands in many documents É\n" * 3, "é" * 40 + "\n" + "é" * 20,
 ]
 PAGES = [None, "", "no scheme", "://", "http://", "http://NET", "http://a.net/x", "http://a.net?x", "https://Example.NET/en/a",
          "https://m.example.net/EN/a", "http://example.com/de/", "http://xexample.com/de/", "ftp://é.org/fr/é#://x",
