@@ -43,11 +43,16 @@ def tables(folder, documents=True, null_ids=True):
     items = [{"item_id": i, "text": t} for i, t in ((1, ITEM), (2, None), (3, ""), (10, "short item here"), (2, ITEM[10:]),
                                                    (None, "then word word"), (4, "É é"))]
     labels = [{"doc_id": i, "quality": q, "toxic": 0} for i, q in ((0, 1), (0, 0), (7, None), (None, 1), (14, 1), (14, 1), (99, 1))]
+    talks = [(c, t, r, x) for c in (-7, -5, 0, 1, 3, 4, 5, 9, 10, 13, 14, 25, 29) for t, r, x in (
+        (0, "user", "hello"), (1, None, None), (None, "user", "é" * (c % 3)), (1, "a", ""), (1, "a", ""), (7, "", str(c % 2)))[:c % 7 + 1]]
+    talks += [(c, i, "user", f"turn {i}") for c in (15, 16, 17, 18, 19, 20, 26) for i in range(c)] + [(None, 0, "user", "hello")]
+    talks = [{"conv_id": c, "turn": t, "role": r, "text": x, "depth": 1, "k1": 2, "ids": 3} for c, t, r, x in talks]
     number, text = pa.int64(), pa.string()
     for name, data, kinds in (("documents", rows if documents else [], {"text": text, "lang": text, "source": text}),
                               ("pages", pages if documents else [], {"url": text, "html": text}),
+                              ("conversations", talks if documents else [], {"role": text, "text": text}),
                               ("benchmark", items, {"text": text}), ("labels", labels, {})):
-        names = list((rows if name == "documents" else pages if name == "pages" else data)[0])
+        names = list({"documents": rows, "pages": pages, "conversations": talks}.get(name, data)[0])
         schema = pa.schema([(n, kinds.get(n, number)) for n in names])
         pq.write_table(pa.Table.from_pylist(data, schema), f"{folder}/{name}.parquet")
     return str(folder)
@@ -55,7 +60,7 @@ def tables(folder, documents=True, null_ids=True):
 
 def compare(spark, folder, name):
     con = duckdb.connect()
-    for t in ("documents", "pages", "benchmark", "labels"):
+    for t in ("documents", "pages", "benchmark", "labels", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{folder}/{t}.parquet'")
     frame = QUERIES[name](spark, folder)
     rows = [tuple(r) for r in frame.collect()]
