@@ -49,9 +49,7 @@ ODD = [(1, f"{FOOT}\nown"), (2, f"  {FOOT.replace('A', 'a')}\t\r\nb"), (2, f"aga
 
 
 @pytest.mark.parametrize("often", [2, 5, 6, 7])
-@pytest.mark.parametrize("small", [0, L.SMALL])
-def test_odd_rows(spark, monkeypatch, often, small):
-    monkeypatch.setattr(L, "SMALL", small)  # by shuffles alone, or by broadcasts
+def test_odd_rows(spark, often):
     assert result(spark, ODD, often=often) == brute(ODD, often=often)
 
 

@@ -9,9 +9,8 @@ Two counts keep the work small and whole. Rows per hash are counted first, with
 map-side combine and one shuffle; no hash of fewer rows can have enough documents.
 The distinct documents are then counted for the remaining hashes alone. A hot line
 is a row per task in the first count, and spread over its documents in the second.
-The lists of hashes and of dropped positions are broadcast only while their counted
-size is at most ``SMALL``; beyond it the same joins shuffle, and Spark splits what
-is skewed. Texts move only in that case, once.
+All joins shuffle at every size, hashes with hashes, and at last the documents, once,
+with their dropped positions; a hot hash is a join partition that Spark splits.
 
 A document is a ``doc_id``: rows that share one are one document, and all of them
 keep a line which their id wins. Rows without an id are documents by their text,
@@ -36,7 +35,6 @@ from tidewell.llm.registry import query, table
 from tidewell.llm.texts import Slice, map_texts
 
 LENGTH, OFTEN = 40, 5
-SMALL = 300_000  # hashes, or positions, that are sent to every task (a few MB)
 BLANK = b" \t\n\v\f\r"
 HASHED = "lines array<struct<pos: long, h1: long, h2: long>>"
 
@@ -83,10 +81,6 @@ def long_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", length:
     return found.select("doc.*", F.explode("lines").alias("x")).select("id", "t", "x.pos", "x.h1", "x.h2")
 
 
-def _sent(frame: DataFrame, rows: int) -> DataFrame:
-    return F.broadcast(frame) if rows <= SMALL else frame
-
-
 def dropped_positions(spark: SparkSession, docs: DataFrame, key: str = "doc_id", text: str = "text",
                       length: int = LENGTH, often: int = OFTEN) -> DataFrame:
     """``id``, ``t`` and the ``positions`` that such rows lose; rows that lose none are left out."""
@@ -94,11 +88,11 @@ def dropped_positions(spark: SparkSession, docs: DataFrame, key: str = "doc_id",
     candidates = stored(spark, lines.groupBy("h1", "h2").count().filter(F.col("count") >= often)
                         .select("h1", "h2"), "lines-candidates")
     owner = F.struct("id", F.when(F.col("id").isNull(), F.col("t")).alias("t")).alias("owner")
-    held = lines.join(_sent(candidates, candidates.count()), ["h1", "h2"]).select("*", owner)
+    held = stored(spark, lines.join(candidates, ["h1", "h2"]).select("*", owner), "lines-held")
     common = stored(spark, held.groupBy("h1", "h2").agg(
         F.count_distinct("owner").alias("n"), F.max("owner").alias("largest"))
         .filter(F.col("n") >= often).select("h1", "h2", "largest"), "lines-common")
-    lost = lines.join(_sent(common, common.count()), ["h1", "h2"]).select("*", owner)
+    lost = held.join(common, ["h1", "h2"])
     return lost.filter(~F.col("owner").eqNullSafe(F.col("largest"))).groupBy("id", "t").agg(
         F.collect_set("pos").alias("positions"))
 
@@ -121,13 +115,12 @@ def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def without_common_lines(spark: SparkSession, docs: DataFrame, key: str = "doc_id", text: str = "text",
                          length: int = LENGTH, often: int = OFTEN) -> DataFrame:
     """Rows of ``docs`` as ``doc``, with ``n_lines``, ``n_dropped`` and the ``kept`` text."""
-    drops = stored(spark, dropped_positions(spark, docs, key, text, length, often), "lines-dropped")
-    drops = drops.select(F.col("id").alias("of"), F.col("t").alias("of_text"), "positions")
-    size = drops.agg(F.sum(F.size("positions") + 4)).first()[0] or 0
+    drops = dropped_positions(spark, docs, key, text, length, often).select(
+        F.col("id").alias("of"), F.col("t").alias("of_text"), "positions")
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"),
-                       F.col(f"`{text}`").cast("string").alias("text"), *_identity(docs, key, text))
+                       *_identity(docs, key, text))
     same = F.col("id").eqNullSafe(F.col("of")) & (F.col("t") == F.col("of_text"))
-    joined = rows.join(_sent(drops, size), same, "left").select("doc", "text", "positions")
+    joined = rows.join(drops, same, "left").select("doc", F.col("doc")[text].cast("string").alias("text"), "positions")
     schema = T.StructType([joined.schema["doc"], *T.StructType.fromDDL("n_lines long, n_dropped long, kept string")])
     return joined.mapInArrow(_kept, schema)
 
