@@ -1,7 +1,7 @@
 """All queries of this subpackage."""
 
 from tidewell.llm import (  # noqa: F401
-    classifier, decontaminate, licenses, lines, mixing, pii, rules, sharding, simhash, trie, urls, warc,
+    classifier, decontaminate, divergence, licenses, lines, mixing, pii, rules, sharding, simhash, trie, urls, warc,
 )
 from tidewell.llm.registry import ORACLES, QUERIES
 
