@@ -1,8 +1,10 @@
 """Spans against the contract's expressions in Python."""
 
 import hashlib
+import random
 import re
 
+import duckdb
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -121,12 +123,32 @@ def test_numbers_before_capitals_and_digits(spark, tmp_path):
             f"iban:{text.index(w)}:{text.index(w) + len(w)}" for w in want]
 
 
-def test_a_number_before_a_name(spark):
-    """The operator finds it; the query does not, as its SQL and odd rows have it."""
-    text = "GB82 WEST 1234 5698 7654 32 Hello"
-    assert [s.text for s in spans_of(spark, [text])[0]] == [text[:-6]]
-    frame = spark.createDataFrame([(1, text)], "doc_id long, text string")
-    assert P.personal_data(frame, kinds=P.SQL_KINDS).head().spans == []
+@pytest.mark.parametrize("text,want", [
+    ("GB82 WEST 1234 5698 7654 32 Hello", "GB82 WEST 1234 5698 7654 32"), ("IBAN DE89370400440532013000 Hello", "DE89370400440532013000"),
+    ("Pay to GB82 WEST 1234 5698 7654 32 Thank you", "GB82 WEST 1234 5698 7654 32"), ("NL91ABNA0417164300 Bank", "NL91ABNA0417164300")])
+def test_a_number_before_a_name(spark, tmp_path, text, want):
+    """Operator, query and SQL find a number whatever word follows it."""
+    assert [s.text for s in spans_of(spark, [text])[0]] == [want]
+    at = text.index(want)
+    spark.createDataFrame([(1, text)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    row = P.op8(spark, str(tmp_path)).first()
+    assert row.spans == f"iban:{at}:{at + len(want)}"
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    assert con.execute(f"SELECT spans FROM ({P.OP8_SQL})").fetchall() == [(row.spans,)]
+
+
+def test_a_text_spared_has_no_match():
+    """What a kind needs is in every text that its pattern matches, for random texts of its characters."""
+    r = random.Random(8)
+    parts = ["4111 1111 1111 1111", "a@b.c", "1.2.3.4", "+1 (555) 010-9999", "123-45-6789", "DE89 3704 0044 0532 0130 00",
+             "api_key: 'abcdef0123456789", "TOKEN=abcdef0123456789xyz", "5", "-", " ", ".", "+", "AB12", "x"]
+    texts = ["".join(r.choices(parts, k=r.randint(1, 4))) for _ in range(500)]
+    for k in P.KINDS:
+        for text in texts:
+            valid = re.search(k.pattern.replace(r"\G", "^"), text)
+            if valid and (k.name not in ("card",) or len(re.sub("[^0-9]", "", valid[0])) >= 12):
+                assert re.search(k.needs, text), (k.name, text)
 
 
 def test_every_country_has_one_length():

@@ -10,17 +10,18 @@ the capacities added up from the leaves. All of it is integer arithmetic on a
 table with one row per leaf.
 
 Within a leaf, whole epochs take every document; of the next epoch a prefix is
-taken, in an order seeded by the epoch, as long as its tokens fit. Documents that
-share an order value (repeated rows) go in or stay out together. The prefix ends
-at one value per leaf. It is found without sorting a leaf: tokens are added up
+taken, in an order seeded by the epoch, as long as its tokens fit. A row's place comes
+from its id and its text, and from its other columns where it has any; so only rows
+that are equal in all of them share one, and of those as many are taken as fit. The
+prefix ends at one value per leaf. It is found without sorting a leaf: tokens are added up
 per leaf and slice of the order (1,024 of them), then within the slice in which the
 budget ends (1,024 again), and only the part left is looked at by value. A leaf that holds most rows is spread like any
 other, and each row is then decided on by a comparison with its leaf's value.
 
 Defined results: a null or empty text has no tokens, costs nothing, and is in
 whenever its place in the order is. Null names of nodes count as the empty name.
-Names without a weight have weight 1; weight 0 takes nothing. Rows with null ids
-share one place in the order. Empty tables give no rows.
+Names without a weight have weight 1; weight 0 takes nothing. A null id is like an
+empty one: such rows are told apart by their text. Empty tables give no rows.
 """
 
 from __future__ import annotations
@@ -117,9 +118,16 @@ def budgets(leaves: DataFrame, mix: Mix) -> DataFrame:
     ).withColumn("rest", F.col("budget") - F.col("epochs") * F.col("tokens"))
 
 
-def order_value(mix: Mix, doc_id: Column, epoch: Column) -> Column:
-    """A document's place in an epoch's order."""
-    own = F.coalesce(doc_id.cast("string"), F.lit(""))
+def identity(docs: DataFrame, doc_id: str, text: str, names: list[str]) -> Column:
+    """What tells a row from others of its leaf; ``names`` are the leaf's columns."""
+    empty = lambda c: F.coalesce(F.col(f"`{c}`").cast("string"), F.lit(""))
+    own = F.concat(empty(doc_id), F.lit(":"), F.md5(empty(text)))
+    others = [F.col(f"`{c}`") for c in docs.columns if c not in (doc_id, text, *names)]
+    return F.concat(own, F.lit(":"), F.hex(F.xxhash64(*others))) if others else own
+
+
+def order_value(mix: Mix, own: Column, epoch: Column) -> Column:
+    """A row's place in an epoch's order."""
     return number(F.concat(F.lit(f"{mix.seed}:"), epoch.cast("string"), F.lit(":"), own))
 
 
@@ -130,11 +138,12 @@ def _small(leaves: DataFrame) -> DataFrame:
 def plan(spark: SparkSession, docs: DataFrame, domain: Column, mix: Mix, text: str = "text",
          language: str = "lang", source: str = "source", doc_id: str = "doc_id") -> tuple[DataFrame, DataFrame]:
     """What is taken of each leaf (``epochs`` and, of the next one, order values up to
-    ``upto``), and the stored sizes: doc_id, the levels and ``tokens`` of every row."""
+    ``upto``, and of the equal rows at ``edge`` as many as ``fit``), and the stored sizes:
+    doc_id, ``own``, the levels and ``tokens`` of every row."""
     names = [F.coalesce(x.cast("string"), F.lit("")).alias(n)
              for x, n in zip((domain, F.col(language), F.col(source)), LEVELS)]
     sizes = stored(spark, docs.select(
-        F.col(doc_id).alias("doc_id"), *names,
+        F.col(doc_id).alias("doc_id"), identity(docs, doc_id, text, [language, source]).alias("own"), *names,
         F.coalesce(F.regexp_count(text, F.lit(WORDS)), F.lit(0)).cast("bigint").alias("tokens")), "mixing-sizes")
     leaves = stored(spark, budgets(sizes.groupBy(*LEVELS).agg(F.sum("tokens").alias("tokens")), mix),
                     "mixing-budgets")
@@ -145,10 +154,10 @@ def plan(spark: SparkSession, docs: DataFrame, domain: Column, mix: Mix, text: s
     for below in STEPS:
         # Of each leaf only the slice that holds the end is divided further.
         placed = (sizes.join(_small(ends), list(LEVELS))
-                  .withColumn("at", order_value(mix, F.col("doc_id"), F.col("epochs")))
+                  .withColumn("at", order_value(mix, F.col("own"), F.col("epochs")))
                   .filter(F.shiftright("at", above) == F.col("slice")))
         held = (placed.withColumn("slice", F.shiftright("at", below))
-                .groupBy(*LEVELS, "epochs", "rest", "before", "slice").agg(F.sum("tokens").alias("n")))
+                .groupBy(*LEVELS, "epochs", "rest", "before", "slice").agg(F.sum("tokens").alias("n"), F.count("*").alias("m")))
         used = held.withColumn("used", F.col("before") + F.sum("n").over(
             leaf.orderBy("slice").rowsBetween(W.unboundedPreceding, 0)))
         if below:
@@ -156,17 +165,28 @@ def plan(spark: SparkSession, docs: DataFrame, domain: Column, mix: Mix, text: s
                 *LEVELS, "epochs", "rest", "slice", (F.col("used") - F.col("n")).alias("before")), "mixing-ends")
             above = below
         else:
-            upto = used.filter("used <= rest").groupBy(*LEVELS).agg(F.max("slice").alias("last"))
+            upto = used.groupBy(*LEVELS).agg(
+                F.max(F.when(F.col("used") <= F.col("rest"), F.col("slice"))).alias("last"),
+                F.min(F.when(F.col("used") > F.col("rest"), F.struct(
+                    "slice", F.expr("((rest - used + n) * m) div n").alias("fit")))).alias("cut"))
     ends = ends.select(*LEVELS, "slice")
     taken = (leaves.join(ends, list(LEVELS), "left").join(upto, list(LEVELS), "left")
-             .select(*LEVELS, "tokens", "budget", "epochs", F.when(F.col("rest") <= 0, F.lit(-1)).otherwise(
+             .select(*LEVELS, "tokens", "budget", "epochs", F.col("cut.slice").alias("edge"), F.col("cut.fit").alias("fit"), F.when(F.col("rest") <= 0, F.lit(-1)).otherwise(
                  F.coalesce("last", F.shiftleft("slice", above) - 1, F.lit(1 << BITS))).alias("upto")))
     return stored(spark, taken, "mixing-taken"), sizes
 
 
-def copies(mix: Mix, doc_id: Column) -> Column:
+def copies(mix: Mix, own: Column) -> Column:
     """How often a row is used, where its leaf's ``epochs`` and ``upto`` stand beside it."""
-    return (F.col("epochs") + (order_value(mix, doc_id, F.col("epochs")) <= F.col("upto")).cast("int"))
+    return (F.col("epochs") + (order_value(mix, own, F.col("epochs")) <= F.col("upto")).cast("int"))
+
+
+def of_equal_rows(rows: DataFrame, taken: DataFrame, mix: Mix, columns: list[str]) -> DataFrame:
+    """One of the equal rows in which a leaf's prefix ends, with ``fit``: how many of them
+    are used once more. Most leaves have no such rows."""
+    ends = taken.filter("fit > 0").select(*LEVELS, "epochs", "edge", "fit")
+    there = rows.join(_small(ends), list(LEVELS)).filter(order_value(mix, F.col("own"), F.col("epochs")) == F.col("edge"))
+    return there.groupBy(*LEVELS, "fit").agg(F.first(F.struct(*columns)).alias("row")).select(*LEVELS, "fit", "row.*")
 
 
 def mixed(docs: DataFrame, domain: Column | None = None, mix: Mix = Mix()) -> DataFrame:
@@ -174,18 +194,25 @@ def mixed(docs: DataFrame, domain: Column | None = None, mix: Mix = Mix()) -> Da
     spark = docs.sparkSession
     domain = domain_of(F.col("source")) if domain is None else domain
     taken, _ = plan(spark, docs, domain, mix)
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), *[
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"),
+                       identity(docs, "doc_id", "text", ["lang", "source"]).alias("own"), *[
         F.coalesce(x.cast("string"), F.lit("")).alias(n)
         for x, n in zip((domain, F.col("lang"), F.col("source")), LEVELS)])
-    used = rows.join(_small(taken), list(LEVELS)).withColumn("copies", copies(mix, F.col("doc")["doc_id"]))
+    used = rows.join(_small(taken), list(LEVELS)).withColumn("copies", copies(mix, F.col("own")))
     again = used.filter("copies > 0").select("doc", F.explode(F.sequence(F.lit(1), "copies")).alias("epoch"))
-    return again.select(*[F.col("doc")[c].alias(c) for c in docs.columns])
+    # Many equal rows are written by many tasks.
+    more = (of_equal_rows(rows, taken, mix, ["doc"])
+            .select("doc", "fit", F.explode(F.sequence(F.lit(0).cast("long"), F.expr("(fit - 1) div 1000"))).alias("part"))
+            .repartition("part")
+            .select("doc", F.explode(F.sequence(F.lit(1).cast("long"), F.least(F.lit(1000), F.col("fit") - F.col("part") * 1000))).alias("epoch")))
+    return again.select("doc").union(more.select("doc")).select(*[F.col("doc")[c].alias(c) for c in docs.columns])
 
 
 OP1_SQL = r"""
 WITH sizes AS (
   SELECT doc_id, ['web', 'books', 'news'][('0x' || substr(md5(coalesce(source, '')), 1, 15))::BIGINT % 3 + 1] AS domain,
          coalesce(lang, '') AS language, coalesce(source, '') AS source,
+         coalesce(doc_id::VARCHAR, '') || ':' || md5(coalesce(text, '')) AS own,
          len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::HUGEINT AS tokens
   FROM documents
 ), leaves AS (
@@ -230,14 +257,20 @@ WITH sizes AS (
   SELECT sizes.*, s.budget, CASE WHEN s.tokens > 0 THEN s.budget // s.tokens ELSE 0 END AS epochs, s.tokens AS total
   FROM sizes JOIN s USING (domain, language, source)
 ), ordered AS (
-  SELECT *, ('0x' || substr(md5('1:' || epochs || ':' || coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT AS place,
+  SELECT *, ('0x' || substr(md5('1:' || epochs || ':' || own), 1, 15))::BIGINT AS place,
          budget - epochs * total AS rest
   FROM placed
 ), cut AS (
-  SELECT *, sum(tokens) OVER (PARTITION BY domain, language, source ORDER BY place
-                              RANGE UNBOUNDED PRECEDING) AS used FROM ordered
-), taken AS (SELECT *, (epochs + CASE WHEN rest > 0 AND used <= rest THEN 1 ELSE 0 END)::INTEGER AS copies FROM cut)
-SELECT doc_id, domain, language, source, tokens::BIGINT AS tokens, copies FROM taken WHERE copies > 0
+  SELECT *, sum(tokens) OVER (w RANGE UNBOUNDED PRECEDING) <= rest AND rest > 0 AS whole,
+         sum(tokens) OVER (w ROWS UNBOUNDED PRECEDING) <= rest AND rest > 0 AS fits
+  FROM ordered WINDOW w AS (PARTITION BY domain, language, source ORDER BY place)
+)
+SELECT doc_id, domain, language, source, tokens::BIGINT AS tokens, (epochs + whole::INTEGER)::BIGINT AS copies
+FROM cut WHERE epochs + whole::INTEGER > 0
+UNION ALL
+-- Of equal rows that do not all fit, one more row says how many do.
+SELECT any_value(doc_id), domain, language, source, any_value(tokens)::BIGINT, count(*) FILTER (fits)
+FROM cut WHERE tokens > 0 GROUP BY domain, language, source, place HAVING NOT bool_and(whole) AND bool_or(fits)
 """
 
 
@@ -246,6 +279,8 @@ def op1(spark, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
     mix = Mix()
     taken, sizes = plan(spark, docs, domain_of(F.col("source")), mix)
-    used = sizes.join(_small(taken.drop("tokens", "budget")), list(LEVELS))
-    return used.withColumn("copies", copies(mix, F.col("doc_id"))).filter("copies > 0").select(
-        "doc_id", *LEVELS, "tokens", "copies")
+    leaf = taken.drop("tokens", "budget")
+    used = sizes.join(_small(leaf), list(LEVELS)).withColumn("copies", copies(mix, F.col("own")).cast("long"))
+    columns = ["doc_id", *LEVELS, "tokens", "copies"]
+    more = of_equal_rows(sizes, leaf, mix, ["doc_id", "tokens"]).withColumnRenamed("fit", "copies")
+    return used.filter("copies > 0").select(columns).union(more.select(columns))
