@@ -15,7 +15,7 @@ from tidewell.session import scratch_dir
 from tidewell.sources.readers import (
     KAFKA_SCHEMA, from_offsets, from_time, split_words, stream_feed_text, value_text)
 from tidewell.spec import TableSpec
-from tidewell.streaming.jobs import Target, checkpoint_for, last_progress, start_console, start_fan_out, start_upsert, stored_state, typed_target
+from tidewell.streaming.jobs import Target, checkpoint_for, fan_out, last_progress, start_console, start_fan_out, start_upsert, stored_state, typed_target
 from tidewell.streaming.repeated import repeated_keys, repeated_keys_stateful, start_repeated_keys
 
 SF = "/root/testdata/sf0.001"
@@ -201,3 +201,30 @@ def test_kafka_shape(spark):
         (0, 3), (0, 4)] + [(1, o) for o in range(5)]
     assert from_time(frame, 3000).count() == 4
     assert value_text(frame).first().value == "v"
+
+
+@pytest.mark.parametrize("bad", [False, True])
+def test_fan_out_reads_and_converts_each_record_once(spark, bad):
+    """However many tables there are, and whether or not some records are rejected."""
+    root, count = scratch_dir(spark, "once"), spark.sparkContext.accumulator
+    read, converted = count(0), count(0)
+
+    def seen(counter):
+        def touch(x):
+            counter.add(1)
+            return x
+        return F.udf(touch, "bigint").asNondeterministic()
+
+    def project(rows):
+        reason = F.when((F.col("id") % 10 == 0) & F.lit(bad), F.lit("tenth"))
+        return rows.withColumn("id", seen(converted)("id")).withColumns(
+            {"seq": F.lit(1), "_sub": F.lit(0), "_kind": F.lit("+I"), "_reject": reason})
+
+    targets = {f"t{i}": Target(LakeTable(spark, f"{root}/t{i}", IDS), project) for i in range(7)}
+    batch = spark.range(0, 700, 1, 4).select(seen(read)("id").alias("id")).withColumn("_tag", F.concat(F.lit("t"), F.col("id") % 7))
+    fan_out(targets, rejects=f"{root}/rejects", staging=f"{root}/staging")(batch, 0)
+    assert (read.value, converted.value) == (700, 700)
+    kept = {name: sorted(r.id for r in t.table.read().collect()) for name, t in targets.items()}
+    assert kept == {f"t{i}": [x for x in range(i, 700, 7) if not bad or x % 10] for i in range(7)}
+    if bad:
+        assert spark.read.parquet(f"{root}/rejects").count() == 70

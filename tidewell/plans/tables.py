@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidewell.lake.catalog import CatalogTable
 from tidewell.lake.sizing import buckets_for
 from tidewell.lake.table import LakeTable
 from tidewell.operators.merge import merge_on_read as merged
@@ -46,6 +47,45 @@ def lake_upsert_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return target.read(COLUMNS).select(*COLUMNS)
 
 
+def catalog_table(spark: SparkSession, sf_dir: str, label: str) -> CatalogTable:
+    buckets = buckets_for(table(spark, sf_dir, "orders"))
+    return CatalogTable(spark, f"{label}_{uuid.uuid4().hex}", replace(ORDERS, buckets=buckets), scratch_dir(spark, label))
+
+
+@query("catalog_upsert_stream", STATE)
+def catalog_upsert_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream into a table of the catalog, compacted between two runs; another session
+    reads the merged rows by the table's name."""
+    target = catalog_table(spark, sf_dir, "catalog_stream")
+    feed = f"{target.root}/feed"
+    changes = changelog(table(spark, sf_dir, "orders"))
+    for part in ("seq <= 2", "seq > 2"):
+        changes.filter(part).write.mode("append").parquet(feed)
+        stream = spark.readStream.schema(changes.schema).parquet(feed)
+        start_upsert(stream, target, f"{target.root}/checkpoint", interval=None).awaitTermination()
+        if part == "seq <= 2":
+            target.compact()
+            target.clean()
+    return spark.newSession().table(target.name).select(*COLUMNS)
+
+
+@query("key_lookup", CH + """SELECT topic, id, st, amt FROM state
+WHERE id IN (SELECT (SELECT max(o_orderkey) FROM orders) * i // 8 FROM range(1, 9) t(i))""")
+def key_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of single keys, each from one bucket of base and log."""
+    target = catalog_table(spark, sf_dir, "catalog_lookup")
+    changes = changelog(table(spark, sf_dir, "orders"))
+    target.append(changes.filter("seq <= 2"), 0)
+    target.compact()
+    target.append(changes.filter("seq > 2"), 1)
+    most = table(spark, sf_dir, "orders").agg(F.max("o_orderkey")).first()[0]
+    found = None
+    for number in sorted({most * i // 8 for i in range(1, 9)}):
+        row = target.lookup(id=number, topic=f"src.order_0{number % 8}.orders").select(*COLUMNS)
+        found = row if found is None else found.unionByName(row)
+    return found
+
+
 @query("compact_equals_read", STATE)
 def compact_equals_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     target = lake_table(spark, sf_dir, "compact")
@@ -59,14 +99,14 @@ def compact_equals_read(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("lake_snapshot", CH + "SELECT st, count(*) AS n, min(id) AS least, max(id) AS most FROM state GROUP BY st")
 def lake_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    target = lake_table(spark, sf_dir, "snapshot")
+    """Plain SQL, in another session, over the table's persisted view."""
+    target = catalog_table(spark, sf_dir, "snapshot")
     changes = changelog(table(spark, sf_dir, "orders"))
-    target.append(changes.filter("seq <= 2"), 0, rebalance=False)
+    target.append(changes.filter("seq <= 2"), 0)
     target.compact()
-    target.append(changes.filter("seq > 2"), 1, rebalance=False)
-    name = f"lake_{uuid.uuid4().hex}"
-    target.read(COLUMNS).select(*COLUMNS).createOrReplaceTempView(name)
-    return spark.sql(f"SELECT st, count(*) AS n, min(id) AS least, max(id) AS most FROM {name} GROUP BY st")
+    target.append(changes.filter("seq > 2"), 1)
+    return spark.newSession().sql(
+        f"SELECT st, count(*) AS n, min(id) AS least, max(id) AS most FROM {target.name} GROUP BY st")
 
 
 @query("redelivery_idempotent", STATE)

@@ -7,17 +7,19 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark import StorageLevel, inheritable_thread_target
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidewell.lake.files import newest_child
 from tidewell.functions.convert import Converter
+from tidewell.lake.files import newest_child, remove
+from tidewell.lake.catalog import CatalogTable
 from tidewell.lake.table import LakeTable, writer_of
 from tidewell.operators.changelog import expand_changelog
 from tidewell.operators.envelope import REJECT
 from tidewell.operators.routing import TAG
 from tidewell.operators.typed import RAW, typed_records
+from tidewell.session import scratch_dir
 
 INTERVAL = "60 seconds"
 
@@ -49,7 +51,7 @@ def _start(stream: DataFrame, each: Callable[[DataFrame, int], None], checkpoint
     return writer.trigger(processingTime=interval).start()
 
 
-def start_upsert(changes: DataFrame, table: LakeTable, checkpoint: str, name: str | None = None,
+def start_upsert(changes: DataFrame, table: LakeTable | CatalogTable, checkpoint: str, name: str | None = None,
                  interval: str | None = INTERVAL) -> StreamingQuery:
     """Changelog rows into a lake table. ``interval=None`` takes what is there and
     stops. A batch replayed after a failure overwrites its own folder, so the
@@ -93,19 +95,24 @@ def typed_target(table: LakeTable, text: str = "value", zone: str = "UTC",
 
 
 UNROUTED = "_unrouted"
+PLACE = "_place"
 
 
 def fan_out(targets: Mapping[str, Target], workers: int = 4, tag: str = TAG, rejects: str | None = None,
-            writer: str = "main") -> Callable[[DataFrame, int], None]:
+            writer: str = "main", staging: str | None = None) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function writing each record to its tag's table.
 
-    The batch is computed once and kept while the tables are written, a few at
-    a time. Tables without a record in the batch are not touched. Records of other
-    tags, and those a target rejects, go with their reason to
+    One job reads the batch and writes it to ``staging``, partitioned by tag, however
+    many tables there are; it counts the records of each tag as they pass. A table
+    then reads its own folder alone, a few tables at a time, and tables without a
+    record in the batch are not touched. A record is converted once: the typed rows
+    are kept while rejects and changes are written from them. Records of other tags,
+    and those a target rejects, go with their reason to
     ``rejects/target=<tag>/writer=W/batch_id=N`` as JSON of the whole record; without
     a folder for them, a batch that has any fails. Accepted and rejected records
     add up to the input.
     """
+    names = list(targets)
 
     def keep(bad: DataFrame, name: str, batch_id: int) -> None:
         if rejects is None:
@@ -115,30 +122,43 @@ def fan_out(targets: Mapping[str, Target], workers: int = 4, tag: str = TAG, rej
          .write.mode("overwrite").parquet(f"{rejects}/target={name}/writer={writer}/batch_id={batch_id}"))
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        shared = batch.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            # One row for each target at most, and one for all other tags; fills the cache once.
-            known = F.when(F.col(tag).isin(list(targets)), F.col(tag))
-            present = [row[0] for row in shared.select(known.alias("t")).distinct().collect()]
-            if None in present:
-                keep(shared.filter(known.isNull()).withColumn(REJECT, F.lit("unknown table")), UNROUTED, batch_id)
-
-            def one(name: str) -> None:
-                target = targets[name]
-                rows = target.project(shared.filter(F.col(tag) == name))
-                if REJECT in rows.columns:
-                    bad = rows.filter(F.col(REJECT).isNotNull())
-                    if not bad.isEmpty():
-                        keep(bad, name, batch_id)
-                    rows = rows.filter(F.col(REJECT).isNull()).drop(REJECT)
+        spark = batch.sparkSession
+        folder = f"{staging or scratch_dir(spark, 'fanout')}/batch_id={batch_id}"
+        place = F.coalesce(F.array_position(F.array(*[F.lit(n) for n in names]), F.col(tag)), F.lit(0)).cast("int")
+        seen = Observation()
+        counts = [F.count_if(place == i).alias(f"n{i}") for i in range(len(names) + 1)]
+        (batch.observe(seen, *counts).withColumn(PLACE, place).hint("rebalance", PLACE)
+         .write.mode("overwrite").partitionBy(PLACE).parquet(folder))
+
+        def routed(i: int) -> DataFrame:
+            return spark.read.schema(batch.schema).parquet(f"{folder}/{PLACE}={i}")
+
+        def one(i: int) -> None:
+            target = targets[names[i - 1]]
+            rows = target.project(routed(i))
+            if REJECT not in rows.columns:
                 target.table.append(target.expand(rows), batch_id, writer=writer)
+                return
+            typed = rows.persist(StorageLevel.MEMORY_AND_DISK)
+            try:
+                bad = typed.filter(F.col(REJECT).isNotNull())
+                if not bad.isEmpty():
+                    keep(bad, names[i - 1], batch_id)
+                good = typed.filter(F.col(REJECT).isNull()).drop(REJECT)
+                target.table.append(target.expand(good), batch_id, writer=writer)
+            finally:
+                typed.unpersist()
 
-            run = inheritable_thread_target(batch.sparkSession)(one)
+        try:
+            present = [i for i in range(len(names) + 1) if seen.get[f"n{i}"]]
+            if 0 in present:
+                keep(routed(0).withColumn(REJECT, F.lit("unknown table")), UNROUTED, batch_id)
+            run = inheritable_thread_target(spark)(one)
             with ThreadPoolExecutor(workers) as pool:
-                for job in [pool.submit(run, name) for name in present if name is not None]:
+                for job in [pool.submit(run, i) for i in present if i]:
                     job.result()
         finally:
-            shared.unpersist()
+            remove(spark, folder)
 
     return write
 
@@ -149,7 +169,7 @@ def start_fan_out(records: DataFrame, targets: Mapping[str, Target], checkpoint:
     """Route a stream of records to their tables; ``rejects`` is by default a folder
     in the checkpoint."""
     each = fan_out(targets, workers, rejects=rejects or f"{checkpoint.rstrip('/')}/rejects",
-                   writer=writer_of(checkpoint))
+                   writer=writer_of(checkpoint), staging=f"{checkpoint.rstrip('/')}/staging")
     return _start(records, each, checkpoint, name, interval)
 
 
