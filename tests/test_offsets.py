@@ -33,7 +33,7 @@ def test_order_survives_a_change_of_server(spark):
 
 
 def test_seen_transactions_as_a_set(spark):
-    edge = O.GTID_CHUNK
+    edge = O.intervals.CHUNK
     seen = [*range(1, 6), 8, *range(edge - 2, edge + 3), 2 * edge + 7]
     rows = [(0, (None, 0, f"u:{n}", 0)) for n in seen + seen[:3]] + [(0, (None, 0, "v:4", 0)), (1, (None, 0, "u:2", 0)), (1, (None, 0, None, 0))]
     feed = spark.createDataFrame(rows, f"task int, {SOURCE}").repartition(5)

@@ -5,14 +5,14 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewell.functions import gtid
+from tidewell.operators import chunks, intervals
 
 
 POSITION_BITS = 40
-GTID_CHUNK = 1 << 20
 
 
 RANK_BITS = 48
@@ -80,14 +80,21 @@ def intervals_of(spark: SparkSession, gtid_set: str) -> DataFrame:
 
 def in_gtid_set(gtid_set: str, transaction: Column) -> Column:
     """Whether a transaction id is in a set. The set is text given by the caller, so it
-    becomes part of the expression: no join, the same on streams."""
+    becomes part of the expression: no join, the same on streams. A server's
+    intervals are two sorted lists and a binary search, however many there are."""
     uuid, number = gtid.id_uuid(transaction), gtid.id_number(transaction)
-    by_server: dict[str, Column] = {}
-    for server, low, high in gtid.parse_set(gtid_set):
-        by_server[server] = by_server.get(server, F.lit(False)) | number.between(low, high)
+    by_server: dict[str, list[list[int]]] = {}
+    for server, low, high in sorted(gtid.parse_set(gtid_set)):
+        runs = by_server.setdefault(server, [])
+        if runs and low <= runs[-1][1] + 1:
+            runs[-1][1] = max(runs[-1][1], high)
+        else:
+            runs.append([low, high])
     inside = F.lit(False)
-    for server, covered in by_server.items():
-        inside = inside | ((uuid == server) & covered)
+    for server, runs in by_server.items():
+        lows, highs = (F.split(F.lit(",".join(str(r[i]) for r in runs)), ",").cast("array<bigint>") for i in (0, 1))
+        below = chunks.at_or_below(lows, F.lit(len(runs)), number)
+        inside = inside | ((uuid == server) & (F.get(highs, below - 1) >= number))
     return F.coalesce(inside, F.lit(False))
 
 
@@ -141,26 +148,9 @@ def source_offsets(feed: DataFrame, group: Sequence[str], gtid_col: str = "sourc
 
 def source_gtid_set(feed: DataFrame, group: Sequence[str], gtid_col: str = "source.gtid") -> DataFrame:
     """Per group, the transactions seen as a ``gtid_set`` that the low-water mark, a
-    reset and the start after a set accept. Runs of numbers become intervals: ids
-    are deduplicated first and numbered within fixed ranges of each server's
-    numbers, so that no task holds a server's whole log."""
-    seen = (feed.select(*group, gtid.id_uuid(F.col(gtid_col)).alias("_uuid"), gtid.id_number(F.col(gtid_col)).alias("_n"))
-            .filter(F.col("_n").isNotNull()).distinct())
-    part = [*group, "_uuid"]
-    chunk = Window.partitionBy(*part, "_chunk").orderBy("_n")
-    runs = (seen.withColumn("_chunk", F.floor(F.col("_n") / GTID_CHUNK))
-            .withColumn("_run", F.col("_n") - F.row_number().over(chunk))
-            .groupBy(*part, "_chunk", "_run").agg(F.min("_n").alias("_low"), F.max("_n").alias("_high")))
-    # Runs that touch at a chunk's edge are one interval.
-    whole = Window.partitionBy(*part).orderBy("_low")
-    starts = F.coalesce(F.col("_low") > F.lag("_high").over(whole) + 1, F.lit(True)).cast("int")
-    joined = (runs.withColumn("_first", starts).withColumn("_run", F.sum("_first").over(whole))
-              .groupBy(*part, "_run").agg(F.min("_low").alias("_low"), F.max("_high").alias("_high")))
-    text = F.when(F.col("_low") == F.col("_high"), F.col("_low").cast("string")).otherwise(
-        F.concat_ws("-", "_low", "_high"))
-    members = joined.groupBy(*part).agg(F.array_sort(F.collect_list(F.struct("_low", text.alias("_t")))).alias("_i"))
-    member = F.concat_ws(":", F.col("_uuid"), F.array_join(F.transform("_i", lambda x: x["_t"]), ":"))
-    return members.groupBy(*group).agg(F.array_join(F.array_sort(F.collect_list(member)), ",").alias("gtid_set"))
+    reset and the start after a set accept. Sets too large for a text stay rows:
+    ``intervals.seen_intervals``."""
+    return intervals.sets_as_text(intervals.seen_intervals(feed, group, gtid_col), group)
 
 
 def reset_offsets(offsets: DataFrame, given: str | None = None, gtid_set: str = "gtid_set") -> DataFrame:

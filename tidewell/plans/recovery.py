@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewell.operators import chunks as chunk_rules
+from tidewell.operators import intervals as sets
 from tidewell.operators.envelope import with_reject_reason
 from tidewell.operators.merge import current_state
 from tidewell.operators.routing import TAG
@@ -108,3 +109,29 @@ def observed_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     finally:
         spark.streams.removeListener(listener)
     return spark.createDataFrame([(k, n) for k, n in counts.items() if n], "outcome string, n bigint")
+
+
+@query("gtid_set_algebra", """
+WITH n AS (SELECT concat('uuid-', o_custkey % 3) AS uuid, o_orderkey AS id, o_orderkey % 7 < 4 AS a, o_orderkey % 5 < 3 AS b FROM orders),
+kinds AS (SELECT 'union' AS kind, uuid, id FROM n WHERE a OR b UNION ALL SELECT 'intersection', uuid, id FROM n WHERE a AND b
+          UNION ALL SELECT 'difference', uuid, id FROM n WHERE a AND NOT b),
+runs AS (SELECT *, id - row_number() OVER (PARTITION BY kind, uuid ORDER BY id) AS run FROM kinds)
+SELECT kind, uuid, min(id) AS low, max(id) AS high FROM runs GROUP BY kind, uuid, run""")
+def gtid_set_algebra(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sets of sparse numbers on three servers: what both, one or only the first have seen."""
+    rows = table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey AS id", "named_struct('gtid', concat('uuid-', o_custkey % 3, ':', o_orderkey)) AS source")
+    a, b = sets.seen_intervals(rows.filter("id % 7 < 4")), sets.seen_intervals(rows.filter("id % 5 < 3"))
+    kinds = {"union": sets.union, "intersection": sets.intersection, "difference": sets.difference}
+    one, two, three = (of(a, b).select(F.lit(kind).alias("kind"), "uuid", "low", "high") for kind, of in kinds.items())
+    return one.union(two).union(three)
+
+
+@query("gtid_set_lookup", """
+SELECT o_orderkey AS id, o_orderkey % 7 < 4 AND o_orderkey % 2 = 0 AS covered FROM orders""")
+def gtid_set_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A set with an interval for every few records, kept as rows and searched."""
+    rows = table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey AS id", "named_struct('gtid', concat('uuid-', o_custkey % 3, ':', o_orderkey)) AS source")
+    seen = sets.seen_intervals(rows.filter("id % 7 < 4 AND id % 2 = 0"))
+    return sets.covered(rows, seen, F.col("source.gtid")).select("id", F.col("_covered").alias("covered"))
