@@ -7,7 +7,8 @@ from pyspark.sql import types as T
 from tidewell.functions.keys import bucket_of, key_hash
 from tidewell.operators import kafka_rows as kafka
 from tidewell.operators import routing
-from tidewell.operators.changelog import expand_changelog, expand_flat_records
+from tidewell.operators.changelog import expand_changelog
+from tidewell.operators.typed import expand_flat_records, flat_rejects
 from tidewell.operators.envelope import (
     accepted, flat_record, keep_changes, parse_envelope, parse_flat_records, rejected,
     row_by_name, row_by_position, with_reject_reason, with_shard_columns, with_topic_parts)
@@ -172,3 +173,44 @@ def test_describe_and_drift(spark):
                                  "order_id string, pay_amount double, user_id string, user_name string")
     got = {r.order_id: (r.user_id, r.email, r._rejects) for r in conform(rows, new).collect()}
     assert got == {"a": (7, None, []), "b": (None, None, ["user_id"]), "c": (None, None, [])}
+
+
+def flat(op, after, before=None):
+    return json.dumps({"db": "d", "table": "t", "op": op, "before": before, "after": after})
+
+
+def test_a_bad_key_is_a_reject_and_not_a_null_row(spark):
+    spec = TableSpec(name="d.t", key=("id",), schema=T.StructType([
+        T.StructField("id", T.LongType()), T.StructField("n", T.IntegerType())]))
+    good, bad = [flat("c", {"id": 1, "n": 2}), flat("d", None, {"id": 3, "n": None})], [
+        flat("c", {"id": "x7", "n": 1}), flat("c", {"n": 1}), flat("c", {"id": 4, "n": 2 ** 40}), flat("q", {"id": 5}), "{no"]
+    frame = spark.createDataFrame([(x, i) for i, x in enumerate(good + bad)], "value string, at int")
+    rows = expand_flat_records(frame, spec, strict=False).collect()
+    assert sorted((r.id, r.n, r._kind, r.at) for r in rows) == [(1, 2, "+I", 0), (3, None, "-D", 1)]
+    lost = {r.at: (r._reject, r._raw) for r in flat_rejects(frame, spec).collect()}
+    assert {k: v[0] for k, v in lost.items()} == {2: "lost value: id", 3: "null key", 4: "lost value: n", 5: "unknown op", 6: "malformed text"}
+    assert [lost[i][1] for i in range(2, 7)] == bad
+    assert expand_flat_records(frame.filter("at < 2"), spec).count() == 2
+    for i in range(2, 7):
+        with pytest.raises(Exception, match="record rejected"):
+            expand_flat_records(frame.filter(F.col("at") == i), spec).collect()
+
+
+def test_wide_tables_compile(spark):
+    """40 columns of every kind, both images, in pieces that the JVM compiles."""
+    kinds = [T.LongType(), T.DoubleType(), T.ShortType(), T.BooleanType(), T.DateType(), T.TimestampNTZType(), T.DecimalType(20, 2), T.StringType()]
+    spec = TableSpec(name="d.t", key=("c0",), schema=T.StructType([T.StructField(f"c{i}", kinds[i % 8]) for i in range(40)]))
+    image = {f"c{i}": ["1", "2.5", "3", "1", "19000", "1700000000000", "AQI=", "x"][i % 8] for i in range(40)}
+    text = json.dumps({"topic": "s.d.t", "op": "u", "before": image, "after": image})
+    frame = spark.range(50).select(F.lit(text).alias("value"), F.col("id").alias("at"))
+    from tidewell.operators.typed import typed_envelopes
+    typed = typed_envelopes(frame, spec)
+    fallback = spark.conf.get("spark.sql.codegen.fallback", "true")
+    spark.conf.set("spark.sql.codegen.factoryMode", "CODEGEN_ONLY")  # a piece that does not compile fails the job
+    spark.conf.set("spark.sql.codegen.fallback", "false")
+    try:
+        rows = typed.select("at", "_reject", "after.*").collect()
+    finally:
+        spark.conf.set("spark.sql.codegen.fallback", fallback)
+        spark.conf.set("spark.sql.codegen.factoryMode", "FALLBACK")
+    assert len(rows) == 50 and all(r._reject is None and r.c6 is not None and r.c39 == "x" for r in rows)

@@ -94,8 +94,8 @@ def text_to_timestamp(text: Column, zone: str = "UTC") -> Column:
     # The instant passes through the session's zone and back out of it.
     instant = F.convert_timezone(F.current_timezone(), F.lit(zone),
                                  text.try_cast("timestamp").cast("timestamp_ntz"))
-    return F.when(text.rlike(r"(Z|[+-]\d\d:\d\d)$"), instant).otherwise(
-        text.try_cast("timestamp_ntz"))
+    offset = F.substring(text, -6, 1).isin("+", "-") & (F.substring(text, -3, 1) == ":")
+    return F.when(text.endswith("Z") | offset, instant).otherwise(text.try_cast("timestamp_ntz"))
 
 
 def to_time_millis(value: Column, unit: str) -> Column:

@@ -38,22 +38,3 @@ def expand_changelog(frame: DataFrame, op: str = "op", before: str = "before",
     carried = [c for c in frame.columns if c not in (before, after)]
     return frame.select(*carried, F.explode(images).alias("_image")).select(
         *carried, f"_image.{KIND}", f"_image.{SUB}", "_image._row.*")
-
-
-def expand_flat_records(frame: DataFrame, spec: TableSpec, text: str = "value",
-                        zone: str = "UTC", strict: bool = True,
-                        converters: Mapping[str, Converter] | None = None) -> DataFrame:
-    """Flat JSON records of one table to typed changelog rows, columns by name.
-    Only the op and the images are read from the text. A value that does not
-    convert is null here; ``typed.typed_records`` keeps such records as rejects."""
-    image = T.StructType([T.StructField(f.name, T.StringType()) for f in spec.schema])
-    schema = T.StructType([T.StructField("op", T.StringType()), T.StructField("before", image),
-                           T.StructField("after", image)])
-    carried = [c for c in frame.columns if c != text]
-    records = frame.select(*carried, F.from_json(F.col(text), schema).alias("_e")).select(
-        *carried, "_e.*")
-    typed = records.withColumns({
-        "before": row_by_name(F.col("before"), spec, zone, converters),
-        "after": row_by_name(F.col("after"), spec, zone, converters),
-    })
-    return expand_changelog(typed, strict=strict)

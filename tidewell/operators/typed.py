@@ -1,7 +1,7 @@
 """Change records as text to typed rows, with the reason where that fails.
 
 Both record shapes, the connector's envelope and the flat JSON record, are read
-with their images as maps of text. Every column is then converted by the type it
+with their images as text, one for each column of the table. Every column is then converted by the type it
 had at the source. A record that cannot be converted without loss is not made
 null: ``_reject`` says why, and the raw text stays beside it for repair.
 """
@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from tidewell.functions import convert as C
 from tidewell.functions.temporal import temporal_rule, write_time
+from tidewell.operators.changelog import expand_changelog
 from tidewell.operators.envelope import OPS, REJECT, shard_id, topic_db, topic_parts, topic_table
 from tidewell.spec import SHARD_COLUMN, WRITE_TIME_COLUMN, TableSpec
 
@@ -82,13 +83,13 @@ def profile_text(text: Column, source_type: str, profile: str, zone: str, snapsh
 
 
 def typed_image(values: Column, spec: TableSpec, rule: Rule, extra: Mapping[str, Column]) -> Column:
-    """Typed row of a map of text; ``extra`` gives columns that do not come from the source."""
+    """Typed row of an image's texts; ``extra`` gives columns that do not come from the source."""
     fields = [extra[f.name] if f.name in extra else rule(values[f.name], f) for f in spec.schema]
     return F.when(values.isNotNull(), F.struct(*[v.alias(f.name) for v, f in zip(fields, spec.schema)]))
 
 
 def lost_values(values: Column, row: Column, spec: TableSpec, extra: Mapping[str, Column]) -> Column:
-    """Names of the columns that had a value in the map and have none in the row."""
+    """Names of the columns that had a text and have no value in the row."""
     lost = [F.when(values[n].isNotNull() & row[n].isNull(), F.lit(n)) for n in spec.columns if n not in extra]
     none = F.array().cast("array<string>")
     return F.when(values.isNotNull(), F.array_compact(F.array(*lost)) if lost else none).otherwise(none)
@@ -104,25 +105,26 @@ def _judged(frame: DataFrame, spec: TableSpec, rule: Rule, extra: Mapping[str, C
             reasons: Sequence[tuple[Column, Column]]) -> DataFrame:
     """Images typed, and ``_reject``: the first of the reasons that holds.
 
-    The conversions stand below an ``explode`` of one element: a filter on the reason
-    would otherwise be rewritten in their terms and do them all once more.
+    The conversions stand in a projection of their own, which is compiled piece by
+    piece where it is too large for one method. A filter on the reason would be
+    rewritten in their terms and do them all once more; ``_at`` keeps it above them,
+    since Spark moves nothing through a projection that depends on the partition.
     """
     carried = [c for c in frame.columns if c not in ("before", "after")]
-    images = F.struct(*[typed_image(F.col(c), spec, rule, extra).alias(c) for c in ("before", "after")])
-    typed = frame.select(*carried, F.col("before").alias("_b"), F.col("after").alias("_a"),
-                         F.explode(F.array(images)).alias("_t")).select(*carried, "_b", "_a", "_t.before", "_t.after")
+    typed = frame.select(*carried, F.col("before").alias("_b"), F.col("after").alias("_a"), F.spark_partition_id().alias("_at"),
+                         *[typed_image(F.col(c), spec, rule, extra).alias(c) for c in ("before", "after")])
     op, old, new = F.col("op"), F.col("before"), F.col("after")
     needed = (op.isin("c", "r", "u") & new.isNull()) | (op.isin("u", "d") & old.isNull())
     bad = F.array_distinct(F.concat(lost_values(F.col("_b"), old, spec, extra), lost_values(F.col("_a"), new, spec, extra)))
     null_key = F.lit(False)
     for name in spec.key:
         null_key = null_key | (old.isNotNull() & old[name].isNull()) | (new.isNotNull() & new[name].isNull())
-    reason = F.when(F.lit(False), F.lit(""))
+    reason = F.when(F.col("_at") < 0, F.lit(""))  # never
     for holds, text in (*reasons, (needed, F.lit("no image")),
                         (F.size(bad) > 0, F.concat(F.lit("lost value: "), F.array_join(bad, ","))),
                         (null_key, F.lit("null key"))):
         reason = reason.when(holds, text)
-    return typed.withColumn(REJECT, reason).drop("_b", "_a")
+    return typed.withColumn(REJECT, reason).drop("_b", "_a", "_at")
 
 
 def _op_reasons(whole: Column) -> list[tuple[Column, Column]]:
@@ -131,7 +133,9 @@ def _op_reasons(whole: Column) -> list[tuple[Column, Column]]:
             (~op.isin(*OPS), F.lit("unknown op"))]
 
 
-_PAIRS = T.MapType(T.StringType(), T.StringType())
+def _texts(spec: TableSpec) -> T.StructType:
+    """An image as read: every column as text, by name."""
+    return T.StructType([T.StructField(name, T.StringType()) for name in spec.columns])
 
 
 def typed_envelopes(frame: DataFrame, spec: TableSpec, text: str = "value", zone: str = "UTC",
@@ -145,7 +149,7 @@ def typed_envelopes(frame: DataFrame, spec: TableSpec, text: str = "value", zone
     wins by column or type name. Split with ``accepted`` and ``rejected``.
     """
     schema = T.StructType([
-        T.StructField("topic", T.StringType()), T.StructField("before", _PAIRS), T.StructField("after", _PAIRS),
+        T.StructField("topic", T.StringType()), T.StructField("before", _texts(spec)), T.StructField("after", _texts(spec)),
         T.StructField("op", T.StringType()), T.StructField("ts_ms", T.LongType()),
         T.StructField("source", T.StructType([
             T.StructField("file", T.StringType()), T.StructField("pos", T.LongType()),
@@ -180,7 +184,7 @@ def typed_records(frame: DataFrame, spec: TableSpec, text: str = "value", zone:
     own database name, so one table may take records of many shards."""
     schema = T.StructType([
         T.StructField("db", T.StringType()), T.StructField("op", T.StringType()),
-        T.StructField("before", _PAIRS), T.StructField("after", _PAIRS)])
+        T.StructField("before", _texts(spec)), T.StructField("after", _texts(spec))])
     carried = [c for c in frame.columns if c != text]
     read = frame.select(*carried, F.col(text).alias(RAW), F.from_json(text, schema).alias("_e")).select(
         *carried, RAW, F.col("_e.db").alias("_db"), "_e.op", "_e.before", "_e.after")
@@ -202,3 +206,26 @@ def typed_records(frame: DataFrame, spec: TableSpec, text: str = "value", zone:
 def topic_tag(topic: Column) -> Column:
     """``db.table`` of a topic."""
     return F.concat_ws(".", topic_db(topic), topic_table(topic))
+
+
+def expand_flat_records(frame: DataFrame, spec: TableSpec, text: str = "value", zone: str = "UTC", strict: bool = True,
+                        converters: Mapping[str, C.Converter] | None = None) -> DataFrame:
+    """Flat JSON records of one table to typed changelog rows, columns by name.
+
+    A record that cannot be converted without loss, or whose key is null, fails the
+    job with its reason; with ``strict=False`` it is left out, and ``flat_rejects`` has it.
+    """
+    judged = typed_records(frame, spec, text, zone, converters)
+    if strict:
+        failed = F.raise_error(F.concat(F.lit("record rejected: "), F.col(REJECT), F.lit(": "), F.coalesce(RAW, F.lit(""))))
+        judged = judged.withColumn("op", F.when(F.col(REJECT).isNull(), F.col("op")).otherwise(failed.cast("string")))
+    else:
+        judged = judged.filter(F.col(REJECT).isNull())
+    return expand_changelog(judged.drop(REJECT, RAW))
+
+
+def flat_rejects(frame: DataFrame, spec: TableSpec, text: str = "value", zone: str = "UTC",
+                 converters: Mapping[str, C.Converter] | None = None) -> DataFrame:
+    """The records that ``expand_flat_records`` leaves out: the frame's other columns, ``_raw``, ``_reject``."""
+    judged = typed_records(frame, spec, text, zone, converters)
+    return judged.filter(F.col(REJECT).isNotNull()).drop("op", "before", "after")

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from tidewell.operators import chunks as chunk_rules
 from tidewell.operators import intervals as sets
+from tidewell.operators.discover import as_variant
+from tidewell.operators.discover import discovered_columns as columns_in
 from tidewell.operators.envelope import with_reject_reason
 from tidewell.operators.merge import current_state
 from tidewell.operators.routing import TAG
@@ -135,3 +137,16 @@ def gtid_set_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "o_orderkey AS id", "named_struct('gtid', concat('uuid-', o_custkey % 3, ':', o_orderkey)) AS source")
     seen = sets.seen_intervals(rows.filter("id % 7 < 4 AND id % 2 = 0"))
     return sets.covered(rows, seen, F.col("source.gtid")).select("id", F.col("_covered").alias("covered"))
+
+
+@query("discovered_columns", """
+WITH e AS (SELECT count(*) AS n, count(*) FILTER (event_id % 3 = 0) AS late, count(*) FILTER (event_id % 3 = 0 AND event_id % 2 = 0) AS nulls FROM events)
+SELECT 'user' AS "column", 'BIGINT' AS type, n, 0 AS n_null FROM e UNION ALL SELECT 'kind', 'STRING', n, 0 FROM e
+UNION ALL SELECT 'props', 'OBJECT<k: BIGINT>', n, 0 FROM e UNION ALL SELECT 'late', 'STRING', late, nulls FROM e""")
+def discovered_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Columns of images whose table is not known yet; one came with a later version of it."""
+    late = F.expr("CASE WHEN event_id % 3 > 0 THEN '' WHEN event_id % 2 = 0 THEN ',\"late\":null' ELSE ',\"late\":\"yes\"' END")
+    image = F.concat(F.lit('{"user":'), F.col("user_id").cast("string"), F.lit(',"kind":"'), F.col("event_type"),
+                     F.lit('","props":'), F.col("props"), late, F.lit("}"))
+    images = table(spark, sf_dir, "events").select(as_variant(image).alias("image"))
+    return columns_in(images, "image")

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from tidewell.functions.temporal import write_time
 from tidewell.operators import routing
-from tidewell.operators.changelog import expand_flat_records
+from tidewell.operators.typed import expand_flat_records
 from tidewell.operators.envelope import (
     REJECT, flat_record, keep_changes, row_by_name, row_by_position, shard_id, topic_parts,
     with_reject_reason, with_topic_parts)
