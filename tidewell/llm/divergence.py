@@ -13,9 +13,9 @@ distance of a and b is ``V |za - zb|``, plus ``|p - zb| - |za - zb|`` for each n
 ``|pa - pb| - |pa - zb| - |za - pb| + |za - zb|``. Only the last depends on pairs; it
 is worked out once for each node and ancestor, times the rows through the node.
 
-Equal rows are counted before the tree is built. The tree is cut into ranges of its
-rows in order, one a task; a node that straddles a cut is counted in two parts, which
-add up. Sources come in ascending order of size, since low counts repeat most. A
+Equal rows are counted before the tree is built. The tree is cut into ranges of rows
+that begin alike, one a task; a node that straddles a cut is counted in two parts,
+which add up. Sources come in ascending order of size, since low counts repeat most. A
 source's rows, however many, are counted in the task that reads them, and only
 numbers by term move. Lists of sources are broadcast up to ``MOST_GROUPS`` of them,
 and joined by shuffles beyond; the result itself has a row per pair of them.
@@ -42,7 +42,8 @@ from tidewell.llm.texts import Slice, slices
 
 LEAST_DOCS, TOP, SMOOTHING, SCALE = 30, 50, 5, 1_000_000_000
 MOST_GROUPS = 100_000
-HELD = 1_000_000  # counts of a task that wait to be added up
+HELD = 400_000  # counts of a task that wait to be added up
+RANGE_ROWS, SHARED = 20_000, 8  # rows of a range of the tree, and items by which ranges are cut
 #: Bytes of ``[^\x00-\x40\x5B-\x60\x7B-\x7F]``, after lower-casing.
 TERM = np.zeros(256, dtype=bool)
 TERM[97:123] = TERM[128:] = True
@@ -193,7 +194,11 @@ def distances(spark: SparkSession, measured: DataFrame, found: DataFrame) -> Dat
     rows = measured.groupBy("lang", "term").agg(
         F.sort_array(F.collect_list(F.struct("s", "n", "p", "z"))).cast(PATH).alias("path"))
     rows = stored(spark, rows.groupBy("lang", "path").agg(F.count("*").alias("times")), "divergence-rows")
-    shared = rows.repartitionByRange("lang", "path").sortWithinPartitions("lang", "path").mapInArrow(
+    # A short text for the cuts, since Spark samples them on the driver; equal ones are spread.
+    start = F.array_join(F.transform(F.slice("path", 1, SHARED), lambda x: F.concat(
+        x["s"].cast("string"), F.lit(":"), x["n"].cast("string"))), ",")
+    shared = rows.repartitionByRange(rows.count() // RANGE_ROWS + 1, "lang", start, F.hash("path")).sortWithinPartitions(
+        "lang", "path").mapInArrow(
         _tree_corrections, "lang string, a long, b long, value long")
     other = found.select("lang", F.col("s").alias("s2"), F.col("z").alias("z2"))
     apart = F.abs(F.col("z") - F.col("z2"))
