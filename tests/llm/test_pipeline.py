@@ -30,7 +30,9 @@ def test_stages_in_turn(spark, tmp_path):
     clean = {x[0] for x in hits([(r.doc_id, r.text) for r in rows[2]], items) if not x[5]}
     assert {r.doc_id for r in rows[3]} == clean and len(rows[3]) < len(rows[2])
     source = [(r.doc_id, r.text, r.lang, r.source) for r in rows[3]]
-    want, _ = mix_of(source, mixing.Mix(), domain)
+    # A row's place comes from its id, its text and its other column, the length.
+    lengths = {r.n_chars: r.h for r in seen[3].selectExpr("n_chars", "hex(xxhash64(n_chars)) AS h").distinct().collect()}
+    want, _ = mix_of(source, mixing.Mix(), domain, lambda i: f":{lengths[rows[3][i].n_chars]}")
     counted = sorted(source[i][0] for i, c in want.items() for _ in range(c))
     assert sorted(r.doc_id for r in rows[4]) == counted
     slots = S.lookup_table()
