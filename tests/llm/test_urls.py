@@ -53,6 +53,15 @@ def test_rarest_token_files_the_rule():
     assert not U.Index([U.pattern_rule("*x*")], {}).filed
 
 
+def test_open_tokens_are_filed_by_their_pieces():
+    index = U.Index(U.default_rules(), {})
+    assert not index.rest
+    assert [r.expression for r, _ in U.Index([U.pattern_rule("*xy*"), U.pattern_rule("/a/")], {}).rest] == ["(?s).*.*xy.*"]
+    for url in ["http://mycasino/", "http://a.b/freexx-downloads-crack", "http://a/free-downloadable-xcrack", "http://qmalware.x",
+                "http://axxx", "http://axxxb/", "http://vxspam-farm.", "http://a/%free-download", "http://éviagra?x"]:
+        assert index.judge(url) == every_rule(url, U.HOST_RULES), url
+
+
 def test_counts_cover_all_rows(spark):
     pages = spark.createDataFrame([("http://net/net",), ("http://a.net/",), (None,), ("x",)] * 10, "url string")
     assert U.token_counts(pages, [U.host_rule("block", "net")]) == {"net": 20}

@@ -88,3 +88,27 @@ def test_no_pages(spark):
     files = X.write_archives(pages, root, F.lit(0))
     assert files.count() == 0
     assert X.capture_histories(X.read_runs(files, root)).count() == 0
+
+
+def test_ranges_follow_the_records(spark):
+    files = spark.range(100).selectExpr("10000L AS records")
+    assert X.ranges_for(files) == 2 and X.ranges_for(files.union(files).union(files)) == 6
+    assert X.ranges_for(files, 1000) == 1000 and X.ranges_for(files.limit(0)) == 1
+
+
+def test_many_copies_are_spread_over_tasks(spark):
+    pages = spark.range(5000).selectExpr("id AS page_id", "'http://a' AS url", "repeat('x', 1000) AS html")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        root = scratch_dir(spark, "warc-test")
+        files = X.write_archives(pages, root, F.lit(5))
+        assert max(r.records for r in files.collect()) < 5000 / 8 * 2
+        got = X.capture_histories(X.read_runs(files, root), 3).collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    assert {(r.page_id, r.record_type, r.refers_to) for r in got} == {
+        *((i, "revisit", 4999) for i in range(4999)), (4999, "response", None)}

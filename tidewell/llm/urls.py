@@ -4,14 +4,16 @@ A rule is a host (with its subdomains) and a path prefix, or a pattern with
 wildcards; either way it becomes one regular expression with literal tokens that
 every matching URL must contain. Each rule is filed under the token that the
 fewest URLs of the table hold, counted over all of them. A URL's own tokens then
-fetch the candidate rules, and only those run their expression.
+fetch the candidate rules, and only those run their expression. A token that a
+wildcard touches may be part of a longer one in the URL, so each ``GRAM`` characters
+of it stand for it, and a URL looks up those of its tokens too.
 
 Of the fitting host rules the longest wins (an equal length goes to ``allow``).
 URLs without one are blocked if a pattern fits, else allowed.
 
 Defined results: a null URL, or one without ``://``, has an empty host and path
-and fits no host rule; a null URL is allowed. Rules without any literal token are
-tried on every URL. Repeated rows are judged one by one.
+and fits no host rule; a null URL is allowed. Rules without a whole token or
+``GRAM`` literal characters in a row are tried on every URL. Repeated rows are judged one by one.
 """
 
 from __future__ import annotations
@@ -40,12 +42,14 @@ PATTERNS = (
     "://*spam-farm.", "://*casino^", "://*viagra^", "://*.porn^", "://*xxx^",
     "/wp-login.php", "/adclick^", "/phishing/", "*free-download*crack^", "://*malware.",
 )
+#: Length of the pieces that stand for an open token; their keys begin with ``*``.
+GRAM = 3
 _TOKEN = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
 
 @dataclass(frozen=True)
 class Rule:
-    """``name`` is null for patterns; ``tokens`` stand in every URL that fits."""
+    """``name`` is null for patterns; ``tokens`` (or pieces of them) stand in every URL that fits."""
 
     verdict: str
     name: str | None
@@ -66,12 +70,17 @@ def host_rule(verdict: str, host: str, path: str = "/") -> Rule:
 
 
 def pattern_rule(pattern: str) -> Rule:
-    """A pattern to block. Only tokens with an end on both sides are literal."""
+    """A pattern to block. A token with an end on both sides is literal as a whole, one that
+    touches ``*`` or an end of the pattern by its pieces."""
     parts = {"*": ".*", "^": r"(?:[^A-Za-z0-9_.%\x80-\U0010FFFF-]|\Z)"}
     expression = "(?s).*" + "".join(parts.get(c, re.escape(c)) for c in pattern)
-    whole = [m[0] for m in _TOKEN.finditer(pattern)
-             if m.start() and pattern[m.start() - 1] != "*" and m.end() < len(pattern) and pattern[m.end()] != "*"]
-    return Rule("block", None, expression, tuple(whole))
+    keys = []
+    for m in _TOKEN.finditer(pattern):
+        if m.start() and pattern[m.start() - 1] != "*" and m.end() < len(pattern) and pattern[m.end()] != "*":
+            keys.append(m[0])
+        else:
+            keys += sorted(grams(m[0]))
+    return Rule("block", None, expression, tuple(keys))
 
 
 def default_rules() -> list[Rule]:
@@ -96,18 +105,28 @@ def tokens(url: str) -> set[str]:
     return set(_TOKEN.findall(_lowered(url)))
 
 
+def grams(token: str) -> set[str]:
+    return {f"*{token[i:i + GRAM]}" for i in range(len(token) - GRAM + 1)}
+
+
+def keys(url: str, open_tokens: bool) -> set[str]:
+    """What rules a URL may fit are filed under."""
+    found = tokens(url)
+    return found.union(*map(grams, found)) if open_tokens else found
+
+
 def token_counts(urls: DataFrame, rules: Sequence[Rule], url: str = "url") -> dict[str, int]:
     """Number of URLs that hold each literal token of the rules, over all rows.
     Every task adds up its own rows; the result is as long as the token list."""
     wanted = sorted({t for r in rules for t in r.tokens})
+    open_tokens = any(t[0] == "*" for t in wanted)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = dict.fromkeys(wanted, 0)
         for batch in batches:
             for text in batch.column(0).to_pylist():
-                for token in tokens(text or ""):
-                    if token in total:
-                        total[token] += 1
+                for token in keys(text or "", open_tokens) & total.keys():
+                    total[token] += 1
         yield pa.RecordBatch.from_pydict({"token": list(total), "n": list(total.values())},
                                          pa.schema([("token", pa.string()), ("n", pa.int64())]))
 
@@ -128,13 +147,15 @@ class Index:
                 self.rest.append(compiled)
             else:
                 self.filed.setdefault(rarest, []).append(compiled)
+        self.open_tokens = any(t[0] == "*" for t in self.filed)
 
     def judge(self, url: str | None) -> tuple[str | None, str]:
         """The winning host rule, if any, and the verdict."""
         if url is None:
             return None, "allow"
         lowered, best, verdict = _lowered(url), None, "allow"
-        candidates = [c for t in tokens(url) for c in self.filed.get(t, ())] + self.rest
+        held = keys(url, self.open_tokens) & self.filed.keys()
+        candidates = [c for t in held for c in self.filed[t]] + self.rest
         for rule, expression in candidates:
             if rule.name is None:
                 if best is None and verdict == "allow" and expression.match(lowered):

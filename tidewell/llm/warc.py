@@ -12,7 +12,8 @@ sorted locally by URL key and time. The runs are then merged: the keys are cut
 into ranges (by URL key, time and id, so that a URL with very many captures is
 cut too), each range meets the part of every run that falls into it, and a loser
 tree merges these parts. The ranges in order hold the capture history of every
-URL, in order.
+URL, in order. Their number follows the number of records (``RANGE_RECORDS`` to a
+range, as Spark's sample of the keys cuts them), so a range stays as large as it is.
 
 Defined results: a null payload is empty, a null URL has an empty key. Rows with
 a null id are captures like others but never stand for equal ones. Of equal
@@ -33,7 +34,7 @@ from typing import Any
 
 import pyarrow as pa
 from pyarrow import fs
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidewell.llm.components import stored
@@ -42,6 +43,8 @@ from tidewell.session import scratch_dir
 
 REVISIT_BYTES = 1000
 FILE_BYTES = 64 << 20
+RANGE_RECORDS = 500_000
+SALTS = 1024
 HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 CAPTURE = ("url_key string, captured long, page_id long, record_type string, refers_to long, "
@@ -187,12 +190,17 @@ def write_archives(pages: DataFrame, root: str, captured: Column, page_id: str =
     body = F.coalesce(F.col(f"`{payload}`").cast("string"), F.lit(""))
     rows = pages.select(F.col(f"`{page_id}`").cast("long").alias("page_id"), F.col(f"`{url}`").cast("string").alias("url"),
                         captured.cast("long").alias("captured"), body.alias("html"), F.sha1(body).alias("digest"))
-    # Only digests that occur twice are looked up; sums leave the tasks, not rows.
-    leads = (rows.filter(F.octet_length("html") >= REVISIT_BYTES).groupBy("digest")
-             .agg(F.max("page_id").alias("lead"), F.count("*").alias("n")).filter("n > 1")
-             .select(F.col("digest").alias("of"), "lead"))
+    # Copies of a page are spread by a salt. A digest has a row for each salt that occurs with
+    # it, so there are never more such rows than pages, and none for a digest that occurs once.
+    rows = rows.withColumn("salt", F.pmod(F.xxhash64("page_id", "url"), F.lit(SALTS)))
+    of_digest = Window.partitionBy("of")
+    leads = (rows.filter(F.octet_length("html") >= REVISIT_BYTES)
+             .groupBy(F.col("digest").alias("of"), F.col("salt").alias("part"))
+             .agg(F.max("page_id").alias("most"), F.count("*").alias("n"))
+             .select("of", "part", F.max("most").over(of_digest).alias("lead"), F.sum("n").over(of_digest).alias("all"))
+             .filter("all > 1").drop("all"))
     revisit = F.col("lead").isNotNull() & ~F.col("lead").eqNullSafe(F.col("page_id"))
-    marked = rows.join(leads, F.col("digest") == F.col("of"), "left").select(
+    marked = rows.join(leads, (F.col("digest") == F.col("of")) & (F.col("salt") == F.col("part")), "left").select(
         "page_id", "url", "captured", "html", "digest", F.when(revisit, F.col("lead")).alias("refers_to"),
         revisit.alias("revisit"))
     files = marked.mapInArrow(_writer(root, file_bytes), "file string, records long, bytes long")
@@ -276,6 +284,11 @@ def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from held.select(_ARROW.names).take(order).combine_chunks().to_batches(max_chunksize=10_000)
 
 
+def ranges_for(files: DataFrame, range_records: int = RANGE_RECORDS) -> int:
+    """How many ranges the records of the listed archives are cut into."""
+    return max(1, -(-(files.agg(F.sum("records")).first()[0] or 0) // range_records))
+
+
 def capture_histories(runs: DataFrame, partitions: int | None = None) -> DataFrame:
     """All captures in one order over the partitions: URL key, time, id. A partition
     holds one range of keys; ``partitions`` bounds its size (Spark's setting if unset)."""
@@ -317,5 +330,5 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     captured = F.lit(1_704_067_200) + F.pmod(F.coalesce("page_id", F.lit(0)), F.lit(1_000_000_000))
     files = write_archives(pages, root, captured)
     runs = stored(spark, read_runs(files, root), "warc-runs")
-    return capture_histories(runs).select(
+    return capture_histories(runs, ranges_for(files)).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "captured")
