@@ -5,12 +5,13 @@ that share ``window`` consecutive words share a whole such window of k-grams, so
 they share its fingerprint: no shared span of that length is missed. A hit is
 then extended word by word, on the words themselves, to the longest common run.
 
-The benchmark is the stated query set. It is taken in blocks of bounded size
-(``block_bytes`` of its text), read one after the other. Each block's
-fingerprints go to the tasks, which join them with those of their documents; the
-blocks follow one another within the same stage. So no document moves, a hot
-passage costs its own length and no more, and a larger benchmark means more
-blocks, never a larger one. What the driver sends grows with the benchmark alone.
+A benchmark of at most ``block_bytes`` of text, by a sum over all of it, goes to the
+tasks as one index, and no document moves. A larger one is joined: fingerprints of
+items and of documents meet by a shuffle, which names the documents that may hold
+something; their texts then give each hit with the words around it (a window's reach
+to either side), and those meet the items' in a second join and are compared there.
+The longest runs are put together from the pieces. Frequent fingerprints are salted:
+the items' side has a row for each salt that occurs, the documents' side is spread.
 
 Defined results: a null or empty text has no words, no hits, and is clean. An
 item without words matches nothing. An item shorter than the window must occur
@@ -25,14 +26,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from tidewell.llm.components import stored
 from tidewell.llm.registry import query, table
-from tidewell.llm.texts import LETTERS, Slice, gram_hashes, map_texts, run_hashes
+from tidewell.llm.texts import LETTERS, Slice, gram_hashes, map_texts, run_hashes, slices
 
 WINDOW, GRAM = 13, 5
 BLOCK_BYTES = 8 << 20
+ROW_BYTES = 64  # what a row counts beside its text
+SALTS = 16
 RESULTS = "n_words long, spans array<struct<item_id: string, start: long, `end`: long>>"
 
 
@@ -149,48 +154,184 @@ def _matcher(index: Index):
     return handle
 
 
-def blocks(items: DataFrame, item_id: str = "item_id", text: str = "text",
-           block_bytes: int = BLOCK_BYTES) -> Iterator[list[tuple[str | None, str | None]]]:
-    """The items in blocks of about ``block_bytes`` of text. They are streamed to
-    the driver partition by partition."""
-    rows = items.select(F.col(f"`{item_id}`").cast("string"), F.col(f"`{text}`").cast("string"))
-    block, held = [], 0
-    for name, body in rows.toLocalIterator():
-        size = len(body or "")
-        if block and held + size > block_bytes:
-            yield block
-            block, held = [], 0
-        block.append((name, body))
-        held += size
-    if block:
-        yield block
-
-
 def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, gram: int = GRAM,
                   keep: list[str] | None = None, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Rows of ``docs`` as ``doc``, with ``n_words`` and ``spans``: each longest run of
     words in common with an item, of ``window`` words or the whole shorter item.
     ``start`` and ``end`` count words, the end exclusive."""
-    ahead = blocks(items, block_bytes=block_bytes)
-    block, more = next(ahead, []), next(ahead, None)
+    named = items.select(F.col("`item_id`").cast("string").alias("item_id"), F.col("`text`").cast("string").alias("text"))
+    size = named.agg(F.sum(F.octet_length("text") + F.coalesce(F.octet_length("item_id"), F.lit(0)) + ROW_BYTES)).first()[0] or 0
     wanted = docs.columns if keep is None else keep
-    index = Index(block, window, gram)
-    frame = map_texts(docs, RESULTS, lambda: _matcher(index),
-                      keep=wanted if more is None else list(dict.fromkeys([*wanted, "text"])))
-    while more is not None:
-        block, more = more, next(ahead, None)
-        frame = _next_block(frame, Index(block, window, gram))
-    if frame.schema["doc"].dataType.names != wanted:
-        frame = frame.withColumn("doc", F.struct(*[F.col("doc")[c].alias(c) for c in wanted]))
-    return frame
-
-
-def _next_block(frame: DataFrame, index: Index) -> DataFrame:
-    """The same rows against another block, in the same stage."""
-    again = frame.select("doc", "spans", F.col("doc")["text"].alias("text"))
-    found = map_texts(again, RESULTS, lambda: _matcher(index), keep=["doc", "spans"])
-    return found.select(F.col("doc")["doc"].alias("doc"), "n_words",
-                        F.concat(F.col("doc")["spans"], "spans").alias("spans"))
+    filled = named.filter(F.octet_length("text") > 0)
+    if size > block_bytes:
+        return _joined(docs, filled, window, gram, wanted)
+    index = Index([tuple(r) for r in filled.collect()], window, gram)
+    return map_texts(docs, RESULTS, lambda: _matcher(index), keep=wanted)
+
+
+# -- a benchmark too large for one index -------------------------------------
+
+
+HIT = "span: int, fp: long, at: long, off: int, words: string"
+_PRINT = pa.schema([("span", pa.int32()), ("fp", pa.int64()), ("at", pa.int64()), ("off", pa.int32()), ("words", pa.string())])
+PRINTS = "span int, fp long, at long, off int, words string"
+
+
+def _around(words: list[bytes], at: int, span: int, k: int) -> tuple[int, str]:
+    """The words a window over the gram at ``at`` can reach, and where the gram stands in them."""
+    low = max(0, at - (span - k))
+    return at - low, b" ".join(words[low:at + span]).decode()
+
+
+def _prints_of(words: list[bytes], hashes: np.ndarray, span: int, k: int, wanted: np.ndarray | None = None) -> Iterator[tuple]:
+    """Rows of ``PRINTS``: each place of a gram that is some window's least (and wanted)."""
+    values = gram_hashes(hashes, k)
+    least = np.unique(selected(values, span - k + 1))
+    if wanted is not None:
+        least = np.intersect1d(least, wanted)
+    for at in np.flatnonzero(np.isin(values, least)).tolist():
+        yield (span, int(values[at:at + 1].view(np.int64)[0]), at, *_around(words, at, span, k))
+
+
+def _item_prints(window: int, gram: int):
+    schema = pa.schema([("item_id", pa.string()), ("row", pa.string()), *_PRINT])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for name, row, text in zip(*(c.to_pylist() for c in batch.columns)):
+                words, hashes = _split(text)
+                if words:
+                    span = min(window, len(words))
+                    found = [(name, row, *p) for p in _prints_of(words, hashes, span, min(gram, span))]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(c, schema.field(n).type) for n, c in zip(names, zip(*found))], schema=schema)
+
+    return run
+
+
+def _doc_prints(shapes: list[tuple[int, int]]):
+    """Distinct fingerprints of each text, for each shape."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first, part in slices(batch.column(2)):
+                low = part.lowered()
+                starts, ends, bounds = low.runs(LETTERS)
+                words = run_hashes(low.data, starts, ends)
+                text = np.repeat(np.arange(len(part)), np.diff(bounds))
+                for span, k in shapes:
+                    least = selected(gram_hashes(words, k), span - k + 1)
+                    owner = text[:len(least)]
+                    inside = owner == text[span - 1:]
+                    owner, least = owner[inside], least[inside]
+                    order = np.lexsort((least, owner))
+                    owner, least = owner[order], least[order]
+                    new = np.ones(len(least), dtype=bool)
+                    new[1:] = (owner[1:] != owner[:-1]) | (least[1:] != least[:-1])
+                    at = pa.array(owner[new] + first)
+                    yield pa.RecordBatch.from_arrays(
+                        [batch.column(0).take(at), batch.column(1).take(at), pa.array(np.full(len(at), span, np.int32)),
+                         pa.array(least[new].view(np.int64))], names=["k1", "k2", "span", "fp"])
+
+    return run
+
+
+def _doc_hits(shapes: dict[int, int]):
+    """Number of words of each text, and the places of its fingerprints that an item has."""
+    kind = pa.list_(pa.struct(list(_PRINT)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            doc, k1, k2, texts, known = batch.columns
+            for first, part in slices(texts):
+                counts = np.diff(part.lowered().runs(LETTERS)[2]).astype(np.int64)
+                hits = []
+                for row in range(first, first + len(part)):
+                    hits.append([])
+                    wanted: dict[int, list[int]] = defaultdict(list)
+                    for entry in known[row].as_py() or ():
+                        wanted[entry["span"]].append(entry["fp"])
+                    words, hashes = _split(texts[row].as_py()) if wanted else ([], None)
+                    for span, values in wanted.items():
+                        values = np.array(values, dtype=np.int64).view(np.uint64)
+                        hits[-1] += [dict(zip(_PRINT.names, p))
+                                     for p in _prints_of(words, hashes, span, shapes[span], values)]
+                size = len(part)
+                yield pa.RecordBatch.from_arrays(
+                    [doc.slice(first, size), k1.slice(first, size), k2.slice(first, size), pa.array(counts),
+                     pa.array(hits, kind)], names=["doc", "k1", "k2", "n_words", "hits"])
+
+    return run
+
+
+def _pieces(shapes: dict[int, int]):
+    """Hits of a document beside those of an item: the common run around each pair."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for k1, k2, item_id, row, span, at, off, words, place, item_off, item_words in zip(
+                    *(c.to_pylist() for c in batch.columns)):
+                own, other, k = words.split(" "), item_words.split(" "), shapes[span]
+                if own[off:off + k] != other[item_off:item_off + k]:
+                    continue
+                a = 0
+                while a < min(off, item_off) and own[off - a - 1] == other[item_off - a - 1]:
+                    a += 1
+                z = k
+                while z < min(len(own) - off, len(other) - item_off) and own[off + z] == other[item_off + z]:
+                    z += 1
+                if a + z >= span:
+                    out.append((k1, k2, item_id, row, at - place, at - a, at + z))
+            types = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int64()]
+            columns = zip(*out) if out else [[]] * len(types)
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)],
+                                             names=["k1", "k2", "item_id", "row", "shift", "a", "z"])
+
+    return run
+
+
+def _joined(docs: DataFrame, items: DataFrame, window: int, gram: int, wanted: list[str]) -> DataFrame:
+    """``contamination`` by joins. Documents are known by two hashes of all their columns:
+    equal rows have equal results."""
+    spark = docs.sparkSession
+    row = F.sha2(F.concat_ws(":", F.coalesce(F.length("item_id"), F.lit(-1)), "item_id", "text"), 256)
+    entries = stored(spark, items.select("item_id", row.alias("row"), "text").distinct()
+                     .mapInArrow(_item_prints(window, gram), f"item_id string, row string, {PRINTS}"), "benchmark-prints")
+    # At most ``window`` of them.
+    shapes = {r.span: min(gram, r.span) for r in entries.select("span").distinct().collect()}
+
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in wanted]).alias("doc"),
+                        F.xxhash64(*columns).alias("k1"), F.xxhash64(F.lit("second"), *columns).alias("k2"),
+                        F.col("`text`").cast("string").alias("text"))
+    salt = F.pmod("k1", F.lit(SALTS)).alias("salt")
+    salts = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).alias("salt")
+    seen = keyed.select("k1", "k2", "text").mapInArrow(_doc_prints(list(shapes.items())), "k1 long, k2 long, span int, fp long")
+    hits = stored(spark, seen.select("*", salt).join(
+        entries.select("span", "fp").distinct().select("*", salts), ["span", "fp", "salt"], "left_semi"), "benchmark-hits")
+    own = hits.groupBy("k1", "k2").agg(F.collect_set(F.struct("span", "fp")).alias("known"))
+    fields = T.StructType([T.StructField("doc", keyed.schema["doc"].dataType, False)])
+    for field in T.StructType.fromDDL(f"k1 long, k2 long, n_words long, hits array<struct<{HIT}>>"):
+        fields.add(field)
+    placed = stored(spark, keyed.join(own, ["k1", "k2"], "left").select("doc", "k1", "k2", "text", "known")
+                    .mapInArrow(_doc_hits(shapes), fields), "benchmark-docs")
+
+    there = entries.join(hits.select("span", "fp", "salt").distinct(), ["span", "fp"]).select(
+        "span", "fp", "salt", "item_id", "row", F.col("at").alias("place"), F.col("off").alias("item_off"),
+        F.col("words").alias("item_words"))
+    pairs = (placed.select("k1", "k2", F.explode("hits").alias("hit")).distinct().select("k1", "k2", salt, "hit.*")
+             .join(there, ["span", "fp", "salt"])
+             .select("k1", "k2", "item_id", "row", "span", "at", "off", "words", "place", "item_off", "item_words"))
+    pieces = pairs.mapInArrow(_pieces(shapes), "k1 long, k2 long, item_id string, row string, shift long, a long, z long")
+    # Pieces of one run overlap, so a run starts where no earlier piece reaches.
+    line = Window.partitionBy("k1", "k2", "row", "shift").orderBy("a", "z")
+    before = F.max("z").over(line.rowsBetween(Window.unboundedPreceding, -1))
+    runs = (pieces.select("*", (F.coalesce(before, F.lit(-1)) < F.col("a")).cast("int").alias("new"))
+            .select("*", F.sum("new").over(line.rowsBetween(Window.unboundedPreceding, 0)).alias("run"))
+            .groupBy("k1", "k2", "row", "shift", "run")
+            .agg(F.first("item_id").alias("item_id"), F.min("a").alias("start"), F.max("z").alias("end")))
+    spans = runs.groupBy("k1", "k2").agg(F.collect_list(F.struct("item_id", "start", "end")).alias("spans"))
+    none = F.array().cast("array<struct<item_id: string, start: long, `end`: long>>")
+    return placed.join(spans, ["k1", "k2"], "left").select("doc", "n_words", F.coalesce("spans", none).alias("spans"))
 
 
 def n_hit(spans: Column) -> Column:
