@@ -228,3 +228,20 @@ def test_fan_out_reads_and_converts_each_record_once(spark, bad):
     assert kept == {f"t{i}": [x for x in range(i, 700, 7) if not bad or x % 10] for i in range(7)}
     if bad:
         assert spark.read.parquet(f"{root}/rejects").count() == 70
+
+
+def test_state_and_its_changes(spark):
+    from tidewell.streaming.inspect import state_changes, state_operators, state_rows
+    from tidewell.streaming.repeated import start_repeated_keys
+    root = scratch_dir(spark, "state-test")
+    for keys in (["a", "a", "b"], ["b", "c"], ["a"]):
+        spark.createDataFrame([(k,) for k in keys], "k string").write.mode("append").parquet(f"{root}/feed")
+        start_repeated_keys(spark.readStream.schema("k string").parquet(f"{root}/feed"), "k", root, interval=None)
+    point = f"{root}/checkpoint-count"
+    assert [r.operatorName for r in state_operators(spark, point).collect()] == ["stateStoreSave"]
+    pick = lambda frame: sorted(tuple(r) for r in frame.collect())
+    assert pick(state_rows(spark, point).select("key.key", "value.count")) == [("a", 3), ("b", 2), ("c", 1)]
+    assert pick(state_rows(spark, point, batch_id=0).select("key.key", "value.count")) == [("a", 2), ("b", 1)]
+    changes = state_changes(spark, point).select("batch_id", "key.key", "value.count")
+    assert pick(changes) == [(0, "a", 2), (0, "b", 1), (1, "b", 2), (1, "c", 1), (2, "a", 3)]
+    assert pick(state_changes(spark, point, first=2).select("key.key")) == [("a",)]

@@ -192,3 +192,52 @@ def test_temporal_rules(spark):
     assert temporal.temporal_rule("varchar(3)", "lake", SHANGHAI) is None
     with pytest.raises(ValueError):
         temporal.temporal_rule("date", "other", SHANGHAI)
+
+
+def test_sql_functions_are_the_converters(spark):
+    from pyspark.sql import functions as F
+    from tidewell.functions.sql import register_converters
+    register_converters(spark)
+    numbers = [0, 1, -1, 999, -999, 86_400_000_000, -90_061_000_001, 360_000_000_000 + 5, 127, 128, -129, 2 ** 31, -2 ** 63 + 5000]
+    rows = spark.createDataFrame([(n,) for n in numbers] + [(None,)], "n bigint")
+    c, n = F.col, F.col("n")
+    pairs = {
+        "cdc_duration_plain(n)": temporal.duration_plain(n), "cdc_to_byte(n)": convert.to_byte(n.cast("string")),
+        "cdc_to_short(n)": convert.to_short(n), "cdc_to_int(n)": convert.to_int(n),
+        "cdc_narrow_to_int(n)": convert.narrow_to_int(n),
+        "cdc_time_millis(n % 86400000000, 'nanos')": convert.to_time_millis(n % 86400000000, "nanos"),
+        "cdc_integer_of_bytes(unhex(lpad(hex(n), 16, '0')))":
+            convert.to_decimal(F.base64(F.unhex(F.lpad(F.hex(n), 16, "0"))), 20, 0, "bytes"),
+        **{f"cdc_to_timestamp(n % 100000000000000, '{u}')": convert.to_timestamp(n % 100000000000000, u)
+           for u in ("millis", "micros", "nanos")}}
+    for text, column in pairs.items():
+        got = rows.select(F.expr(text).cast("string").alias("a"), column.cast("string").alias("b"), "n")
+        assert got.filter("NOT (a <=> b)").collect() == [], text
+    texts = spark.createDataFrame([(t,) for t in ("true", " TRUE ", "1", "0", "x", "", None, "1.5", "2024-01-02T03:04:05.6Z",
+                                                  "2024-01-02T03:04Z", "2024-01-02 03:04:05")], "t string")
+    for text, column in {"cdc_to_boolean(t)": convert.to_boolean(c("t")), "cdc_to_double(t)": convert.to_double(c("t")),
+                         "cdc_to_long(t)": convert.to_long(c("t")), "cdc_date_plain(cdc_local_timestamp(t, 'Asia/Tokyo'))":
+                             temporal.date_plain(convert.to_local_timestamp(c("t"), "Asia/Tokyo")),
+                         "cdc_local_timestamp(t, 'Asia/Tokyo')": convert.to_local_timestamp(c("t"), "Asia/Tokyo")}.items():
+        got = texts.select(F.expr(text).cast("string").alias("a"), column.cast("string").alias("b"), "t")
+        assert got.filter("NOT (a <=> b)").collect() == [], text
+
+
+def test_sql_functions_are_put_in_place(spark):
+    from tidewell.plans.values import sql_converters
+    text = sql_converters(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "cdc_" not in text and "Python" not in text and "Exchange" not in text
+
+
+def test_a_table_function_of_the_user(spark):
+    from tidewell.functions.sql import register_table_function
+
+    class Words:
+        def eval(self, line: str):
+            for at, word in enumerate((line or "").split()):
+                yield at, word
+
+    register_table_function(spark, "words_of", Words, "at int, word string")
+    lines = spark.createDataFrame([(1, "to be or"), (2, ""), (3, None)], "id int, line string")
+    got = spark.sql("SELECT id, at, word FROM {l} AS l, LATERAL words_of(l.line)", l=lines).collect()
+    assert sorted(tuple(r) for r in got) == [(1, 0, "to"), (1, 1, "be"), (1, 2, "or")]

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewell.functions import convert, temporal
+from tidewell.functions.sql import register_converters
 from tidewell.functions.types import mysql_type_column
 from tidewell.operators.envelope import row_by_name
 from tidewell.plans.registry import query, table
@@ -244,3 +245,43 @@ def temporal_zulu(spark: SparkSession, sf_dir: str) -> DataFrame:
         temporal.duration_zulu(F.col("micros") % 86400000000).alias("clock"),
         temporal.datetime_zulu(ts, ZONE).alias("moment"),
         temporal.timestamp_zulu(ts, F.col("event_id") % 2 == 0, ZONE).alias("instant"))
+
+
+@query("sql_converters", f"""
+WITH e AS (SELECT *, event_id * 3 - 300 AS n, event_id * 100000300007 AS big FROM events)
+SELECT event_id, event_id % 7 IN (0, 1, 2) AS flag, TRY_CAST(n AS TINYINT) AS as_byte, TRY_CAST(n * 10 AS SMALLINT) AS as_short,
+       TRY_CAST(big AS INTEGER) AS as_int, big AS as_long,
+       CAST((big + 2147483648) % 4294967296 - 2147483648 AS INTEGER) AS narrowed,
+       CASE WHEN event_id % 4 = 0 THEN NULL ELSE value END AS lenient,
+       CAST(DATE '1970-01-01' - CAST(event_id % 40000 AS INTEGER) AS VARCHAR) AS before_epoch,
+       CAST({CLOCK} // 1000 AS INTEGER) AS clock_millis, CAST(ts AS VARCHAR) AS from_nanos,
+       CAST(date_trunc('millisecond', ts) + INTERVAL 8 HOUR AS VARCHAR) AS local_time,
+       CASE WHEN event_id % 6 > 0 THEN CAST(ts + INTERVAL 8 HOUR AS VARCHAR) END AS from_instant,
+       CAST(CAST(n AS HUGEINT) AS VARCHAR) AS from_bytes,
+       concat(CAST(CAST(ts AS DATE) AS VARCHAR), 'Z') AS day, concat(substr(CAST(ts AS VARCHAR), 12), 'Z') AS clock,
+       concat(replace(CAST(ts - INTERVAL 8 HOUR AS VARCHAR), ' ', 'T'), 'Z') AS moment,
+       CAST(CASE WHEN event_id % 2 = 0 THEN ts - INTERVAL 8 HOUR ELSE ts + INTERVAL 8 HOUR END AS VARCHAR) AS shifted,
+       CAST(concat('0x', substr(md5(CAST(event_id AS VARCHAR)), 1, 8)) AS BIGINT) % 16 AS bucket
+FROM e""")
+def sql_converters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The converters as SQL functions."""
+    register_converters(spark)
+    return spark.sql(f"""
+        SELECT event_id,
+               cdc_to_boolean(array('1', 'true', 'TRUE', '0', 'false', 'yes', '2')[event_id % 7]) AS flag,
+               cdc_to_byte(n) AS as_byte, cdc_to_short(n * 10) AS as_short, cdc_to_int(big) AS as_int,
+               cdc_to_long(CAST(big AS STRING)) AS as_long, cdc_narrow_to_int(big) AS narrowed,
+               cdc_to_double(CASE WHEN event_id % 4 = 0 THEN 'n/a' ELSE CAST(value AS STRING) END) AS lenient,
+               CAST(cdc_to_date(CAST(-(event_id % 40000) AS INT)) AS STRING) AS before_epoch,
+               cdc_time_millis(micros % 86400000000, 'micros') AS clock_millis,
+               CAST(cdc_to_timestamp(micros * 1000 + 999, 'nanos') AS STRING) AS from_nanos,
+               CAST(cdc_epoch_millis_local(millis, '{ZONE}') AS STRING) AS local_time,
+               CAST(cdc_local_timestamp(CASE WHEN event_id % 6 = 0 THEN '2024-01-01 00:00:00'
+                   ELSE concat(replace(CAST(ts AS STRING), ' ', 'T'), 'Z') END, '{ZONE}') AS STRING) AS from_instant,
+               CAST(cdc_integer_of_bytes(unhex(lpad(hex(n), 16, '0'))) AS STRING) AS from_bytes,
+               cdc_date_zulu(ts) AS day, cdc_duration_zulu(micros % 86400000000) AS clock,
+               cdc_datetime_zulu(ts, '{ZONE}') AS moment,
+               cdc_timestamp_plain(ts, event_id % 2 = 0, '{ZONE}') AS shifted,
+               cdc_portable_bucket(CAST(event_id AS STRING), 16) AS bucket
+        FROM (SELECT *, event_id * 3 - 300 AS n, event_id * 100000300007 AS big FROM {{e}})""",
+                     e=events(spark, sf_dir))
