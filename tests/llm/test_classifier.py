@@ -80,3 +80,47 @@ def test_statistics_do_not_depend_on_neighbours():
         data = [t.encode() for t in some]
         return C.statistics(Slice(np.frombuffer(b"".join(data), np.uint8), np.cumsum([0, *map(len, data)])))
     assert np.allclose(rows(texts), np.vstack([rows([t]) for t in texts]))
+
+
+def plain_scores(docs, labels):
+    """Ridge and monotone calibration by plain matrices over all rows at once."""
+    from tidewell.llm.texts import Slice
+    data = [(t or "").encode() for _, t in docs]
+    stats = C.statistics(Slice(np.frombuffer(b"".join(data), np.uint8), np.cumsum([0, *map(len, data)])))
+    folds = {k: zlib.crc32(str(k).encode()) % 5 for k in labels}
+    of = lambda keep: [i for i, (k, _) in enumerate(docs) if k in labels and keep(folds[k])]
+    learn, check = of(lambda f: f > 1), of(lambda f: f == 1)
+    six = lambda row: np.array([float(f"{v:.6g}") for v in row])
+    centre, scale = six(stats[learn].mean(0)), six(stats[learn].std(0))
+    z = C.fourier(stats, centre, np.where(scale > 1e-9, scale, 1.0))
+    y = lambda rows: np.array([labels[docs[i][0]] for i in rows], dtype=float)
+    n = len(learn)
+    # Ridge as least squares with one more row for each weight.
+    weights = np.linalg.lstsq(np.vstack([z[learn], np.sqrt(C.RIDGE * n) * np.eye(z.shape[1])]),
+                              np.concatenate([y(learn), np.zeros(z.shape[1])]), rcond=None)[0]
+    raw = z @ weights
+    step = (C.HIGH - C.LOW) / C.BINS
+    bins = {}
+    for i, label in zip(check, y(check)):
+        bins.setdefault(min(max(int((raw[i] - C.LOW) / step), 0), C.BINS - 1), []).append(label)
+    at = sorted(bins)
+    total, size = np.array([sum(bins[b]) for b in at]), np.array([len(bins[b]) for b in at], dtype=float)
+    # The least monotone fit: greatest over starts of the least mean over ends.
+    fit = [max(min(total[a:z].sum() / size[a:z].sum() for z in range(i + 1, len(at) + 1)) for a in range(i + 1))
+           for i in range(len(at))]
+    x, v = [], []
+    for value in sorted({round(f, 9) for f in fit}):
+        block = [i for i, f in enumerate(fit) if round(f, 9) == value]
+        x.append(np.average([C.LOW + (at[i] + 0.5) * step for i in block], weights=size[block]))
+        v.append(value)
+    return {k: float(np.interp(r, x, v)) for (k, _), r in zip(docs, raw)}
+
+
+def test_scores_are_those_of_plain_matrices(spark):
+    docs = [tuple(r) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()]
+    labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
+    labels = {k: y for k, y in labels.items() if zlib.crc32(str(k).encode()) % 5}
+    want = plain_scores(docs, labels)
+    got = {r.doc_id: r.score for r in C.op3(spark, SF).collect()}
+    assert got.keys() == want.keys()
+    assert max(abs(got[k] - want[k]) for k in want) < 1e-6
