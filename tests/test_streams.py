@@ -232,11 +232,11 @@ def test_fan_out_reads_and_converts_each_record_once(spark, bad):
 
 def test_state_and_its_changes(spark):
     from tidewell.streaming.inspect import state_changes, state_operators, state_rows
-    from tidewell.streaming.repeated import start_repeated_keys
+    from tidewell.streaming.repeated import start_key_counts
     root = scratch_dir(spark, "state-test")
     for keys in (["a", "a", "b"], ["b", "c"], ["a"]):
         spark.createDataFrame([(k,) for k in keys], "k string").write.mode("append").parquet(f"{root}/feed")
-        start_repeated_keys(spark.readStream.schema("k string").parquet(f"{root}/feed"), "k", root, interval=None)
+        start_key_counts(spark.readStream.schema("k string").parquet(f"{root}/feed"), "k", root, interval=None).awaitTermination()
     point = f"{root}/checkpoint-count"
     assert [r.operatorName for r in state_operators(spark, point).collect()] == ["stateStoreSave"]
     pick = lambda frame: sorted(tuple(r) for r in frame.collect())

@@ -22,7 +22,7 @@ from tidewell.session import scratch_dir
 from tidewell.spec import KIND, SUB, TableSpec
 from tidewell.streaming.inspect import state_changes as changes_of_state
 from tidewell.streaming.jobs import Target, start_fan_out, start_upsert
-from tidewell.streaming.repeated import repeated_keys_stateful, start_repeated_keys
+from tidewell.streaming.repeated import repeated_keys_stateful, start_key_counts, start_repeated_keys
 
 STATE = CH + "SELECT topic, id, st, amt FROM state"
 COLUMNS = ["topic", "id", "st", "amt"]
@@ -174,13 +174,13 @@ upto AS (SELECT now.part, k, (SELECT count(*) FROM e WHERE e.k = now.k AND e.par
 SELECT batch_id, count(k) AS changed, CAST(coalesce(sum(n), 0) AS BIGINT) AS total, max(n) AS most
 FROM b JOIN upto ON part = batch_id GROUP BY batch_id""")
 def state_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What each batch wrote to the counts of ``start_repeated_keys``: keys, and their new counts."""
+    """What each batch wrote to the counts of ``start_key_counts``: keys, and their new counts."""
     root = scratch_dir(spark, "state-changes")
     rows = table(spark, sf_dir, "events").select("user_id", "event_id")
     for part in range(3):
         rows.filter(F.col("event_id") % 3 == part).write.mode("append").parquet(f"{root}/feed")
         stream = spark.readStream.schema(rows.schema).parquet(f"{root}/feed")
-        start_repeated_keys(stream, "user_id", root, interval=None)
+        start_key_counts(stream, "user_id", root, interval=None).awaitTermination()
     return (changes_of_state(spark, f"{root}/checkpoint-count").filter("change_type = 'update'")
             .groupBy("batch_id").agg(F.count(F.lit(1)).alias("changed"), F.sum("value.count").alias("total"),
                                      F.max("value.count").alias("most")))

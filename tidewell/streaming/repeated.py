@@ -28,38 +28,45 @@ def repeated_keys(frame: DataFrame, key: str) -> DataFrame:
             .filter("n > 1").select("key"))
 
 
-def start_repeated_keys(stream: DataFrame, key: str, root: str,
-                        interval: str | None = "60 seconds") -> tuple[StreamingQuery, ...]:
-    """Streaming: the same keys, each appended once to ``root/keys``.
+def _triggered(writer, interval: str | None):
+    return writer.trigger(availableNow=True) if interval is None else writer.trigger(processingTime=interval)
 
-    Two queries of built-in operators, no Python on the rows. The first keeps a
-    count per key and hands on the keys that reached two; a hot key costs one
-    row per task and trigger. The second drops the keys handed on before. With
-    ``interval=None`` both take what is there and stop.
-    """
+
+def start_key_counts(stream: DataFrame, key: str, root: str, interval: str | None = "60 seconds") -> StreamingQuery:
+    """Streaming: a count per key, kept as state under ``root/checkpoint-count``; each batch
+    writes the keys it found to have reached two to ``root/touched``. A hot key costs one
+    row per task and trigger."""
     use_rocksdb(stream.sparkSession)
     counts = (_key_column(stream, key).groupBy("key").agg(F.count(F.lit(1)).alias("n"))
               .filter("n > 1").select("key"))
-    touched = f"{root}/touched"
 
     def keep(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{touched}/batch_id={batch_id}")
+        batch.write.mode("overwrite").parquet(f"{root}/touched/batch_id={batch_id}")
+
+    return _triggered(counts.writeStream.outputMode("update").foreachBatch(keep)
+                      .option("checkpointLocation", f"{root}/checkpoint-count"), interval).start()
 
-    def trigger(writer):
-        return writer.trigger(availableNow=True) if interval is None else writer.trigger(
-            processingTime=interval)
 
+def start_repeated_keys(stream: DataFrame, key: str, root: str,
+                        interval: str | None = "60 seconds") -> tuple[StreamingQuery, ...]:
+    """Streaming: the same keys, each appended once to ``root/keys``.
+
+    Two queries of built-in operators, no Python on the rows. The first keeps a
+    count per key and hands on the keys that reached two (``start_key_counts``). The
+    second drops the keys handed on before. With ``interval=None`` both take what is
+    there and stop.
+    """
+    touched = f"{root}/touched"
     # The folder must exist before the second query lists it.
     empty = stream.sparkSession.createDataFrame([], "key string")
     empty.write.mode("append").parquet(f"{touched}/batch_id=-1")
-    first = trigger(counts.writeStream.outputMode("update").foreachBatch(keep)
-                    .option("checkpointLocation", f"{root}/checkpoint-count")).start()
+    first = start_key_counts(stream, key, root, interval)
     if interval is None:
         first.awaitTermination()
     again = (stream.sparkSession.readStream.schema("key string, batch_id bigint").parquet(touched)
              .select("key").dropDuplicates(["key"]))
-    second = trigger(again.writeStream.format("parquet").option("path", f"{root}/keys")
-                     .option("checkpointLocation", f"{root}/checkpoint-keys")).start()
+    second = _triggered(again.writeStream.format("parquet").option("path", f"{root}/keys")
+                        .option("checkpointLocation", f"{root}/checkpoint-keys"), interval).start()
     if interval is None:
         second.awaitTermination()
     return first, second
