@@ -204,7 +204,7 @@ def _item_prints(window: int, gram: int):
                     span = min(window, len(words))
                     found = [(name, row, *p) for p in _prints_of(words, hashes, span, min(gram, span))]
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(c, schema.field(n).type) for n, c in zip(names, zip(*found))], schema=schema)
+                        [pa.array(c, t) for c, t in zip(zip(*found), schema.types)], schema=schema)
 
     return run
 
