@@ -15,6 +15,9 @@ TEXTS = [
     "short item here", "a short item here, then " + "word " * 300, "row\n" * 50, "\n\nrow\n \nrow\n", "# * $ | <> " * 30,
     "CC BY\nall rights reserved. General Public License; CC  by", "general public\nlicense", "cc cc by by",
     "Released under the MIT License", "the mit\nlicense released under", "This work is licensed under CC BY-NC 4.0, see",
+    "Redistribution and use in source and binary forms, with or without\nmodification, are permitted", "under CC\nBY-NC-ND 4.0, licensed",
+    "the GNU Lesser General\nPublic License, version 3: this work is licensed under", "Mit license the mit license\n" * 500,
+    "licensed under cc by nc sa 4.0 licensed under cc by 4.0 nd", "SPDX-License-Identifier: GPL-2.0-only\nlicensed under",
     "my iban DE89 3704 0044 0532 0130 00 ok", "DE89370400440532013001 GB82WEST12345698765432", "xGB82WEST12345698765432",
     "GB82 WEST 1234 5698 7654 32 Hello", "NL91ABNA0417164300é SSN 123-45-6789", "123-45-6789-", "social 123-45-6789",
     "security: 000-12-3456 666-12-3456 912-12-3456 123-00-4567 123-45-0000", 'API_KEY = "abcdef0123456789abcdef"',

@@ -1,31 +1,24 @@
 """License scan as an exact set-similarity join of text blocks with templates.
 
-A block is a line. A template is found in a block when at least ``threshold`` of
-the template's distinct words stand in the block. The words are put in one global
-order, rarest first by the number of documents that hold them, counted over the
-whole corpus. Then
-
-* prefix filter: a block that holds ``need`` of a template's ``n`` words holds one
-  of its first ``n - need + 1``; only these are indexed, so a line is looked at
-  only when it has a rare word of a template;
-* length filter: the block has at least ``need`` distinct words;
-* positional filter: from the first common word on, both must have enough words
-  left;
-
-and what remains is verified on the words themselves. No pair above the threshold
-is missed.
-
-A notice that was wrapped stands in no single line. It is found as a run of words
-over two or more lines, at most ``1 / threshold`` times as long as the template, that
-holds at least ``threshold`` of the template's words in the template's order. The
-prefix and length filters are the same, on positions of words instead of lines; the
-order is verified by the longest common subsequence. Runs that touch a line in which
-the template was found are not told again.
-
-Two more conditions are part of the verification. Some words decide which licence a
-notice names (``DECIDING``, by label): where the template has them, so must what is
-found. And in a long line the words must stand within ``REACH`` words of each other,
-or twice the template's length if that is more.
+The blocks are the runs of consecutive words, over any line ends, of at most
+``1 / threshold`` times a template's length. A template is found where such a run
+holds at least ``threshold`` of the template's distinct words, all words that decide
+which licence it is (``DECIDING``, by label) and none that rules it out
+(``RULED_OUT``). Neither lines nor the order of words count, so wrapping a text anew
+never changes what is found.
+
+The words are put in one global order, rarest first by the number of documents that
+hold them, counted over the whole corpus. Then
+
+* prefix filter: a run that holds ``need`` of a template's ``n`` words holds one of
+  its first ``n - need + 1``; only around these a text is looked at;
+* length filter: at least ``need`` of the template's words stand near such a word;
+* positional filter: at least ``need`` distinct ones that are no earlier in the order,
+  as the first common word of a run decides;
+
+and what remains is verified on the words themselves, by one pass of a sliding run.
+No block above the threshold is missed. Of runs that overlap, the one with the most
+words is told, the first of equals.
 
 Templates are a parameter of bounded size; documents never move, only
 word counts of the templates' vocabulary are shuffled.
@@ -42,8 +35,8 @@ from __future__ import annotations
 
 import math
 import re
-from collections import Counter, defaultdict
-from collections.abc import Iterator, Mapping, Sequence
+from collections import Counter
+from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -61,31 +54,86 @@ PHRASES = (
     ("all rights reserved", "reserved"),
 )
 #: Notices by which common licenses are named, and their labels.
-TEMPLATES = (
+NOTICES = (
     ("apache-2.0", "Licensed under the Apache License, Version 2.0"),
+    ("apache-2.0", "Apache License Version 2.0, January 2004"),
     ("bsd", "Redistribution and use in source and binary forms, with or without modification, are permitted"),
-    ("cc-by-nc", "Licensed under CC BY-NC 4.0"),
-    ("cc-by-sa", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License"),
+    ("bsl-1.0", "Boost Software License - Version 1.0"),
     ("cc0", "This work is dedicated to the public domain under CC0 1.0 Universal"),
-    ("gpl-3.0", "This work is licensed under the GNU General Public License, version 3"),
+    ("cc0", "Creative Commons CC0 1.0 Universal"),
+    ("epl-2.0", "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0"),
+    ("isc", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted"),
     ("mit", "Released under the MIT License"),
+    ("mit", "The MIT License"),
+    ("mit", "MIT License Copyright (c)"),
     ("mit", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software"),
     ("mpl-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0"),
+    ("unlicense", "This is free and unencumbered software released into the public domain"),
+    ("zlib", "This software is provided 'as-is', without any express or implied warranty. "
+             "In no event will the authors be held liable for any damages"),
 )
-#: By label: words that its templates are not found without.
+#: The parts of Creative Commons licenses, and the licenses made of them.
+CC_PARTS = {"by": "Attribution", "nc": "NonCommercial", "nd": "NoDerivatives", "sa": "ShareAlike"}
+CC_LICENSES = ("by", "by-nc", "by-nc-nd", "by-nc-sa", "by-nd", "by-sa")
+#: Label, name and version of the GNU licenses.
+GNU_LICENSES = (
+    ("agpl-3.0", "Affero General Public License", "3"),
+    ("gpl-2.0", "General Public License", "2"),
+    ("gpl-3.0", "General Public License", "3"),
+    ("lgpl-2.1", "Lesser General Public License", "2.1"),
+    ("lgpl-3.0", "Lesser General Public License", "3"),
+)
+#: Labels whose SPDX identifier differs from the label.
+SPDX = {"bsd": "BSD-3-Clause", "cc0": "CC0-1.0"}
+GNU_HEADER = ("This program is free software: you can redistribute it and/or modify it under the terms of the GNU {} "
+              "as published by the Free Software Foundation, either version {} of the License")
+
+
+def _templates() -> tuple[tuple[str, str], ...]:
+    found = list(NOTICES)
+    for parts in CC_LICENSES:
+        name = "-".join(CC_PARTS[part] for part in parts.split("-"))
+        found += [(f"cc-{parts}", f"Licensed under CC {parts} 4.0"),
+                  (f"cc-{parts}", f"Creative Commons {name} 4.0 International License"),
+                  (f"cc-{parts}", f"SPDX-License-Identifier: CC-{parts}-4.0")]
+    for label, name, version in GNU_LICENSES:
+        found += [(label, f"This work is licensed under the GNU {name}, version {version}"),
+                  (label, GNU_HEADER.format(name, version)), (label, f"SPDX-License-Identifier: {label}")]
+    found += [(label, f"SPDX-License-Identifier: {SPDX.get(label, label)}")
+              for label in sorted({label for label, _ in NOTICES})]
+    return tuple(found)
+
+
+TEMPLATES = _templates()
+#: By label: words that its templates, where they have them, are not found without.
 DECIDING = {
+    "agpl-3.0": ("affero", "agpl", "3"),
     "apache-2.0": ("apache", "2"),
-    "cc-by-nc": ("nc",),
-    "cc-by-sa": ("sharealike",),
+    "bsd": ("bsd",),
+    "bsl-1.0": ("boost", "bsl"),
     "cc0": ("cc0",),
-    "gpl-3.0": ("gnu", "general", "3"),
+    "epl-2.0": ("eclipse", "epl", "2"),
+    "gpl-2.0": ("gnu", "general", "gpl", "2"),
+    "gpl-3.0": ("gnu", "general", "gpl", "3"),
+    "isc": ("isc", "fee", "purpose"),
+    "lgpl-2.1": ("lesser", "lgpl", "2", "1"),
+    "lgpl-3.0": ("lesser", "lgpl", "3"),
     "mit": ("mit",),
-    "mpl-2.0": ("mozilla", "2"),
+    "mpl-2.0": ("mozilla", "mpl", "2"),
+    "unlicense": ("unencumbered", "unlicense"),
+    "zlib": ("zlib", "express", "held"),
+    **{f"cc-{parts}": ("cc", "creative", *parts.split("-"), *(CC_PARTS[p] for p in parts.split("-")))
+       for parts in CC_LICENSES},
+}
+#: By label: words that no block of its templates may hold.
+RULED_OUT = {
+    "gpl-2.0": ("lesser", "library", "affero"),
+    "gpl-3.0": ("lesser", "library", "affero"),
+    **{f"cc-{parts}": tuple(word for part, name in CC_PARTS.items() if part not in parts.split("-")
+                            for word in (part, name)) for parts in CC_LICENSES},
 }
-REACH = 32
 RESULTS = ("n_words long, places array<struct<label: string, word: long>>, "
-           "blocks array<struct<label: string, line: long, containment: double>>, "
-           "wrapped array<struct<label: string, line: long, containment: double>>")
+           "blocks array<struct<label: string, line: long, word: long, words: long, containment: double>>")
 
 
 def words_of(text: str) -> list[bytes]:
@@ -100,10 +148,10 @@ def _hashes(words: Sequence[bytes]) -> np.ndarray:
 
 
 class Vocabulary:
-    """The templates' words, found by hash."""
+    """The templates' words, and others beside them, found by hash."""
 
-    def __init__(self, templates: Sequence[tuple[str, str]]):
-        self.words = sorted({w for _, text in templates for w in words_of(text)})
+    def __init__(self, templates: Sequence[tuple[str, str]], others: Iterable[bytes] = ()):
+        self.words = sorted({w for _, text in templates for w in words_of(text)} | set(others))
         hashes = _hashes(self.words)
         self.order = np.argsort(hashes)
         self.sorted = hashes[self.order]
@@ -140,126 +188,109 @@ def document_counts(docs: DataFrame, templates: Sequence[tuple[str, str]], text:
     return {w: totals.get(i, 0) for i, w in enumerate(vocabulary.words)}
 
 
-class Run:
-    """A template as a sequence of words, found over the ends of lines."""
-
-    def __init__(self, words: list[bytes], vocabulary: Vocabulary, rank: dict[bytes, int], threshold: float,
-                 deciding: set[bytes] = frozenset()):
-        ids = {w: i for i, w in enumerate(vocabulary.words)}
-        self.size = len(words)
-        self.need = max(1, math.ceil(threshold * len(words) - 1e-9))
-        self.wide = math.ceil(len(words) / threshold)
-        self.places: dict[int, int] = defaultdict(int)  # bit i is the template's word i
-        for i, word in enumerate(words):
-            self.places[ids[word]] |= 1 << i
-        self.deciding = {ids[w] for w in deciding}
-        self.own, self.rare = np.zeros((2, len(ids)), dtype=bool)
-        self.own[list(self.places)] = True
-        for word in sorted(set(words), key=rank.__getitem__)[:len(words) - self.need + 1]:
-            self.rare[ids[word]] = True
-
-    def common(self, words: list[int]) -> tuple[int, int]:
-        """Length of the longest common subsequence, and where it is complete."""
-        every = (1 << self.size) - 1
-        left, found, end = every, 0, 0
-        for i, word in enumerate(words):
-            here = left & self.places.get(word, 0)
-            if here:
-                left = (left + here | left - here) & every
-                if self.size - left.bit_count() > found:
-                    found, end = found + 1, i + 1
-        return found, end
-
-    def search(self, ids: np.ndarray, known: np.ndarray, bounds: np.ndarray) -> Iterator[tuple[int, int, int, float]]:
-        """Text, first word, end and share of the runs; ``known`` are the places of the
-        vocabulary's words."""
-        own = known[self.own[ids[known]]]
-        hits = own[self.rare[ids[own]]]
-        lo, hi = np.searchsorted(own, hits - self.wide + 1), np.searchsorted(own, hits + self.wide)
-        done = 0
-        for i in np.flatnonzero(hi - lo >= self.need).tolist():
-            at = int(hits[i])
-            if at < done:
-                continue
-            text = int(np.searchsorted(bounds, at, side="right")) - 1
-            near = own[lo[i]:hi[i]]
-            near = near[(near >= bounds[text]) & (near < bounds[text + 1])]
-            words, near = ids[near].tolist(), near.tolist()
-            if self.common(words)[0] < self.need:
+class Template:
+    """One template's words by their number in the vocabulary, in the global order."""
+
+    def __init__(self, label: str, text: str, vocabulary: Vocabulary, rank: Mapping[bytes, int], threshold: float,
+                 deciding: Iterable[bytes], ruled_out: Iterable[bytes]):
+        number = {w: i for i, w in enumerate(vocabulary.words)}
+        words = words_of(text)
+        own = sorted(set(words), key=rank.__getitem__)
+        self.label, self.size = label, len(own)
+        self.need = max(1, math.ceil(threshold * len(own) - 1e-9))
+        self.wide = math.ceil(len(words) / threshold - 1e-9)
+        self.order = np.full(len(number), -1)
+        self.order[[number[w] for w in own]] = np.arange(len(own))
+        self.out = np.zeros(len(number), dtype=bool)
+        self.out[[number[w] for w in set(ruled_out) - set(own)]] = True
+        self.sure = {own.index(w) for w in set(deciding) & set(own)}
+        self.words = own
+
+    def near(self, own: np.ndarray, order: np.ndarray, breaks: np.ndarray) -> Iterator[tuple[int, int]]:
+        """Ranges of ``own``, the places of the template's words, that may hold a block.
+        ``breaks`` are the places that no block spans."""
+        hits = np.flatnonzero(order <= self.size - self.need)
+        part = np.searchsorted(breaks, own[hits], side="right")
+        first = np.searchsorted(own, np.concatenate([[0], breaks])[part])
+        last = np.searchsorted(own, np.concatenate([breaks, [np.iinfo(np.int64).max]])[part])
+        lo = np.maximum(np.searchsorted(own, own[hits] - self.wide + 1), first)
+        hi = np.minimum(np.searchsorted(own, own[hits] + self.wide), last)
+        enough = hi - lo >= self.need
+        hits, lo, hi = hits[enough], lo[enough], hi[enough]
+        if not len(hits):
+            return
+        cover = np.zeros(len(own) + 1, dtype=np.int64)
+        np.add.at(cover, lo, 1)
+        np.add.at(cover, hi, -1)
+        inside = np.flatnonzero(np.cumsum(cover)[:-1] > 0)
+        a, z = np.searchsorted(inside, lo), np.searchsorted(inside, hi)
+        distinct = np.zeros(len(hits), dtype=np.int64)
+        for word in range(self.size):
+            before = np.concatenate([[0], np.cumsum(order[inside] == word)])
+            distinct += (before[z] > before[a]) & (order[hits] <= word)
+        start = end = 0
+        for a, z in zip(lo[distinct >= self.need].tolist(), hi[distinct >= self.need].tolist()):
+            if a >= end:
+                if start < end:
+                    yield start, end
+                start = a
+            end = z
+        if start < end:
+            yield start, end
+
+    def blocks(self, places: list[int], order: list[int]) -> Iterator[tuple[int, int, int]]:
+        """First word, end and number of distinct words of the blocks in one range."""
+        inside: Counter = Counter()
+        left, best = 0, None
+        for j, word in enumerate(order):
+            inside[word] += 1
+            while places[j] - places[left] >= self.wide:
+                inside[order[left]] -= 1
+                if not inside[order[left]]:
+                    del inside[order[left]]
+                left += 1
+            while inside[order[left]] > 1:  # a word that comes again adds nothing at the front
+                inside[order[left]] -= 1
+                left += 1
+            if len(inside) < self.need or not self.sure <= inside.keys():
                 continue
-            best = (self.need, -1, -1)
-            for j, start in enumerate(near):
-                if start > at:
-                    break
-                z = j
-                while z < len(near) and near[z] < start + self.wide:
-                    z += 1
-                found, end = self.common(words[j:z])
-                if found >= best[0] and near[j + end - 1] >= at and self.deciding <= set(words[j:j + end]):  # the last start has no word too many
-                    best = (found, start, near[j + end - 1] + 1)
-            if best[1] >= 0:
-                done = best[2]
-                yield text, best[1], done, best[0] / self.size
+            if best and places[left] >= best[1]:
+                yield best
+                best = None
+            if not best or len(inside) > best[2]:
+                best = places[left], places[j] + 1, len(inside)
+        if best:
+            yield best
 
 
 class Join:
-    """The templates' side: words in global order and the index of their prefixes."""
-
-    def __init__(self, templates: Sequence[tuple[str, str]], counts: dict[bytes, int], threshold: float,
-                 deciding: Mapping[str, Sequence[str]] = DECIDING):
-        self.vocabulary = Vocabulary(templates)
-        self.rank = {w: i for i, w in enumerate(sorted(counts, key=lambda w: (counts[w], w)))}
-        self.templates, self.labels = [], []
-        self.runs: list[Run] = []
-        self.index: dict[bytes, list[tuple[int, int]]] = defaultdict(list)
-        for label, text in templates:
-            own = sorted(set(words_of(text)), key=self.rank.__getitem__)
-            if not own:
+    """The templates' side: their words in the global order of the corpus."""
+
+    def __init__(self, templates: Sequence[tuple[str, str]], counts: Mapping[bytes, int], threshold: float,
+                 deciding: Mapping[str, Sequence[str]] = DECIDING, ruled_out: Mapping[str, Sequence[str]] = RULED_OUT):
+        def listed(words: Mapping[str, Sequence[str]], label: str) -> list[bytes]:
+            return words_of(" ".join(words.get(label, ())))
+
+        rank = {w: i for i, w in enumerate(sorted(counts, key=lambda w: (counts[w], w)))}
+        self.vocabulary = Vocabulary(templates, [w for label, _ in templates for w in listed(ruled_out, label)])
+        self.templates = [Template(label, text, self.vocabulary, rank, threshold, listed(deciding, label),
+                                   listed(ruled_out, label)) for label, text in templates if words_of(text)]
+
+    def search(self, ids: np.ndarray, bounds: np.ndarray, words: Callable[[int], bytes]
+               ) -> Iterator[tuple[Template, int, int, int]]:
+        """Template, first word, end and number of distinct words of every block; ``ids``
+        are the words' numbers in the vocabulary, ``bounds`` the first words of the texts."""
+        known = np.flatnonzero(ids >= 0)
+        for template in self.templates:
+            order = template.order[ids[known]]
+            own, order = known[order >= 0], order[order >= 0]
+            if len(own) < template.need or order.min() > template.size - template.need:
                 continue
-            need = max(1, math.ceil(threshold * len(own) - 1e-9))
-            for i, word in enumerate(own[:len(own) - need + 1]):
-                self.index[word].append((len(self.templates), i))
-            sure = set(words_of(" ".join(deciding.get(label, ())))) & set(own)
-            self.templates.append((own, need, sure, max(REACH, 2 * len(words_of(text)))))
-            self.labels.append(label)
-            self.runs.append(Run(words_of(text), self.vocabulary, self.rank, threshold, sure))
-        self.rare = np.array([w in self.index for w in self.vocabulary.words], dtype=bool)
-
-    def block(self, words: list[bytes]) -> Iterator[tuple[int, float]]:
-        """Number and containment of the templates that a block of words holds."""
-        block = set(words)
-        known = sorted((w for w in block if w in self.rank), key=self.rank.__getitem__)
-        tried = set()
-        for j, word in enumerate(known):
-            for number, i in self.index.get(word, ()):
-                if number in tried:
-                    continue
-                tried.add(number)  # the first common word decides
-                own, need, sure, reach = self.templates[number]
-                if len(block) < need or 1 + min(len(own) - i - 1, len(known) - j - 1) < need:
-                    continue
-                common = sum(w in block for w in own)
-                if common >= need and sure <= block:
-                    common = common if len(words) <= reach else _within(words, set(own), sure, reach)
-                    if common >= need:
-                        yield number, common / len(own)
-
-
-def _within(words: list[bytes], own: set[bytes], sure: set[bytes], reach: int) -> int:
-    """Most of the distinct ``own`` words that ``reach`` consecutive words hold, all of ``sure`` among them."""
-    most, inside, first = 0, Counter(), 0
-    places = [i for i, w in enumerate(words) if w in own]
-    for at in places:
-        inside[words[at]] += 1
-        while places[first] <= at - reach:
-            gone = words[places[first]]
-            inside[gone] -= 1
-            if not inside[gone]:
-                del inside[gone]
-            first += 1
-        if len(inside) > most and sure <= inside.keys():
-            most = len(inside)
-    return most
+            breaks = np.unique(np.concatenate([bounds, known[template.out[ids[known]]]]))
+            for a, z in template.near(own, order, breaks):
+                true = [i for i in range(a, z) if words(int(own[i])) == template.words[order[i]]]
+                for block in template.blocks(own[true].tolist(), order[true].tolist()):
+                    yield template, *block
 
 
 def _scan(part: Slice, join: Join, phrases: list[tuple[str, np.ndarray]]) -> list:
@@ -276,77 +307,87 @@ def _scan(part: Slice, join: Join, phrases: list[tuple[str, np.ndarray]]) -> lis
             if at + len(phrase) <= bounds[text + 1]:
                 places[text].append({"label": label, "word": at - int(bounds[text])})
     blocks: list[list[dict]] = [[] for _ in range(len(part))]
-    wrapped: list[list[dict]] = [[] for _ in range(len(part))]
-    held: set[tuple[int, int]] = set()
+    line_starts, _, line_bounds = low.lines()
     ids = join.vocabulary.ids(hashes)
-    rare = np.flatnonzero((ids >= 0) & join.rare[ids]) if len(join.rare) else np.zeros(0, np.int64)
-    line_starts, line_ends, line_bounds = low.lines()
-    for line in np.unique(np.searchsorted(line_starts, starts[rare], side="right") - 1).tolist():
-        lo, hi = np.searchsorted(starts, [line_starts[line], line_ends[line]])
-        block = [low.data[a:b].tobytes() for a, b in zip(starts[lo:hi].tolist(), ends[lo:hi].tolist())]
-        text = int(np.searchsorted(line_bounds, line, side="right")) - 1
-        for number, share in join.block(block):
-            held.add((number, line))
-            blocks[text].append({"label": join.labels[number], "line": line - int(line_bounds[text]),
-                                 "containment": share})
-    known = np.flatnonzero(ids >= 0)
-    for number, run in enumerate(join.runs):
-        for text, a, z, share in run.search(ids, known, bounds):
-            lines = np.searchsorted(line_starts, starts[a:z], side="right") - 1
-            if lines[0] < lines[-1] and not any((number, line) in held for line in lines.tolist()):
-                wrapped[text].append({"label": join.labels[number],
-                                      "line": int(lines[0] - line_bounds[text]), "containment": share})
-    found = pa.list_(pa.struct([("label", pa.string()), ("line", pa.int64()), ("containment", pa.float64())]))
+    for template, at, end, common in join.search(ids, bounds, lambda i: low.data[starts[i]:ends[i]].tobytes()):
+        text = int(np.searchsorted(bounds, at, side="right")) - 1
+        line = int(np.searchsorted(line_starts, starts[at], side="right")) - 1
+        blocks[text].append({"label": template.label, "line": line - int(line_bounds[text]),
+                             "word": at - int(bounds[text]), "words": end - at, "containment": common / template.size})
     return [np.diff(bounds).astype(np.int64),
             pa.array(places, pa.list_(pa.struct([("label", pa.string()), ("word", pa.int64())]))),
-            pa.array(blocks, found), pa.array(wrapped, found)]
+            pa.array(blocks, pa.list_(pa.struct([("label", pa.string()), ("line", pa.int64()), ("word", pa.int64()),
+                                                 ("words", pa.int64()), ("containment", pa.float64())])))]
 
 
 def scan(docs: DataFrame, templates: Sequence[tuple[str, str]] = TEMPLATES, phrases=PHRASES,
          threshold: float = THRESHOLD, keep: list[str] | None = None,
-         deciding: Mapping[str, Sequence[str]] = DECIDING) -> DataFrame:
-    """Rows of ``docs`` as ``doc``, with ``n_words``, ``places`` (phrases, by word),
-    ``blocks`` (templates, by line, with the containment) and ``wrapped`` (templates over
-    several lines, by the first of them)."""
-    join = Join(templates, document_counts(docs, templates), threshold, deciding)
+         deciding: Mapping[str, Sequence[str]] = DECIDING,
+         ruled_out: Mapping[str, Sequence[str]] = RULED_OUT) -> DataFrame:
+    """Rows of ``docs`` as ``doc``, with ``n_words``, ``places`` (phrases, by word) and
+    ``blocks`` (templates, by their first line and word, with length and containment)."""
+    join = Join(templates, document_counts(docs, templates), threshold, deciding, ruled_out)
     searched = [(label, _hashes(words_of(phrase))) for phrase, label in phrases]
     return map_texts(docs, RESULTS, lambda: lambda part: _scan(part, join, searched), keep=keep)
 
 
+def _values() -> str:
+    """The templates as rows of SQL: number, label, notice, deciding and ruling words."""
+    def text(value: str) -> str:
+        return "'" + value.replace("'", "''") + "'"
+
+    return ",\n    ".join(
+        f"({i}, {text(label)}, {text(notice)}, {text(' '.join(DECIDING.get(label, ())))}, "
+        f"{text(' '.join(RULED_OUT.get(label, ())))})" for i, (label, notice) in enumerate(TEMPLATES))
+
+
 OP9_SQL = r"""
-WITH templates AS (
-  SELECT number, label, list_distinct(regexp_extract_all(lower(notice), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS own
+WITH listed AS (
+  SELECT number, label, regexp_extract_all(lower(notice), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS said,
+         string_split(lower(deciding), ' ') AS deciding, string_split(lower(ruling), ' ') AS ruling
   FROM (VALUES
-    (0, 'apache-2.0', 'Licensed under the Apache License, Version 2.0'),
-    (1, 'bsd', 'Redistribution and use in source and binary forms, with or without modification, are permitted'),
-    (2, 'cc-by-nc', 'Licensed under CC BY-NC 4.0'),
-    (3, 'cc-by-sa', 'This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License'),
-    (4, 'cc0', 'This work is dedicated to the public domain under CC0 1.0 Universal'),
-    (5, 'gpl-3.0', 'This work is licensed under the GNU General Public License, version 3'),
-    (6, 'mit', 'Released under the MIT License'),
-    (7, 'mit', 'Permission is hereby granted, free of charge, to any person obtaining a copy of this software'),
-    (8, 'mpl-2.0', 'This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0')) t(number, label, notice)
+    @values) t(number, label, notice, deciding, ruling)
+), templates AS (
+  SELECT number, label, list_distinct(said) AS own, list_intersect(deciding, said) AS sure,
+         list_filter(ruling, lambda w: NOT list_contains(said, w)) AS bad,
+         ceil(0.8 * len(list_distinct(said)) - 1e-9) AS need, ceil(len(said) / 0.8 - 1e-9) AS wide
+  FROM listed
+), own_words AS (SELECT number, unnest(own) AS w FROM templates
+), bad_words AS (SELECT number, unnest(bad) AS w FROM templates
 ), docs AS (
   SELECT row_number() OVER () AS r, doc_id,
          translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low
   FROM documents
 ), split AS (
   SELECT r, doc_id, low, regexp_extract_all(low, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM docs
+), words AS MATERIALIZED (
+  SELECT r, unnest(words) AS w, unnest(range(len(words))) AS i FROM split
 ), placed AS (
-  SELECT r, i - 1 AS word, w, lead(w) OVER u AS w2, lead(w, 2) OVER u AS w3
-  FROM (SELECT r, unnest(words) AS w, unnest(range(1, len(words) + 1)) AS i FROM split)
-  WINDOW u AS (PARTITION BY r ORDER BY i)
+  SELECT r, i AS word, w, lead(w) OVER u AS w2, lead(w, 2) OVER u AS w3 FROM words WINDOW u AS (PARTITION BY r ORDER BY i)
 ), places AS (
   SELECT r, word, CASE WHEN w = 'cc' AND w2 = 'by' THEN 'cc-by'
                        WHEN w = 'general' AND w2 = 'public' AND w3 = 'license' THEN 'gpl'
                        WHEN w = 'all' AND w2 = 'rights' AND w3 = 'reserved' THEN 'reserved' END AS label
   FROM placed
-), lines AS (
-  SELECT r, list_distinct(regexp_extract_all(line, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS words
-  FROM (SELECT r, unnest(string_split(low, chr(10))) AS line FROM split)
+), holders AS (
+  SELECT r, number, need, wide, sure, label, len(own) AS n
+  FROM (SELECT r, number, count(DISTINCT w) AS c FROM words JOIN own_words USING (w) GROUP BY ALL)
+  JOIN templates USING (number) WHERE c >= need
+), marks AS (
+  SELECT r, number, i, w, false AS bad FROM words JOIN own_words USING (w) SEMI JOIN holders USING (r, number)
+  UNION ALL
+  SELECT r, number, i, w, true FROM words JOIN bad_words USING (w) SEMI JOIN holders USING (r, number)
+), stops AS (
+  SELECT *, min(CASE WHEN bad THEN i END) OVER (PARTITION BY r, number ORDER BY i
+                                                ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS stop
+  FROM marks
 ), blocks AS (
-  SELECT r, label, len(list_intersect(words, own)) / len(own) AS share
-  FROM lines, templates WHERE len(list_intersect(words, own)) >= ceil(0.8 * len(own) - 1e-9)
+  SELECT h.r, h.label, count(DISTINCT b.w) / any_value(h.n) AS share
+  FROM holders h JOIN stops a USING (r, number)
+  JOIN stops b ON b.r = a.r AND b.number = a.number AND b.i >= a.i AND b.i < a.i + h.wide AND b.i < coalesce(a.stop, b.i + 1)
+  WHERE NOT a.bad AND NOT b.bad
+  GROUP BY h.r, h.number, h.label, a.i
+  HAVING count(DISTINCT b.w) >= any_value(h.need) AND list_has_all(list(b.w), any_value(h.sure))
 ), base AS (
   SELECT r, count(*) AS n, min(word) AS first_word, max(word) AS last_word,
          string_agg(DISTINCT label, ',' ORDER BY label) AS labels
@@ -359,18 +400,17 @@ SELECT doc_id, len(words) AS n_words, coalesce(n, 0) AS n_base, first_word, last
        coalesce(base.labels, '') AS base_labels, coalesce(every.labels, '') AS labels,
        CASE WHEN n > 0 THEN 1.0::DOUBLE ELSE coalesce(share, 0)::DOUBLE END AS score
 FROM split LEFT JOIN base USING (r) LEFT JOIN every USING (r) LEFT JOIN best USING (r)
-"""
+""".replace("@values", _values())
 
 
 @query("op9_license_scan", OP9_SQL)
 def op9(spark, sf_dir: str) -> DataFrame:
     found = scan(table(spark, sf_dir, "documents").select("doc_id", "text"), keep=["doc_id"])
     base = F.transform("places", lambda p: p["label"])
-    notices = F.concat("blocks", "wrapped")
-    own = F.transform(notices, lambda b: b["label"])
+    own = F.transform("blocks", lambda b: b["label"])
     starts = F.transform("places", lambda p: p["word"])
     joined = lambda labels: F.array_join(F.array_sort(F.array_distinct(labels)), ",")
-    share = F.array_max(F.transform(notices, lambda b: b["containment"]))
+    share = F.array_max(F.transform("blocks", lambda b: b["containment"]))
     return found.select(
         F.col("doc")["doc_id"].alias("doc_id"), "n_words", F.size("places").cast("long").alias("n_base"),
         F.array_min(starts).alias("first_word"), F.array_max(starts).alias("last_word"),
