@@ -27,11 +27,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidewell.llm.components import stored
 from tidewell.llm.registry import query, table
 from tidewell.llm.rules import equal_lines, repeated, sums
-from tidewell.llm.texts import INK, Slice, gram_hashes, map_texts, mix, run_hashes
+from tidewell.llm.texts import INK, Slice, gram_hashes, map_texts, mix, run_hashes, unpacked
 
 FEATURES, WIDTH, RIDGE, SEED = 128, 3.0, 1e-3, 7
 BINS, LOW, HIGH = 600, -1.0, 2.0
@@ -212,32 +213,35 @@ def labelled(stats: DataFrame, labels: DataFrame) -> DataFrame:
     return stats.join(known, "doc_id").select("stats", "y", fold().alias("fold"))
 
 
-def train(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> tuple[Model, DataFrame]:
-    """The model and the stored statistics (``doc_id``, ``stats``) of all documents."""
-    stats = measured(docs, keep=["doc_id"]).select(F.col("doc")["doc_id"].alias("doc_id"), "stats")
-    stats = stored(spark, stats, "classifier-stats")
-    rows = stored(spark, labelled(stats, labels), "classifier-labelled")
-    return fit(rows), stats
+def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, keep: list[str]) -> tuple[Model, DataFrame]:
+    """The model and the stored rows (``doc`` of the columns in ``keep``, ``stats``) of all documents."""
+    rows = stored(spark, measured(docs, keep=keep), "classifier-stats")
+    stats = rows.select(F.col("doc")["doc_id"].alias("doc_id"), "stats")
+    return fit(stored(spark, labelled(stats, labels), "classifier-labelled")), rows
 
 
-def scored(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``doc_id`` and ``score`` (0 to 1) of every row."""
-    model, stats = train(spark, docs, labels)
+def judged(spark: SparkSession, docs: DataFrame, labels: DataFrame, keep: list[str]) -> DataFrame:
+    """Every row of ``docs`` as ``doc`` (of the columns in ``keep``, ``doc_id`` among them),
+    with its ``score`` (0 to 1). Statistics are computed once and stored beside ``doc``."""
+    model, rows = train(spark, docs, labels, keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(model.score(_matrix(batch.column(1))))], names=["doc_id", "score"])
+                [batch.column(0), pa.array(model.score(_matrix(batch.column(1))))], names=["doc", "score"])
+
+    schema = T.StructType([rows.schema["doc"], T.StructField("score", T.DoubleType())])
+    return rows.select("doc", "stats").mapInArrow(run, schema)
 
-    kind = stats.schema["doc_id"].dataType.simpleString()
-    return stats.select("doc_id", "stats").mapInArrow(run, f"doc_id {kind}, score double")
+
+def scored(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """``doc_id`` and ``score`` of every row."""
+    return judged(spark, docs, labels, ["doc_id"]).select(F.col("doc")["doc_id"].alias("doc_id"), "score")
 
 
 def good_only(spark: SparkSession, docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The documents whose score reaches the threshold, with their own columns."""
-    model, _ = train(spark, docs, labels)
-    found = map_texts(docs, "score double", lambda: lambda part: [model.score(statistics(part))])
-    return found.filter(F.col("score") >= threshold).select(*[F.col("doc")[c].alias(c) for c in docs.columns])
+    return unpacked(judged(spark, docs, labels, docs.columns).filter(F.col("score") >= threshold))
 
 
 @query("op3_quality_classifier")
