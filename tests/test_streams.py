@@ -1,5 +1,8 @@
 import json
+from collections import Counter
+from types import SimpleNamespace
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,7 +19,7 @@ from tidewell.sources.readers import (
     KAFKA_SCHEMA, from_offsets, from_time, split_words, stream_feed_text, value_text)
 from tidewell.spec import TableSpec
 from tidewell.streaming.jobs import Target, checkpoint_for, fan_out, last_progress, start_console, start_fan_out, start_upsert, stored_state, typed_target
-from tidewell.streaming.repeated import repeated_keys, repeated_keys_stateful, start_repeated_keys
+from tidewell.streaming.repeated import SecondSighting, repeated_keys, repeated_keys_stateful, start_repeated_keys
 
 SF = "/root/testdata/sf0.001"
 IDS = TableSpec(name="t", key=("id",), buckets=2, schema=T.StructType([T.StructField("id", T.LongType())]))
@@ -171,6 +174,44 @@ def test_repeated_keys_are_reported_once_over_restarts(spark, stateful):
     assert sorted(r.key for r in repeated_keys(flat, "id").collect()) == got
 
 
+def test_keyed_state_is_held_by_groups_of_keys(spark):
+    """Calls and state rows follow the groups, however many keys there are."""
+    root, seen = scratch_dir(spark, "groups"), Counter()
+    for ids in ([*range(200)], [*range(150, 300), 7, 7], [*range(290, 310)] * 2):
+        keys = repeated_keys_stateful(number_stream(spark, root, ids), "id", groups=4)
+        query = (keys.writeStream.format("parquet").option("path", f"{root}/keys")
+                 .option("checkpointLocation", f"{root}/c").trigger(availableNow=True).start())
+        query.awaitTermination()
+        seen.update(ids)
+        assert query.lastProgress["stateOperators"][0]["numRowsTotal"] == 4
+    got = [int(r.key) for r in spark.read.parquet(f"{root}/keys").collect()]
+    assert sorted(got) == sorted(k for k, n in seen.items() if n > 1)
+
+
+def test_a_key_is_forgotten_while_its_group_lives_on():
+    class Value:
+        held = None
+
+        def get(self):
+            return self.held
+
+        def update(self, value):
+            self.held = value
+
+    value, sighting = Value(), SecondSighting(100)
+    sighting.init(SimpleNamespace(getValueState=lambda *_: value))
+
+    def at(now, *names):
+        rows = [pd.DataFrame({"key": [k], "n": [1]}) for k in names]
+        times = SimpleNamespace(getCurrentProcessingTimeInMs=lambda: now)
+        return [k for frame in sighting.handleInputRows((0,), iter(rows), times) for k in frame["key"]]
+
+    assert at(0, "a", "b") == [] and at(99, "a", "c") == ["a"]
+    assert at(100, "b") == []            # first seen at 0, forgotten at 100
+    assert at(150, "a", "b") == ["b"]    # a was reported at 99
+    assert at(198, "c", "a") == ["c"] and at(199, "a") == [] and at(200, "a") == ["a"]
+
+
 def test_gtid_filter_on_a_stream(spark):
     root = scratch_dir(spark, "gtid")
     stream = number_stream(spark, root, range(20)).select(

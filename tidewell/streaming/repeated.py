@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 import sys
+from collections import Counter
 from collections.abc import Iterable, Iterator
 
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
+from tidewell.functions.keys import bucket_of
 from tidewell.session import use_rocksdb
 
 # The few Python functions below travel to the executors by value, so the
@@ -18,6 +20,11 @@ from tidewell.session import use_rocksdb
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
+# State written in Python is kept per group of keys, not per key: a call into Python
+# and an access to the state cost about a millisecond, whatever they carry.
+KEY_GROUPS = 1 << 14
+
+
 def _key_column(frame: DataFrame, key: str) -> DataFrame:
     return frame.select(F.col(key).cast("string").alias("key")).filter(F.col("key").isNotNull())
 
@@ -80,39 +87,59 @@ def _shorten(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 class SecondSighting(StatefulProcessor):
-    """Emits a key once, when it has been seen a second time."""
+    """Emits a key once, when it has been seen a second time. The state is one value per
+    group of keys: keys seen once, and keys reported, each with the time (in milliseconds
+    since the epoch) until which it is remembered; 0 where nothing is forgotten."""
 
     def __init__(self, ttl_millis: int | None = None):
         self.ttl_millis = ttl_millis
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        # Absent: never seen. False: seen once. True: reported.
-        self.seen = handle.getValueState("seen", "reported boolean", self.ttl_millis)
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        state = self.seen.get()
-        if state is not None and state[0]:
+        self.seen = handle.getValueState("seen", "once map<string,bigint>, reported map<string,bigint>", self.ttl_millis)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        counts: Counter[str] = Counter()
+        for frame in rows:
+            for name, n in zip(frame["key"].tolist(), frame["n"].tolist()):
+                counts[name] += n
+        once, reported = self.seen.get() or ({}, {})
+        until = 0
+        if self.ttl_millis:
+            now = timerValues.getCurrentProcessingTimeInMs()
+            until = now + self.ttl_millis
+            once, reported = ({k: t for k, t in held.items() if t > now} for held in (once, reported))
+        new = [(name, n) for name, n in counts.items() if name not in reported]
+        if not new:
             return
-        total = (state is not None) + sum(row.n for row in rows)
-        self.seen.update((total > 1,))
-        if total > 1:
-            yield Row(key=key[0])
+        found = [name for name, n in new if n + (name in once) > 1]
+        once.update((name, until) for name, n in new)
+        for name in found:
+            del once[name]
+        reported.update((name, until) for name in found)
+        self.seen.update((once, reported))
+        if found:
+            yield pd.DataFrame({"key": found})
 
     def close(self) -> None:
         pass
 
 
-def repeated_keys_stateful(stream: DataFrame, key: str, ttl_millis: int | None = None) -> DataFrame:
+def repeated_keys_stateful(stream: DataFrame, key: str, ttl_millis: int | None = None,
+                           groups: int = KEY_GROUPS) -> DataFrame:
     """Streaming: the same keys in one query with state of its own, for jobs that
     need ``ttl_millis``, after which an unseen key is forgotten, or the lowest
-    latency. Each key costs calls into Python; ``start_repeated_keys`` is the
-    faster choice otherwise.
+    latency; ``start_repeated_keys`` needs no Python on the rows.
+
+    Each call into Python and each access to the state is for a whole group of keys, by
+    their hash; a trigger reads and writes the groups whose keys it meets. A checkpoint
+    goes with its number of ``groups``: choose about a thousandth of the keys expected.
 
     Equal keys are counted inside each Arrow batch before the shuffle, so a hot
     key reaches its task as a few counts, not as all its rows.
     """
     use_rocksdb(stream.sparkSession)
     counts = _key_column(stream, key).mapInPandas(_shorten, "key string, n bigint")
-    return counts.groupBy("key").transformWithState(
+    parts = counts.withColumn("part", bucket_of([F.col("key")], groups))
+    return parts.groupBy("part").transformWithStateInPandas(
         SecondSighting(ttl_millis), "key string", "Append",
         "ProcessingTime" if ttl_millis else "None")
