@@ -2,7 +2,9 @@
 
 import random
 from collections import Counter
+from types import SimpleNamespace
 
+import pandas as pd
 import pytest
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
@@ -136,6 +138,63 @@ def test_runs_join_in_any_order():
     assert state == whole and all(b - a > 7 for a, b in zip(sorted(whole.values()), sorted(whole)[1:]))
 
 
+class FakeState:
+    """The map and the timers of one group, in memory."""
+
+    def __init__(self):
+        self.map, self.timers = {}, set()
+        self.updateValue, self.removeKey = self.map.__setitem__, self.map.pop
+        self.registerTimer, self.deleteTimer = self.timers.add, self.timers.remove
+
+    def getMapState(self, *_):
+        return self
+
+    def iterator(self):
+        return iter(list(self.map.items()))
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_a_group_of_keys_has_one_timer(seed):
+    """However many keys and runs it holds; and the silences are those of each key."""
+    r = random.Random(seed)
+    rows = sorted(((r.choice("aaabcdefgh"), r.randrange(20_000)) for _ in range(400)), key=lambda x: x[1] + r.randrange(600))
+    group, silence, got, late = FakeState(), S.Silence(300 * 10**6), [], 0
+    silence.init(group)
+    for i in range(0, len(rows), 40):
+        frame = pd.DataFrame(rows[i:i + 40], columns=["key", "first"])
+        frame["first"] *= 10**6
+        frame["last"] = frame["first"]
+        assert list(silence.handleInputRows((0,), iter([frame[:25], frame[25:]]), None)) == []
+        assert len(group.timers) == 1
+        late = max(late, *(t for _, t in rows[i:i + 40]))
+        mark = (late - 600) * 1000
+        times = SimpleNamespace(getCurrentWatermarkInMs=lambda: mark)
+        for due in [t for t in group.timers if t <= mark]:
+            info = SimpleNamespace(getExpiryTimeInMs=lambda: due)
+            for out in silence.handleExpiredTimer((0,), times, info):
+                got += [(k, t // 10**6) for k, t in zip(out["key"], out["last"])]
+            group.deleteTimer(due)
+        assert len(group.timers) <= 1 and all(t > mark for t in group.timers)
+    want = silences(set(rows), 300, late - 600)
+    assert len(got) == len(set(got)) and set(got) == want and len(want) > 40
+
+
+def test_silent_keys_of_a_group_at_the_watermark(spark):
+    """The instant at which the watermark reaches a gap's end counts; one millisecond before does not."""
+    root, at, gap = scratch_dir(spark, "edge"), 10**12, 60_000
+    times = [("a", at), ("b", at), ("b", at + gap), ("c", at + 1), ("d", at + 2), ("z", at + gap + 2)]
+    frame = spark.createDataFrame(times, "k string, t long").select("k", F.timestamp_millis("t").alias("t"))
+    frame.coalesce(1).write.parquet(f"{root}/in")
+    found = S.silent_keys(spark.readStream.schema("k string, t timestamp").parquet(f"{root}/in"), "k", "t", 1, groups=1)
+    found.writeStream.format("parquet").option("path", f"{root}/out").option("checkpointLocation", f"{root}/c").trigger(
+        availableNow=True).start().awaitTermination()
+    rows = spark.read.parquet(f"{root}/out").select("key", F.unix_millis("active_from").alias("f"), F.unix_millis("since").alias("t"))
+    got = sorted(tuple(r) for r in rows.collect())
+    assert got == [("a", at, at), ("c", at + 1, at + 1)]
+    batch = S.silent_keys_batch(frame, "k", "t", 1)
+    assert sorted(r.key for r in batch.collect()) == ["a", "c"]
+
+
 def test_redelivery_is_dropped_and_its_keys_forgotten(spark):
     root = scratch_dir(spark, "redelivery")
     for start in (10_000, 20_000, 30_000, 40_000):

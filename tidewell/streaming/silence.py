@@ -8,11 +8,13 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from tidewell.functions.keys import bucket_of
 from tidewell.session import use_rocksdb
+from tidewell.streaming.repeated import KEY_GROUPS
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -29,43 +31,64 @@ def joined(runs: Iterable[tuple[int, int]], gap: int) -> dict[int, int]:
 
 
 class Silence(StatefulProcessor):
-    """Keeps the runs of a key's records and a timer at the end of each; emits a run's
-    last time once the watermark shows that nothing followed within the gap."""
+    """Keeps the runs of the records of a group of keys, by key, and one timer at the first end
+    of any; emits a run's last time once the watermark shows that nothing followed within the gap."""
 
     def __init__(self, gap: int):
         self.gap = gap
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.runs = handle.getMapState("runs", "first bigint", "last bigint")
+        self.runs = handle.getMapState("runs", "key string", "first array<bigint>, last array<bigint>")
 
     def _due(self, last: int) -> int:
         return (last + self.gap) // 1000 + 1  # the first whole millisecond behind the gap
 
-    def _stored(self) -> dict[int, int]:
-        return {first[0]: last[0] for first, last in self.runs.iterator()}
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        old = self._stored()
-        new = joined([*old.items(), *((r.first, r.last) for r in rows)], self.gap)
-        for first in old.keys() - new.keys():
-            self.runs.removeKey((first,))
-        for first, last in new.items():
-            if old.get(first) != last:
-                self.runs.updateValue((first,), (last,))
-        before, after = ({self._due(x) for x in runs.values()} for runs in (old, new))
-        for due in before - after:
-            self.handle.deleteTimer(due)
-        for due in after - before:
-            self.handle.registerTimer(due)
+    def _stored(self) -> dict[str, dict[int, int]]:
+        return {key[0]: dict(zip(first, last)) for key, (first, last) in self.runs.iterator()}
+
+    def _keep(self, name: str, runs: dict[int, int]) -> None:
+        if runs:
+            self.runs.updateValue((name,), (list(runs), list(runs.values())))
+        else:
+            self.runs.removeKey((name,))
+
+    def _next(self, held: dict[str, dict[int, int]]) -> int | None:
+        return min((self._due(last) for runs in held.values() for last in runs.values()), default=None)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        new: dict[str, list[tuple[int, int]]] = {}
+        for frame in rows:
+            for name, *run in zip(frame["key"].tolist(), frame["first"].tolist(), frame["last"].tolist()):
+                new.setdefault(name, []).append(tuple(run))
+        held = self._stored()
+        before = self._next(held)
+        for name, runs in new.items():
+            old = held.get(name, {})
+            held[name] = joined([*old.items(), *runs], self.gap)
+            if held[name] != old:
+                self._keep(name, held[name])
+        after = self._next(held)
+        if before != after:
+            if before is not None:
+                self.handle.deleteTimer(before)
+            self.handle.registerTimer(after)
         return iter(())
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        due = expiredTimerInfo.getExpiryTimeInMs()
-        for first, last in self._stored().items():
-            if self._due(last) <= due:
-                self.runs.removeKey((first,))
-                yield Row(key=key[0], first=first, last=last)
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        due = max(timerValues.getCurrentWatermarkInMs(), expiredTimerInfo.getExpiryTimeInMs())
+        held, found = self._stored(), []
+        for name, runs in held.items():
+            ended = [(name, first, last) for first, last in runs.items() if self._due(last) <= due]
+            if ended:
+                found += ended
+                held[name] = {first: last for first, last in runs.items() if self._due(last) > due}
+                self._keep(name, held[name])
+        after = self._next(held)
+        if after is not None:
+            self.handle.registerTimer(after)
+        if found:
+            yield pd.DataFrame(found, columns=["key", "first", "last"])
 
     def close(self) -> None:
         pass
@@ -83,7 +106,8 @@ def _runs(frames: Iterable[pd.DataFrame], gap: int) -> Iterator[pd.DataFrame]:
                                 "until": pd.to_datetime(at[ends], unit="us", utc=True)})
 
 
-def silent_keys(stream: DataFrame, key: str, time: str, gap_minutes: float, delay: str = "0 seconds") -> DataFrame:
+def silent_keys(stream: DataFrame, key: str, time: str, gap_minutes: float, delay: str = "0 seconds",
+                groups: int = KEY_GROUPS) -> DataFrame:
     """Streaming: ``key``, and ``since``, its last record before more than ``gap_minutes`` of
     event time without one; ``active_from`` is when the run of records began.
 
@@ -91,7 +115,8 @@ def silent_keys(stream: DataFrame, key: str, time: str, gap_minutes: float, dela
     ``delay``) has passed its gap, in whatever order the records came. A key holds its
     runs of the last ``gap_minutes`` and ``delay`` and nothing older. Records are
     reduced to runs inside each Arrow batch before the shuffle, so a hot key moves as
-    a few numbers. Records without key or time are left out.
+    a few numbers. Records without key or time are left out. Calls into Python and timers
+    are for groups of keys, by their hash; a checkpoint goes with its number of ``groups``.
     """
     use_rocksdb(stream.sparkSession)
     gap = round(gap_minutes * 60_000_000)
@@ -99,7 +124,8 @@ def silent_keys(stream: DataFrame, key: str, time: str, gap_minutes: float, dela
     runs = (rows.filter("key IS NOT NULL AND at IS NOT NULL")
             .mapInPandas(lambda frames: _runs(frames, gap), "key string, first bigint, last bigint, until timestamp")
             .withWatermark("until", delay))
-    found = runs.groupBy("key").transformWithState(Silence(gap), "key string, first bigint, last bigint", "Append", "EventTime")
+    found = (runs.withColumn("part", bucket_of([F.col("key")], groups)).groupBy("part")
+             .transformWithStateInPandas(Silence(gap), "key string, first bigint, last bigint", "Append", "EventTime"))
     return found.select("key", F.timestamp_micros("first").alias("active_from"), F.timestamp_micros("last").alias("since"))
 
 
