@@ -1,4 +1,7 @@
 import json
+import os
+import subprocess
+import sys
 from collections import Counter
 from types import SimpleNamespace
 
@@ -271,6 +274,42 @@ def test_fan_out_reads_and_converts_each_record_once(spark, bad):
         assert spark.read.parquet(f"{root}/rejects").count() == 70
 
 
+FAN_OUT_LOGGED = """
+import sys
+from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from tidewell.lake.table import LakeTable
+from tidewell.spec import TableSpec
+from tidewell.streaming.jobs import OPEN_FILES, Target, fan_out
+root = sys.argv[1]
+spark = (SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").config("spark.sql.shuffle.partitions", "4")
+         .config("spark.eventLog.enabled", "true").config("spark.eventLog.compress", "false")
+         .config("spark.eventLog.dir", f"file://{root}/events").config("spark.sql.warehouse.dir", f"{root}/tables").getOrCreate())
+spec = TableSpec(name="t", key=("id",), buckets=2, schema=T.StructType([T.StructField("id", T.LongType())]))
+row = {"seq": F.lit(1), "_sub": F.lit(0), "_kind": F.lit("+I")}
+targets = {f"t{i}": Target(LakeTable(spark, f"{root}/t{i}", spec), lambda rows: rows.withColumns(row)) for i in range(3)}
+tag = F.when(F.col("id") % 10 < 8, "t0").when(F.col("id") % 10 == 8, "t1").otherwise("t2")
+batch = spark.range(200000).withColumn("_tag", tag)
+fan_out(targets, staging=f"{root}/staging")(batch, 0)
+assert spark.conf.get(OPEN_FILES) == "0"
+assert [spark.read.parquet(f"{root}/t{i}/log").count() for i in range(3)] == [160000, 20000, 20000]
+spark.stop()
+"""
+
+
+def test_fan_out_sorts_no_records(tmp_path):
+    """The memory of a task does not grow with a tag's records: the event log tells."""
+    (tmp_path / "events").mkdir()
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    subprocess.run([sys.executable, "-c", FAN_OUT_LOGGED, str(tmp_path)], check=True, timeout=300,
+                   cwd=repo, env={**os.environ, "PYTHONPATH": repo})
+    lines = [line for path in (tmp_path / "events").rglob("*") if path.is_file() and path.name[0] != "."
+             for line in path.read_text().splitlines()]
+    ends = [event for event in map(json.loads, lines) if event["Event"] == "SparkListenerTaskEnd"]
+    assert ends and max(event["Task Metrics"]["Peak Execution Memory"] for event in ends) == 0
+
+
 def test_state_and_its_changes(spark):
     from tidewell.streaming.inspect import state_changes, state_operators, state_rows
     from tidewell.streaming.repeated import start_key_counts
