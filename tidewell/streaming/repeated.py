@@ -20,8 +20,8 @@ from tidewell.session import use_rocksdb
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
-# State written in Python is kept per group of keys, not per key: a call into Python
-# and an access to the state cost about a millisecond, whatever they carry.
+# State written in Python is kept per group of keys, not per key: the cost of a call
+# into Python and of an access to the state is mostly that of the call.
 KEY_GROUPS = 1 << 14
 
 
