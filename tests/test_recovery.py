@@ -1,6 +1,7 @@
 """Chunked snapshots, silent keys, bounded redelivery and counted runs, against plain Python."""
 
 import random
+import re
 from collections import Counter
 from types import SimpleNamespace
 
@@ -101,6 +102,35 @@ def test_binary_search(spark, size):
     assert all(r.n == sum(x <= r.id for x in bounds) for r in got)
 
 
+@pytest.mark.parametrize("group,small,kind", [(2, 0, "long"), (2, 10**6, "string"), (C.GROUP, 0, "long")])
+def test_ranges_are_found_without_numbering_them(spark, monkeypatch, group, small, kind):
+    """Each record finds the last range at or below its key, in whichever leaf that is."""
+    monkeypatch.setattr(C, "GROUP", group)
+    monkeypatch.setattr(C, "SMALL", small)
+    r = random.Random(group)
+    key = {"long": int, "string": "{:05}".format}[kind]
+    starts = [(t, key(n)) for t in ("a", "b", "d") for n in r.sample(range(3000), 700)] + [("b", None), (None, key(5))]
+    ranges = [(t, s, i, i % 5 or None) for i, (t, s) in enumerate(starts)]  # some that no chunk governs
+    ranges += [("a", s, 9999, mark) for _, s, _, mark in ranges[:3]]  # a start that comes twice: the greater chunk
+    keys = [(r.choice(["a", "b", "c", "d", None]), r.choice([None, key(r.randrange(3003))])) for _ in range(3000)]
+    records = [(i, *at) for i, at in enumerate(keys + starts + keys[:50])]
+
+    def place(s):
+        return s is not None, key(0) if s is None else s
+
+    own = {t: sorted(((place(s), chunk, mark) for u, s, chunk, mark in ranges if u == t), key=lambda x: x[:2]) for t in "abd"}
+
+    def want(t, s):
+        return next(((chunk, mark) for at, chunk, mark in reversed(own.get(t, [])) if at <= place(s)), (None, None))
+
+    found = C.located(spark.createDataFrame(records, f"i int, t string, k {kind}"),
+                      spark.createDataFrame(ranges, f"table string, start {kind}, chunk int, mark int"), F.col("t"), F.col("k"))
+    assert found.columns == ["i", "t", "k", "_chunk", "_mark"]
+    assert Counter(tuple(x) for x in found.collect()) == Counter((i, t, s, *want(t, s)) for i, t, s in records)
+    # No task puts all ranges in order, and no record reads a whole list.
+    assert not re.search(r"\bWindow\b|SinglePartition|transform\(|NestedLoop|Cartesian", plan(found))
+
+
 def silences(rows, gap, latest):
     """Brute force: times in seconds that nothing follows within the gap."""
     return {(k, t) for k, t in rows if k is not None and not any(k2 == k and t < t2 <= t + gap for k2, t2 in rows) and t + gap < latest}

@@ -7,23 +7,27 @@ or overlap. Where several cover a key, the one that reaches furthest governs it,
 equal ones the last read, and only its rows of the key are taken; keys that no chunk
 covers keep all their changes.
 
-The governing ranges are disjoint and sorted. A key finds its range by two binary
-searches: in the first keys of groups of ranges, which are part of the expression,
-and then within its group, which an equality join brings. No pairs are formed, and
-neither search looks at more than a logarithm of the number of chunks. The list of
-chunks itself, a row for each, is put in order by one task.
+The governing ranges are disjoint and sorted. A key finds its range by three binary
+searches: in the first keys of groups of ranges, which are part of the expression, in
+the first keys of its group's leaves, and in its leaf; an equality join brings each of
+the two. A record carries no more than such a short list, and none of the searches
+reads more than a logarithm of it. Groups and leaves begin at ranges that a hash of
+their first key picks, so ranges find their own leaf as the keys do, without being
+numbered. No pairs are formed. The list of chunks itself, a row for each, is put in
+order by one task.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 MOST_CHUNKS = 10_000  # of one call of even_chunks: as many quantiles reach the driver
-GROUP = 1024  # ranges a group at least; the first key of each group is on the driver
+GROUP = 4096  # ranges a group on average, at least; the first key of each group is on the driver
 MOST_GROUPS = 4096
 SMALL = 200_000  # ranges that are sent to every task; more are joined by a shuffle
 
@@ -68,45 +72,51 @@ def governed_ranges(chunks: DataFrame, table: str = "table") -> DataFrame:
     return best.select("table", "start", *[F.when(covers, F.col(f"best.{c}")).alias(c) for c in ("chunk", "mark")])
 
 
-def at_or_below(bounds: Column, size: Column, key: Column) -> Column:
-    """How many of a sorted array's elements are at most ``key``, by binary search."""
-    steps = F.ceil(F.log2(size + 1)).cast("int")
-    state = F.struct(F.lit(0).alias("low"), size.alias("high"))
+def at_or_below(bounds: Column, size: Column, key: Column, of: Callable[[Column], Column] = lambda x: x) -> Column:
+    """How many of a sorted array's elements (``of`` each) are at most ``key``, by binary search:
+    steps of falling powers of two, each taken if the element behind it is still at most ``key``."""
+    powers = F.sequence(F.ceil(F.log2(size + 1)).cast("int"), F.lit(0), F.lit(-1))
 
-    def halve(s: Column, _: Column) -> Column:
-        middle = F.shiftright(s["low"] + s["high"], 1)
-        right = F.get(bounds, middle) <= key
-        return F.struct(F.when(right, middle + 1).otherwise(s["low"]).alias("low"),
-                        F.when(right, s["high"]).otherwise(middle).alias("high"))
+    def step(found: Column, power: Column) -> Column:
+        on = found + F.call_function("shiftleft", F.lit(1), power)
+        return F.when(of(F.get(bounds, on - 1)) <= key, on).otherwise(found)
 
-    def step(s: Column, i: Column) -> Column:
-        return F.when(s["low"] < s["high"], halve(s, i)).otherwise(s)
-
-    return F.when(size > 0, F.aggregate(F.sequence(F.lit(1), steps + 1), state, step, lambda s: s["low"])).otherwise(F.lit(0))
+    return F.when(size > 0, F.aggregate(powers, F.lit(0), step)).otherwise(F.lit(0))
 
 
 def located(frame: DataFrame, ranges: DataFrame, table: Column, key: Column) -> DataFrame:
     """``frame`` with ``_chunk`` and ``_mark`` of the range that each record's key is in."""
-    place = F.struct(F.col("table"), F.col("start"))
-    count = ranges.count()
+    kind = T.StructType([T.StructField(c, ranges.schema[c].dataType) for c in ("table", "start")])
+
+    def at(*own: Column) -> Column:
+        return F.struct(*[value.cast(of.dataType).alias(of.name) for value, of in zip(own, kind)]).cast(kind)
+
+    keyed = ranges.select(at(F.col("table"), F.col("start")).alias("_at"), "chunk", "mark")
+    count, least = keyed.agg(F.count("*"), F.min("_at")).first()
     if not count:
         return frame.select("*", *[F.lit(None).cast(ranges.schema[c].dataType).alias(f"_{c}") for c in ("chunk", "mark")])
-    size = max(GROUP, math.ceil(count / MOST_GROUPS))
-    # Ranges are numbered by the one order of table and start; a group is a run of them.
-    numbered = ranges.withColumn("_i", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("table", "start")) - 1)
-    groups = numbered.groupBy(F.floor(F.col("_i") / size).cast("int").alias("_group")).agg(
-        F.sort_array(F.collect_list(F.struct(place.alias("at"), "chunk", "mark"))).alias("_ranges"))
-    firsts = [r.at for r in groups.select("_group", F.col("_ranges")[0]["at"].alias("at")).orderBy("_group").collect()]
-    kind = groups.schema["_ranges"].dataType.elementType["at"].dataType
-    root = F.array(*[F.struct(F.lit(t).cast(kind["table"].dataType).alias("table"),
-                              F.lit(s).cast(kind["start"].dataType).alias("start")) for t, s in firsts])
-    own = F.struct(table.cast(kind["table"].dataType).alias("table"), key.cast(kind["start"].dataType).alias("start"))
-    placed = frame.withColumn("_at", own).withColumn("_group", at_or_below(root, F.lit(len(firsts)), F.col("_at")) - 1)
-    joined = placed.join(F.broadcast(groups) if count <= SMALL else groups, "_group", "left")
-    starts = F.transform("_ranges", lambda x: x["at"])
-    found = joined.withColumn("_starts", starts).withColumn(
-        "_r", F.get("_ranges", at_or_below(F.col("_starts"), F.size("_starts"), F.col("_at")) - 1))
-    same = F.col("_r.at.table") == F.col("_at.table")
+    leaf = math.ceil(math.sqrt(max(GROUP, count / MOST_GROUPS)))  # ranges a leaf, and leaves a group
+
+    def begins(size: int) -> Column:
+        hashed = F.xxhash64("_at.table", "_at.start") % size == 0
+        return hashed | F.col("_at").eqNullSafe(at(*map(F.lit, least)))
+
+    cuts = keyed.filter(begins(leaf * leaf)).select("_at.*").distinct().orderBy("table", "start").collect()
+    root = F.array(*[at(*map(F.lit, cut)) for cut in cuts]).cast(T.ArrayType(kind))
+    group = at_or_below(root, F.lit(len(cuts)), F.col("_at"))
+    firsts = keyed.filter(begins(leaf)).groupBy(group.alias("_group")).agg(F.sort_array(F.collect_set("_at")).alias("_firsts")).persist()
+
+    def placed(rows: DataFrame) -> DataFrame:
+        grouped = rows.withColumn("_group", group).join(F.broadcast(firsts), "_group", "left")
+        return grouped.withColumn("_leaf", at_or_below(F.col("_firsts"), F.size("_firsts"), F.col("_at"))).drop("_firsts")
+
+    leaves = placed(keyed).groupBy("_group", "_leaf").agg(
+        F.sort_array(F.collect_list(F.struct("_at", "chunk", "mark"))).alias("_ranges"))
+    joined = placed(frame.withColumn("_at", at(table, key))).join(
+        F.broadcast(leaves) if count <= SMALL else leaves, ["_group", "_leaf"], "left")
+    below = at_or_below(F.col("_ranges"), F.size("_ranges"), F.col("_at"), lambda r: r["_at"])
+    found = joined.withColumn("_r", F.get("_ranges", below - 1))
+    same = F.col("_r._at.table") == F.col("_at.table")
     return found.select(*[F.col(f"`{c}`") for c in frame.columns],
                         *[F.when(same, F.col(f"_r.{c}")).alias(f"_{c}") for c in ("chunk", "mark")])
 

@@ -95,7 +95,7 @@ def sets_as_text(intervals: DataFrame, group: Sequence[str] = (), most: int = MO
 
 def covered(frame: DataFrame, intervals: DataFrame, transaction: Column) -> DataFrame:
     """``frame`` with ``_covered``: whether a set of any size, given as disjoint rows, holds
-    each record's transaction. Two binary searches, as for snapshot chunks."""
+    each record's transaction. Binary searches and two joins, as for snapshot chunks."""
     starts = intervals.select(F.col("uuid").alias("table"), F.col("low").alias("start"), F.lit(1).alias("chunk"),
                               F.col("high").alias("mark")).persist()
     number = gtid.id_number(transaction)
